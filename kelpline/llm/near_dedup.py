@@ -119,32 +119,29 @@ def _near_size(threshold: int):
 
 
 def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
-    """node and label (the node that stands for its component) of all nodes of the edges (a, b)."""
+    """node and label (the node that stands for its component) of all nodes of the edges (a, b).
+
+    Nodes are digests, so their order is random, and replacing each by its least neighbour leaves a fixed share
+    of the nodes on average: rounds grow with the logarithm of a component's size.
+    """
     edges = scratch.save(edges.where("a <> b").select("a", "b").distinct())
-    labels = None
+    labels = edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
+    kept = None
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         step = scratch.save(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("node"), F.least("a", "b").alias("to")))
         ends = edges.join(step.select(F.col("node").alias("a"), F.col("to").alias("x")), "a").join(step.select(F.col("node").alias("b"), F.col("to").alias("y")), "b")
         rest = scratch.save(ends.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-        if labels is None:
-            new = step.withColumnRenamed("to", "label")
+        if kept is None:
+            new = step
+            labels = step.withColumnRenamed("to", "label")
         else:
-            new = labels.join(step.select(F.col("node").alias("label"), "to"), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
-            new = scratch.save(new)
-            scratch.drop(labels)
-        scratch.drop(edges, *([step] if labels is not None else []))
-        edges, labels = rest, new
-    if labels is None:
-        return edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
-    # a chain of least neighbours: a label may itself have got one, until no label has
-    while True:
-        up = labels.select(F.col("node").alias("label"), F.col("label").alias("to"))
-        new = scratch.save(labels.join(up, "label", "left").select("node", F.coalesce("to", "label").alias("label"), (F.col("to") != F.col("label")).alias("moved")))
-        moved = not new.where("moved").isEmpty()
-        labels = new.select("node", "label")
-        if not moved:
-            return labels
+            new = scratch.save(labels.join(step.withColumnRenamed("node", "label"), "label", "left").select("node", F.coalesce("to", "label").alias("label")))
+            scratch.drop(kept, step)
+            labels = new
+        scratch.drop(edges)
+        edges, kept = rest, new
+    return labels
 
 
 def near_dedup(docs: DataFrame, threshold: int = 75, small_bucket: int = SMALL_BUCKET) -> DataFrame:
