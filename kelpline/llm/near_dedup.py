@@ -5,8 +5,9 @@
 2. Classes that share a band are candidates. In a bucket of up to `small_bucket` classes, and in
    those of the finer bands below, every class is first compared with the bucket's leader, which
    joins most of a large group in linear work; then components are found, and only pairs of
-   a bucket that are still in different components are compared. A pair that isn't compared
-   is already connected: no link can change the components.
+   a bucket that are still in different components are compared, if they can be linked at all: of each such
+   text the shingles that no other has are counted, as they can't be in any intersection, and sketches of
+   1,024 bits must be within five standard deviations of the threshold's.
 3. Classes of a larger bucket get 128 finer bands of 8 slots, which separate texts that only
    share a passage. Only these decide within such a bucket. At the threshold of 0.75
    both miss a pair with a probability below 10^-5.
@@ -23,6 +24,7 @@ component's id is null only if all its ids are. Extra columns are ignored. An em
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -33,11 +35,12 @@ from pyspark.sql.functions import arrow_udf
 
 from kelpline.llm.common import Scratch, row_of, slices, small
 from kelpline.llm.superminhash import band_hashes, signatures
-from kelpline.llm.wordhash import SPACED, Words, shingles
+from kelpline.llm.wordhash import SPACED, U64, Words, mix, shingles
 
 BANDS, ROWS = 32, 4
 FINE_BANDS, FINE_ROWS = 128, 8
-SMALL_BUCKET = 200
+SKETCH = 1024
+SMALL_BUCKET = 100
 
 
 def _digest(hashes: np.ndarray) -> bytes:
@@ -81,6 +84,22 @@ def _fine_bands(hashes: pa.Array) -> pa.Array:
     return pa.array(out, pa.list_(pa.int64()))
 
 
+@arrow_udf(T.ArrayType(T.LongType()))
+def _sketch(hashes: pa.Array) -> pa.Array:
+    """One bit of each slot of a fine signature, 64 to a number."""
+    out = []
+    for s in range(0, len(hashes), 64):
+        sets = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in hashes[s : s + 64]]
+        sig = signatures(np.concatenate(sets), np.cumsum([0, *map(len, sets)]), SKETCH)
+        out += list(np.packbits((mix(sig) & U64(1)).astype(np.uint8), axis=1).view(np.int64))
+    return pa.array(out, pa.list_(pa.int64()))
+
+
+@arrow_udf(T.ArrayType(T.LongType()))
+def _as_longs(hashes: pa.Array) -> pa.Array:
+    return pa.array([np.frombuffer(x.as_buffer(), dtype=np.int64) for x in hashes], pa.list_(pa.int64()))
+
+
 @arrow_udf(T.LongType())
 def _common(a: pa.Array, b: pa.Array) -> pa.Array:
     """Size of the intersection of two sorted sets of hashes."""
@@ -118,6 +137,13 @@ def _near_size(threshold: int):
     return (F.lit(100) * F.least("na", "nb")) >= (F.lit(threshold) * F.greatest("na", "nb"))
 
 
+def _matchable(rest: DataFrame, sets: DataFrame) -> DataFrame:
+    """node, its sketch, and m: how many of its shingles any other of these nodes has. No pair can have more in common."""
+    rows = sets.join(rest.select("node").distinct(), "node", "left_semi").select("node", F.explode(_as_longs("hashes")).alias("hash"))
+    alone = rows.groupBy("hash").agg(F.count("*").alias("c"), F.min("node").alias("node")).where("c = 1").groupBy("node").agg(F.count("*").alias("own"))
+    return sets.join(rest.select("node").distinct(), "node", "left_semi").join(alone, "node", "left").select("node", (F.length("hashes") / 8).cast("bigint").alias("n"), (F.length("hashes") / 8 - F.coalesce("own", F.lit(0))).cast("bigint").alias("m"), _sketch("hashes").alias("bits"))
+
+
 def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     """node and label (the node that stands for its component) of all nodes of the edges (a, b).
 
@@ -144,6 +170,12 @@ def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     return labels
 
 
+def _most_differing(threshold: int) -> int:
+    """Bits of two sketches that differ at the threshold, and five standard deviations more."""
+    share = (100 - threshold) / 200
+    return math.ceil(SKETCH * share + 5 * math.sqrt(SKETCH * share * (1 - share)))
+
+
 def near_dedup(docs: DataFrame, threshold: int = 75, small_bucket: int = SMALL_BUCKET) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of docs (doc_id, text)."""
     spark = docs.sparkSession
@@ -172,13 +204,24 @@ def near_dedup(docs: DataFrame, threshold: int = 75, small_bucket: int = SMALL_B
     placed = scratch.save(members_.join(labels, "node", "left").select("key", "node", "n", F.coalesce("label", "node").alias("label")))
     mixed = scratch.save(placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key"))
     rest = placed.join(mixed, "key", "left_semi")
-    one = rest.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))
-    two = rest.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"))
-    pairs = scratch.save(one.join(two, "key").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & near).select("a", "b", "na", "nb").distinct())
+    possible = scratch.save(_matchable(rest, sets))
+    # a text of many shingles that no candidate shares is linked with none
+    possible = possible.where(F.lit(100) * F.col("m") >= F.lit(threshold) * F.col("n"))
+    rest = rest.select("key", "node", "n", "label").join(possible.drop("n"), "node")
+    rest = rest.join(rest.groupBy("node").agg(F.sort_array(F.collect_list("key")).alias("keys")), "node")
+    rest = scratch.save(rest)
+    side = lambda x: rest.select("key", F.col("node").alias(x), *[F.col(c).alias(f"{c[0]}{x}" if c != "bits" else f"s{x}") for c in ("n", "m", "label", "bits")], F.col("keys").alias(f"k{x}"))
+    most = F.least("ma", "mb")
+    can = near & (F.lit(100) * most >= F.lit(threshold) * (F.col("na") + F.col("nb") - most))
+    differ = sum((F.bit_count(F.get("sa", F.lit(i)).bitwiseXOR(F.get("sb", F.lit(i)))) for i in range(SKETCH // 64)), F.lit(0))
+    # each pair once, in the first bucket that both are in
+    once = F.array_min(F.array_intersect("ka", "kb")) == F.col("key")
+    pairs = side("a").join(side("b"), "key").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & can & (differ <= _most_differing(threshold)) & once)
+    pairs = scratch.save(pairs.select("a", "b", "na", "nb"))
     more = scratch.save(_verified(pairs, sets, threshold))
     if not more.isEmpty():
         labels = components(scratch, edges.unionByName(more))
-    scratch.drop(members, wanted, sets, placed, mixed, pairs)
+    scratch.drop(members, wanted, sets, placed, mixed, rest, pairs)
     whole = classes.join(labels, "node", "left").select("node", "rep", F.coalesce("label", "node").alias("label"))
     ids = whole.groupBy("label").agg(F.min("rep").alias("component"))
     found = scratch.save(whole.join(ids, "label").select("node", "component"))
