@@ -2,10 +2,325 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries() -> dict:
-    return {}
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from kelpline.functions.columns import MAX_REVIEW_TEXT, UNIT, redact
+from kelpline.operators import relational as R
+from kelpline.operators import text as X
+from kelpline.operators import validate as V
+from kelpline.plans import gold, silver
+from kelpline.plans.oracles import sql
+from kelpline.sources.commerce import bronze, table
+
+#: Columns of each model as published; d: a number of 6 places, s: text of a date or time, i: a whole number.
+MODELS = {
+    "sil_category_translation": "product_category_name product_category_name_english",
+    "sil_customer": "customer_id repeat_customer_key customer_zip_prefix customer_city customer_state",
+    "sil_geolocation_zip": "geolocation_zip_prefix centroid_latitude:d centroid_longitude:d source_point_count:i valid_coordinate_count:i invalid_coordinate_count:i representative_city representative_state distinct_city_count:i distinct_state_count:i geolocation_quality_status",
+    "sil_order": "order_id customer_id order_status order_purchase_timestamp:s order_approved_at:s order_delivered_customer_date:s order_estimated_delivery_date:s customer_exists valid_item_count:i delivery_interval_valid analysis_scope_status analysis_scope_reason delivery_lead_seconds:i delivery_delay_seconds:i is_on_time_delivery",
+    "sil_order_item": "order_id order_item_id:i product_id seller_id shipping_limit_date:s price:d freight_value:d item_total_value:d order_parent_exists amount_quality_status",
+    "sil_order_payment": "order_id payment_sequential:i payment_type payment_installments:i payment_value:d order_parent_exists amount_quality_status",
+    "sil_order_review": "review_id order_id review_score:i review_creation_date:s review_answer_timestamp:s order_parent_exists review_text_present review_text_length:i response_interval_valid response_latency_seconds:i ai_eligibility_status",
+    "sil_product": "product_id product_category_name product_category_name_english category_translation_exists product_name_length:i product_photos_qty:i product_weight_g:d product_quality_status",
+    "sil_seller": "seller_id seller_zip_prefix seller_city seller_state geolocation_zip_exists geolocation_quality_status",
+    "sil_unknown_member": "entity_type unknown_member_key",
+    "sil_dq_quarantine": "model grain_hash code severity dq_event_id",
+    "dim_date": "date_key:i full_date:s calendar_year:i calendar_quarter:i calendar_month:i month_name iso_week:i day_of_month:i iso_day_of_week:i day_name week_start_date:s month_start_date:s quarter_start_date:s",
+    "dim_geography": "geography_key geolocation_zip_prefix city state centroid_latitude:d centroid_longitude:d geolocation_quality_status effective_from:s is_current",
+    "dim_customer": "customer_key customer_id repeat_customer_key geography_key customer_zip_prefix customer_city customer_state effective_from:s is_current",
+    "dim_product": "product_key product_id product_category_name product_category_name_english product_quality_status effective_from:s is_current",
+    "dim_seller": "seller_key seller_id geography_key seller_zip_prefix seller_city seller_state effective_from:s is_current",
+    "fact_order": "order_key order_id customer_key purchase_date_key:i delivered_date_key:i estimated_delivery_date_key:i order_status analysis_scope_status analysis_scope_reason order_purchase_timestamp:s delivery_interval_valid delivery_lead_seconds:i delivery_delay_seconds:i is_on_time_delivery",
+    "fact_order_item": "order_item_key order_key order_id order_item_id:i product_key seller_key shipping_limit_date_key:i price:d freight_value:d item_total_value:d item_count:i",
+    "fact_payment": "payment_key order_key order_id payment_sequential:i payment_type payment_installments:i payment_value:d amount_quality_status",
+    "fact_review_base": "review_key order_key review_id order_id review_date_key:i review_score:i order_analysis_scope_status review_text_present response_latency_seconds:i ai_eligibility_status",
+    "bridge_review_item": "attribution_key review_key order_key review_id order_id attribution_ordinal:i order_item_key product_key seller_key item_count_for_review:i allocation_method review_score:i weight_units:i score_units:i",
+    "mart_order_delivery": "delivery_mart_key period_month:s geography_key geography_state geography_city order_count:i delivered_order_count:i cancelled_order_count:i delivery_eligible_order_count:i on_time_order_count:i on_time_delivery_rate:d average_delivery_lead_seconds:d average_delivery_delay_seconds:d gross_merchandise_value:d freight_value:d payment_value:d payment_reconciliation_delta:d data_release_id",
+    "mart_product_review": "product_review_mart_key period_month:s product_key product_category_name product_category_name_english order_count:i item_count:i gross_merchandise_value:d freight_value:d allocated_review_count:d allocated_review_score:d average_review_score:d data_release_id",
+    "mart_seller_performance": "seller_performance_mart_key period_month:s seller_key geography_key seller_state seller_city order_count:i item_count:i delivered_order_count:i delivery_eligible_order_count:i on_time_order_count:i on_time_delivery_rate:d average_delivery_lead_seconds:d gross_merchandise_value:d freight_value:d allocated_review_count:d allocated_review_score:d average_review_score:d data_release_id",
+    "mart_customer_overview": "customer_overview_mart_key period_month:s geography_key geography_state geography_city order_count:i delivered_order_count:i cancelled_order_count:i unknown_customer_order_count:i customer_count:i repeat_customer_count:i repeat_customer_rate:d gross_merchandise_value:d freight_value:d payment_value:d payment_reconciliation_delta:d data_release_id",
+    "sem_order_delivery": "period_month:s geography_key geography_state geography_city order_count:i on_time_delivery_rate:d average_delivery_lead_seconds:d gross_merchandise_value:d payment_reconciliation_delta:d data_release_id",
+    "sem_product_review": "period_month:s product_key product_category_name order_count:i item_count:i allocated_review_sample_size:d average_review_score:d data_release_id",
+    "sem_seller_performance": "period_month:s seller_key seller_state seller_city order_count:i on_time_delivery_rate:d allocated_review_sample_size:d average_review_score:d data_release_id",
+    "sem_customer_overview": "period_month:s geography_key geography_state customer_count:i repeat_customer_count:i repeat_customer_rate:d payment_value:d data_release_id",
+}
+_KINDS = {"d": (lambda c: F.round(F.col(c).cast("double"), 6), "round(({})::DOUBLE, 6)"), "s": (lambda c: F.col(c).cast("string"), "({})::VARCHAR"), "i": (lambda c: F.col(c).cast("bigint"), "({})::BIGINT"), "": (F.col, "{}")}
+
+
+def _columns(text: str) -> list[tuple[str, str]]:
+    return [tuple(c.split(":")) if ":" in c else (c, "") for c in text.split()]
+
+
+def published(df: DataFrame, columns: str) -> DataFrame:
+    return df.select(*[_KINDS[k][0](c).alias(c) for c, k in _columns(columns)])
+
+
+def published_sql(select_from: str, columns: str) -> str:
+    return sql(f"SELECT {', '.join(_KINDS[k][1].format(c) + f' AS {c}' for c, k in _columns(columns))} FROM {select_from}")
+
+
+def models(spark: SparkSession, sf_dir: str) -> silver.Lazy:
+    """All models of one folder of tables; only those asked for, and what they need, are built."""
+    s = silver.build(spark, bronze(spark, sf_dir))
+    g = gold.build(s)
+    g.makers |= {f"sil_{n}": lambda _, n=n: s[n] for n in s.names()}
+    return g
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+
+
+def _model(name: str) -> None:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return published(models(spark, sf_dir)[name], MODELS[name])
+
+    query.__name__ = name
+    QUERIES[name] = query
+    SQL[name] = published_sql(name, MODELS[name])
+
+
+for _name in MODELS:
+    _model(_name)
+
+
+def register(statement: str | None):
+    def put(f):
+        QUERIES[f.__name__] = f
+        if statement:
+            SQL[f.__name__] = statement
+        return f
+
+    return put
+
+
+@register(sql("SELECT severity, code, count(*) AS n FROM sil_dq_quarantine GROUP BY ALL"))
+def dq_severity_counts(spark, sf_dir):
+    return models(spark, sf_dir)["sil_dq_quarantine"].groupBy("severity", "code").agg(F.count("*").alias("n"))
+
+
+@register(sql("SELECT CASE WHEN count(*) FILTER (severity = 'CRITICAL') > 0 THEN 'BLOCKED' WHEN count(*) > 0 THEN 'PASS_WITH_FINDINGS' ELSE 'PASS' END AS gate, count(*) AS findings FROM sil_dq_quarantine"))
+def dq_gate(spark, sf_dir):
+    a = models(spark, sf_dir)["sil_dq_quarantine"].agg(F.count_if(F.col("severity") == "CRITICAL").alias("c"), F.count("*").alias("findings"))
+    return a.select(F.when(F.col("c") > 0, "BLOCKED").when(F.col("findings") > 0, "PASS_WITH_FINDINGS").otherwise("PASS").alias("gate"), "findings")
+
+
+@register("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC, l_quantity DESC) AS rk FROM lineitem) WHERE rk = 1")
+def revision_dedup(spark, sf_dir):
+    w = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*[F.col(c).desc() for c in ("l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")])
+    return table(spark, sf_dir, "lineitem").withColumn("rk", F.row_number().over(w)).where("rk = 1").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
+@register("""WITH e AS (SELECT user_id, ts, value, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, value DESC, event_id DESC) AS rk FROM events)
+SELECT user_id, event_id, rk::BIGINT AS revision_rank, CASE WHEN rk = 1 THEN 'CURRENT' WHEN min(event_id) OVER (PARTITION BY user_id ORDER BY rk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) < event_id THEN 'LATE_SUPERSEDED' ELSE 'CORRECTION_SUPERSEDED' END AS disposition FROM e""")
+def revision_disposition(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("user_id", "ts", F.col("event_id").alias("ingested_at"), F.lit(0).alias("source_row_number"), F.concat(F.lit("h"), F.col("event_id").cast("string")).alias("record_hash"), "value")
+    w = Window.partitionBy("user_id").orderBy(F.col("ts").desc(), F.col("value").desc(), F.col("ingested_at").desc())
+    late = F.min("ingested_at").over(w.rowsBetween(Window.unboundedPreceding, -1)) < F.col("ingested_at")
+    r = e.withColumn("revision_rank", F.row_number().over(w))
+    return r.select("user_id", F.col("ingested_at").alias("event_id"), F.col("revision_rank").cast("bigint").alias("revision_rank"), F.when(F.col("revision_rank") == 1, "CURRENT").when(late, "LATE_SUPERSEDED").otherwise("CORRECTION_SUPERSEDED").alias("disposition"))
+
+
+@register("""WITH v AS (SELECT user_id, event_type, ts AS effective_from, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS effective_to, event_id FROM events)
+SELECT o_orderkey, coalesce(event_id, -1) AS version FROM orders LEFT JOIN v ON user_id = o_custkey % 150 AND o_orderdate + INTERVAL 9000 DAY >= effective_from AND o_orderdate + INTERVAL 9000 DAY < coalesce(effective_to, TIMESTAMP '9999-12-31')""")
+def asof_versions(spark, sf_dir):
+    """Each order with the version of a user's state that holds at a later date; many versions, half-open ranges."""
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    h = table(spark, sf_dir, "events").select("user_id", F.col("event_id").alias("version"), F.col("ts").alias("effective_from"), F.lead("ts").over(w).alias("effective_to"))
+    o = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") % 150).alias("user_id"), (F.col("o_orderdate") + F.expr("interval 9000 days")).alias("at"))
+    return R.join_as_of(o, h, "user_id", "at", "version", F.lit(-1).cast("bigint")).select("o_orderkey", "version")
+
+
+@register("WITH e AS (SELECT user_id, ts AS a, ts + INTERVAL 1 HOUR AS b, event_id FROM events), p AS (SELECT *, max(b) OVER (PARTITION BY user_id ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pe FROM e) SELECT user_id, count(*) AS overlaps FROM p WHERE a < pe GROUP BY 1")
+def assert_history_overlap(spark, sf_dir):
+    h = table(spark, sf_dir, "events").select("user_id", F.col("ts").alias("effective_from"), (F.col("ts") + F.expr("interval 1 hour")).alias("effective_to"))
+    return R.history_overlaps(h, "user_id").groupBy("user_id").agg(F.count("*").alias("overlaps"))
+
+
+@register("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
+def assert_unique_combination(spark, sf_dir):
+    return R.not_unique(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
+
+
+@register("SELECT event_id FROM events WHERE NOT coalesce(value >= 10, false)")
+def assert_expression(spark, sf_dir):
+    return R.failing(table(spark, sf_dir, "events"), F.col("value") >= 10).select("event_id")
+
+
+@register("SELECT o_orderkey FROM orders WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)")
+def assert_relationship(spark, sf_dir):
+    return R.orphans(table(spark, sf_dir, "orders"), "o_orderkey", table(spark, sf_dir, "lineitem"), "l_orderkey").select("o_orderkey")
+
+
+_CHECKS = {
+    "facts_keep_every_order": "(SELECT count(*) FROM sil_order WHERE analysis_scope_status <> 'QUARANTINED') = (SELECT count(*) FROM fact_order)",
+    "payments_sum": "(SELECT coalesce(sum(payment_value), 0) FROM fact_payment) = (SELECT coalesce(sum(payment_value), 0) FROM mart_order_delivery)",
+    "orders_sum": "(SELECT count(*) FROM fact_order) = (SELECT sum(order_count) FROM mart_order_delivery)",
+    "value_sum": "(SELECT coalesce(sum(price), 0) FROM fact_order_item) = (SELECT coalesce(sum(gross_merchandise_value), 0) FROM mart_order_delivery)",
+    "review_weights": f"(SELECT count(*) FROM fact_review_base) * {UNIT}::HUGEINT = (SELECT coalesce(sum(weight_units), 0) FROM bridge_review_item)",
+}
+
+
+@register(sql(" UNION ALL ".join(f"SELECT '{n}' AS check_name, ({c})::BOOLEAN AS holds" for n, c in _CHECKS.items())))
+def reconciliation(spark, sf_dir):
+    """Facts against tables, and marts against facts: one row for each check."""
+    m = models(spark, sf_dir)
+    one = lambda name, c, where=None: (m[name].where(where) if where else m[name]).agg(F.coalesce(c, F.lit(0)).cast("decimal(38,2)").alias("v"))
+    pairs = {
+        "facts_keep_every_order": (one("sil_order", F.count("*"), "analysis_scope_status <> 'QUARANTINED'"), one("fact_order", F.count("*"))),
+        "payments_sum": (one("fact_payment", F.sum("payment_value")), one("mart_order_delivery", F.sum("payment_value"))),
+        "orders_sum": (one("fact_order", F.count("*")), one("mart_order_delivery", F.sum("order_count"))),
+        "value_sum": (one("fact_order_item", F.sum("price")), one("mart_order_delivery", F.sum("gross_merchandise_value"))),
+        "review_weights": (one("fact_review_base", F.count("*") * F.lit(UNIT).cast("decimal(20,0)")), one("bridge_review_item", F.sum(F.col("weight_units").cast("decimal(20,0)")))),
+    }
+    rows = [a.crossJoin(b.withColumnRenamed("v", "w")).select(F.lit(n).alias("check_name"), (F.col("v") == F.col("w")).alias("holds")) for n, (a, b) in pairs.items()]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+@register(sql("SELECT review_key, sum(weight_units)::BIGINT AS units, count(*) AS n FROM bridge_review_item GROUP BY 1 HAVING sum(weight_units) <> 1000000000000000000 OR count(*) <> greatest(max(item_count_for_review), 1)"))
+def attribution_reconciliation(spark, sf_dir):
+    b = models(spark, sf_dir)["bridge_review_item"].groupBy("review_key").agg(F.sum("weight_units").alias("units"), F.count("*").alias("n"), F.max("item_count_for_review").alias("m"))
+    return b.where((F.col("units") != UNIT) | (F.col("n") != F.greatest("m", F.lit(1)))).select("review_key", "units", "n")
+
+
+@register(None)
+def relation_fingerprints(spark, sf_dir):
+    """Row count and an order-free content hash of every published model."""
+    m = models(spark, sf_dir)
+    out = None
+    for name in MODELS:
+        f = R.fingerprint(published(m[name], MODELS[name]), name)
+        out = f if out is None else out.unionByName(f)
+    return out
+
+
+@register("SELECT count(*) AS row_count, count(DISTINCT md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey))) AS distinct_rows FROM lineitem")
+def batch_hash_counts(spark, sf_dir):
+    h = F.md5(F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").cast("binary"))
+    return table(spark, sf_dir, "lineitem").agg(F.count("*").alias("row_count"), F.count_distinct(h).alias("distinct_rows"))
+
+
+_RAW = "CASE WHEN o_orderkey % 50 = 0 THEN '' WHEN o_orderkey % 51 = 0 THEN '1.5' ELSE (o_orderkey % 7)::VARCHAR END"
+
+
+@register(f"""WITH r AS (SELECT {_RAW} AS v, CASE WHEN o_orderkey % 40 = 0 THEN '2020/01/01' ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS t FROM orders),
+e AS (SELECT 'review_score' AS column_name, CASE WHEN v = '' THEN 'FIELD_REQUIRED' WHEN NOT regexp_full_match(v, '[+-]?[0-9]+') THEN 'INTEGER_INVALID' WHEN v::DOUBLE < 1 OR v::DOUBLE > 5 THEN 'RANGE_INVALID' END AS code FROM r
+UNION ALL SELECT 'review_creation_date', CASE WHEN NOT regexp_full_match(t, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}} [0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}') THEN 'TIMESTAMP_INVALID' END FROM r)
+SELECT code, column_name, count(*) AS n FROM e WHERE code IS NOT NULL GROUP BY ALL""")
+def validation_error_histogram(spark, sf_dir):
+    o = F.col("o_orderkey")
+    at = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
+    raw = table(spark, sf_dir, "orders").select(
+        o.cast("string").alias("review_id"), o.cast("string").alias("order_id"), F.when(o % 50 == 0, "").when(o % 51 == 0, "1.5").otherwise((o % 7).cast("string")).alias("review_score"), F.lit("").alias("review_comment_title"), F.lit("").alias("review_comment_message"),
+        F.when(o % 40 == 0, "2020/01/01").otherwise(at).alias("review_creation_date"), at.alias("review_answer_timestamp"),
+    )
+    return V.error_histogram(V.validate(raw, V.CONTRACTS["order_reviews"]))
+
+
+@register("""WITH r AS (SELECT l_orderkey, l_linenumber, l_quantity <= 1 AS bad, l_orderkey % 10 = 0 AS old, row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_quantity <= 1 ORDER BY l_partkey, l_suppkey, l_extendedprice) AS nth FROM lineitem)
+SELECT CASE WHEN bad THEN 'REJECTED' WHEN nth > 1 THEN 'DUPLICATE' WHEN old THEN 'REPLAY' ELSE 'NEW' END AS disposition, count(*) AS n FROM r GROUP BY 1""")
+def record_disposition(spark, sf_dir):
+    k = F.concat_ws(":", "l_orderkey", "l_linenumber")
+    rows = table(spark, sf_dir, "lineitem").select(k.alias("h"), "l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice", F.when(F.col("l_quantity") <= 1, F.array(F.lit("RANGE_INVALID"))).otherwise(F.array().cast("array<string>")).alias("errors"))
+    history = rows.where(F.col("l_orderkey") % 10 == 0).select("h")
+    return V.dispositions(rows, history, "h", ["l_partkey", "l_suppkey", "l_extendedprice"]).groupBy("disposition").agg(F.count("*").alias("n"))
+
+
+_DLP = f"""WITH d AS (SELECT doc_id, 'Comment: ' || trim(text, ' ') AS t FROM documents)
+SELECT doc_id, CASE WHEN length(t) > {MAX_REVIEW_TEXT} THEN 'TEXT_TOO_LONG' WHEN regexp_matches(t, '(?i)\\b(?:order|customer|seller|review)[ _-]?id\\s*[:=]') THEN 'DIRECT_IDENTIFIER'
+  WHEN regexp_matches(t, '(?i)\\b(?:password|senha|api[ _-]?key|access[ _-]?token|private[ _-]?key)\\b') THEN 'SECRET_LIKE' ELSE 'APPROVED' END AS outcome,
+  len(regexp_extract_all(t, '(?i)\\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\\.[A-Z]{{2,}}\\b'))::BIGINT AS emails FROM d"""
+
+
+@register(_DLP)
+def dlp_decisions(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    p = X.dlp_project(d, F.lit(None).cast("string"), F.col("text"), "review-dlp-v1", F.sha2(F.col("text").cast("binary"), 256))
+    t = X.review_text(F.lit(None).cast("string"), F.col("text"))
+    return p.select("doc_id", F.coalesce("reason", F.lit("APPROVED")).alias("outcome"), redact(t, ("EMAIL",))[1].alias("emails"))
+
+
+@register("SELECT CASE WHEN c.doc_id IS NULL THEN 'NEW' WHEN c.h <> sha256(d.text) THEN 'CHANGED' ELSE 'REUSED' END AS selection, count(*) AS n FROM documents d LEFT JOIN (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'old' ELSE sha256(text) END AS h FROM documents WHERE lang <> 'en') c ON c.doc_id = d.doc_id GROUP BY 1")
+def change_selection(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", F.sha2(F.col("text").cast("binary"), 256).alias("h"))
+    old = d.where("lang <> 'en'").withColumn("h", F.when(F.col("doc_id") % 3 == 0, "old").otherwise(F.col("h")))
+    return X.select_changes(d, old, "doc_id", "h", F.lit(True)).groupBy("selection").agg(F.count("*").alias("n"))
+
+
+@register("SELECT count(*) AS base_rows, count(*) FILTER (n_chars <= 2000) AS eligible_rows, count(l.doc_id) FILTER (n_chars <= 2000) AS valid_rows, count(*) FILTER (n_chars <= 2000 AND l.doc_id IS NULL) AS missing_rows, round(count(l.doc_id) FILTER (n_chars <= 2000)::DOUBLE / nullif(count(*) FILTER (n_chars <= 2000), 0), 6) AS coverage_ratio FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
+def coverage_projection(spark, sf_dir):
+    return X.coverage(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id", F.col("n_chars") <= 2000)
+
+
+@register("SELECT event_type, count(*) AS requests, count(DISTINCT user_id) AS states, round(sum(value::DECIMAL(18,2))::DOUBLE, 6) AS latency_total, quantile_disc(value::DECIMAL(18,2), 0.95)::DOUBLE AS latency_p95 FROM events GROUP BY 1")
+def telemetry_p95(spark, sf_dir):
+    e = table(spark, sf_dir, "events").withColumn("v", F.col("value").cast("decimal(18,2)"))
+    t = X.telemetry(e, ["event_type"], "user_id", "v", "v")
+    return t.select("event_type", "requests", "states", F.round(F.col("latency_total").cast("double"), 6).alias("latency_total"), F.col("latency_p95").cast("double").alias("latency_p95"))
+
+
+@register("""WITH c AS (SELECT lang, source, count(*) AS n FROM documents GROUP BY ALL), x AS (SELECT *, n * 20 // 100 AS base, (n * 20) % 100 AS rest FROM c),
+q AS (SELECT lang, source, base + CASE WHEN row_number() OVER (ORDER BY rest DESC, sha256(concat_ws(':', 'seed-1', lang, source))) <= (SELECT ceil(sum(n) * 20 / 100) - sum(base) FROM x) THEN 1 ELSE 0 END AS quota FROM x),
+r AS (SELECT doc_id, lang, source, row_number() OVER (PARTITION BY lang, source ORDER BY sha256('seed-1:' || doc_id), doc_id) AS rk FROM documents)
+SELECT doc_id, rk <= quota AS held_out FROM r JOIN q USING (lang, source)""")
+def stratified_holdout(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    return X.stratified_holdout(d, "doc_id", ["lang", "source"], 20, "seed-1").select("doc_id", "held_out")
+
+
+_PRED = "CASE WHEN regexp_matches(text, '[#*$%&|]{2,}|!!') THEN 0 ELSE 1 END"
+
+
+@register(f"""WITH p AS (SELECT quality AS t, {_PRED} AS p FROM documents JOIN labels USING (doc_id)), c AS (SELECT unnest([0, 1]) AS k)
+SELECT k AS class, count(*) FILTER (t = k AND p = k) AS tp, count(*) FILTER (t <> k AND p = k) AS fp, count(*) FILTER (t = k AND p <> k) AS fn,
+round(coalesce(2.0 * count(*) FILTER (t = k AND p = k)::DOUBLE / nullif(count(*) FILTER (t = k) + count(*) FILTER (p = k), 0), 0), 6) AS f1 FROM p, c GROUP BY 1""")
+def label_f1(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id").select("quality", F.when(F.col("text").rlike("[#*$%&|]{2,}|!!"), 0).otherwise(1).alias("p"))
+    return X.f1_by_class(d, "quality", "p").select("class", "tp", "fp", "fn", F.round("f1", 6).alias("f1"))
+
+
+@register("SELECT CASE WHEN length(text) < 80 THEN 'short' WHEN length(text) < 240 THEN 'medium' ELSE 'long' END AS bucket, lang, count(*) AS n, sum((length(text) + 3) // 4)::BIGINT AS tokens FROM documents GROUP BY ALL")
+def length_bucket_profile(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select(X.length_bucket(F.col("text")).alias("bucket"), "lang", X.estimated_tokens(F.col("text")).alias("t"))
+    return d.groupBy("bucket", "lang").agg(F.count("*").alias("n"), F.sum("t").alias("tokens"))
+
+
+_QUERY = [round(((7 * i) % 13 - 6) / 10, 1) for i in range(64)]
+_LIST = "[" + ", ".join(map(str, _QUERY)) + "]::DOUBLE[]"
+
+
+@register(f"SELECT vec_id, round(list_sum(list_transform(range(1, 65), lambda i: (embedding[i]::DOUBLE - ({_LIST})[i]) ** 2)), 6) AS distance FROM embeddings ORDER BY 2, vec_id LIMIT 10")
+def vector_topk_l2(spark, sf_dir):
+    return R.top_k(table(spark, sf_dir, "embeddings"), _QUERY, 10).select("vec_id", F.round("distance", 6).alias("distance"))
+
+
+@register(f"SELECT vec_id, round(list_sum(list_transform(range(1, 65), lambda i: (embedding[i]::DOUBLE - ({_LIST})[i]) ** 2)), 6) AS distance FROM embeddings WHERE label = 3 ORDER BY 2, vec_id LIMIT 5")
+def vector_topk_filtered(spark, sf_dir):
+    return R.top_k(table(spark, sf_dir, "embeddings"), _QUERY, 5, where=F.col("label") == 3).select("vec_id", F.round("distance", 6).alias("distance"))
+
+
+@register("SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rk FROM events) WHERE rk = 1")
+def latest_event_state(spark, sf_dir):
+    w = Window.partitionBy("user_id").orderBy(F.col("ts").desc(), F.col("event_id").desc())
+    return table(spark, sf_dir, "events").withColumn("rk", F.row_number().over(w)).where("rk = 1").select("user_id", "event_id", "event_type")
+
+
+@register("WITH o AS (SELECT c_custkey AS id, c_acctbal AS v FROM customer), n AS (SELECT s_suppkey AS id, s_acctbal AS v FROM supplier) SELECT coalesce(o.id, n.id) AS id, CASE WHEN o.id IS NULL THEN 'INSERTED' WHEN n.id IS NULL THEN 'KEPT' WHEN o.v = n.v THEN 'REUSED' ELSE 'REPLACED' END AS commit_state FROM o FULL JOIN n ON o.id = n.id")
+def commit_states(spark, sf_dir):
+    o = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("v"))
+    n = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_acctbal").alias("v"))
+    return X.commit_validated(o, n, "id", "v").select("id", "commit_state")
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
