@@ -43,7 +43,9 @@ from pyspark.sql import functions as F
 from kelpline.llm.common import Scratch, slices
 
 MASK_DELTA = 0xA282EAD8
-_HEAD = struct.Struct("<qB")
+#: what stands before the ids in a payload: the document id and flags
+_HEAD = "<qB"
+_HEAD_SIZE = struct.calcsize(_HEAD)
 _INDEX = "shard int, path string, ordinal int, offset bigint, length bigint, doc_id bigint, n_tokens bigint"
 
 
@@ -168,7 +170,7 @@ def _writer(folder: str, tokenizer: str, end_id: int):
                 for tokens in encode([x or "" for x in part.to_pylist()]):
                     doc = ids[row].as_py()
                     row += 1
-                    record = frame(_HEAD.pack(doc or 0, (doc is not None) | 2 * wide) + tokens)
+                    record = frame(struct.pack(_HEAD, doc or 0, (doc is not None) | 2 * wide) + tokens)
                     rows["offset"].append(offset)
                     rows["length"].append(len(record))
                     rows["n"].append(len(tokens) // encode.dtype.itemsize)
@@ -226,8 +228,8 @@ def _reader(folder: str, digest: bool):
                 if p != path:
                     path, source = p, store.open_input_file(f"{at}/{p}")
                 payload = unframe(source.read_at(length, offset))
-                doc, flags = _HEAD.unpack_from(payload)
-                tokens = np.frombuffer(payload, "<u4" if flags & 2 else "<u2", offset=_HEAD.size).astype("<u4")
+                doc, flags = struct.unpack_from(_HEAD, payload)
+                tokens = np.frombuffer(payload, "<u4" if flags & 2 else "<u2", offset=_HEAD_SIZE).astype("<u4")
                 docs.append(doc if flags & 1 else None)
                 counts.append(len(tokens))
                 if digest:
