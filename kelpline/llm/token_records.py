@@ -27,6 +27,7 @@ An empty table gives no records.
 from __future__ import annotations
 
 import functools
+import gc
 import json
 import re
 import struct
@@ -78,8 +79,8 @@ _N = "0-9²³¹¼-¾"
 _S = "\t-\r \u0085 "
 _KNOWN = re.compile(r"[\t-\r -~\u0085 -ɏ]*")
 _PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
-#: pieces that a task remembers, twice at most; about 150 bytes each
-_REMEMBERED = 300_000
+#: pieces that a worker remembers, twice at most, and characters of one; about 150 bytes each
+_REMEMBERED, _LONGEST = 600_000, 64
 
 
 class Encoder:
@@ -120,6 +121,13 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The little-endian ids of each text, with the end id."""
+        gc.disable()  # nothing here makes cycles, and lists of pieces are long to walk
+        try:
+            return self._ids(texts)
+        finally:
+            gc.enable()
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
         pieces: dict[int, list[str]] = {}
         whole = []
@@ -138,6 +146,8 @@ class Encoder:
             self._learn(list(new))
         for i, own in pieces.items():
             out[i] = b"".join([*map(self.known.__getitem__, own), self.end])
+        for p in [p for p in new if len(p) > _LONGEST]:
+            del self.known[p]
         for i, ids in zip(whole, self._encode([texts[i] for i in whole])):
             out[i] = ids.tobytes() + self.end
         return out
