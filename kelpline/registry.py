@@ -13,6 +13,8 @@ from kelpline.operators import text as X
 from kelpline.operators import validate as V
 from kelpline.plans import gold, silver
 from kelpline.plans.oracles import sql
+from kelpline.sinks.release import Releases, shared_folder, write_quarantine, write_raw
+from kelpline.sources import files
 from kelpline.sources.commerce import bronze, table
 
 #: Columns of each model as published; d: a number of 6 places, s: text of a date or time, i: a whole number.
@@ -318,6 +320,41 @@ def commit_states(spark, sf_dir):
     return X.commit_validated(o, n, "id", "v").select("id", "commit_state")
 
 
+_SELLERS = """SELECT s_suppkey, CASE WHEN s_suppkey % 11 = 0 THEN '' WHEN s_suppkey % 10 = 0 THEN '12' ELSE lpad(s_nationkey::VARCHAR, 5, '0') END AS zip, CASE WHEN s_suppkey % 7 = 0 THEN 'x' ELSE 'SP' END AS state FROM supplier"""
+
+
+@register(f"""WITH s AS ({_SELLERS}), f AS (SELECT *, 1 AS nth FROM s UNION ALL SELECT *, 2 FROM s WHERE s_suppkey % 9 = 0),
+d AS (SELECT s_suppkey, CASE WHEN zip = '' THEN 'FIELD_REQUIRED' WHEN zip = '12' OR state = 'x' THEN 'FORMAT_INVALID' WHEN nth = 2 THEN 'DUPLICATE_RECORD' END AS error_code FROM f)
+SELECT CASE WHEN error_code IS NULL THEN 'raw' ELSE 'quarantine' END AS sink, error_code, count(*) AS n, sum(s_suppkey)::BIGINT AS ids FROM d GROUP BY ALL""")
+def csv_ingest(spark, sf_dir):
+    """Sellers as a CSV with quotes and line ends in fields, read against the contract, and written to the raw and quarantine folders."""
+    base, contract = shared_folder(spark, "ingest"), V.CONTRACTS["sellers"]
+    k, names = F.col("s_suppkey"), [f.name for f in contract.fields]
+    src = table(spark, sf_dir, "supplier").select(
+        k.cast("string").alias("seller_id"), F.when(k % 11 == 0, "").when(k % 10 == 0, "12").otherwise(F.lpad(F.col("s_nationkey").cast("string"), 5, "0")).alias("seller_zip_code_prefix"),
+        F.concat(F.lit(' a "b", c\n'), "s_name").alias("seller_city"), F.when(k % 7 == 0, "x").otherwise("SP").alias("seller_state"),
+    )
+    files.write_csv(src.unionByName(src.where("cast(seller_id as bigint) % 9 = 0")), f"{base}/source")
+    rows = V.validate(files.read_csv(spark, f"{base}/source", contract), contract).withColumn("record_hash", V.record_hash(names))
+    found = V.dispositions(rows, rows.limit(0).select("record_hash"), "record_hash", ["source_file", "source_row_number"])
+    write_raw(found.where("disposition = 'NEW'").drop("errors"), base, "sellers", "r1", "b1")
+    write_quarantine(V.quarantined(found, names).drop("errors"), base, "sellers", "b1")
+    # where no row was rejected there is no folder of a code
+    bad = spark.read.schema("seller_id string, error_code string").parquet(f"{base}/quarantine/sellers")
+    good = spark.read.parquet(f"{base}/raw/sellers").where("source_release_id = 'r1' and batch_id = 'b1'").select("seller_id", F.lit(None).cast("string").alias("error_code"))
+    out = good.withColumn("sink", F.lit("raw")).unionByName(bad.select("seller_id", "error_code", F.lit("quarantine").alias("sink")))
+    return out.groupBy("sink", "error_code").agg(F.count("*").alias("n"), F.sum(F.col("seller_id").cast("bigint")).alias("ids"))
+
+
+@register(published_sql("sem_order_delivery", MODELS["sem_order_delivery"]))
+def released_order_delivery(spark, sf_dir):
+    """The semantic view, read from the active release after a candidate was built and activated."""
+    m, releases = models(spark, sf_dir), Releases(spark, shared_folder(spark, "releases"))
+    releases.build("c1", {n: m[n] for n in ("sem_order_delivery", "sem_product_review")})
+    releases.activate("c1", 0)
+    return published(releases.resolve("sem_order_delivery")["sem_order_delivery"], MODELS["sem_order_delivery"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
