@@ -7,9 +7,9 @@ lines with a word that occur more than once in all documents are removed but for
 doc_id, then place), after their bytes have been compared.
 
 1. Chunks of all documents, by a 128-bit hash and place, without their bytes: counted, and those that repeat found.
-2. Each document gets the list of its repeated chunks; only these chunks' bytes are compared, by grouping on the hash: the
-   least and the greatest text are equal if all are. (A hash that two texts share removes neither.)
-3. The documents are written without the chunks that repeat.
+2. Each document is joined once with the list of its repeated chunks, and saved so; only these chunks' bytes are
+   compared, by grouping on the hash: the least and the greatest text are equal if all are. (A hash that two texts share removes neither.)
+3. The saved documents are returned without the chunks that repeat.
 
 Defined cases: null text stays null, an empty one empty. Rows that repeat a doc_id and a text are one document: they
 are cleaned alike, and not against each other. A null doc_id sorts first. A line is what \\n separates. Columns of the
@@ -102,20 +102,26 @@ def dedup(docs: DataFrame, column: str = "line_dedup") -> DataFrame:
     found = own.join(repeated, "key").select("doc_id", "mark", "no", "key", place.eqNullSafe(F.col("lo")).alias("keeps"))
     lists = scratch.save(found.distinct().groupBy("doc_id", "mark").agg(F.sort_array(F.collect_list(F.struct("no", "key", "keeps"))).alias("found")))
     scratch.drop(own)
-    right = lists.select(F.col("doc_id").alias("d_"), F.col("mark").alias("m_"), "found")
-    texts = docs.select("doc_id", "text", mark.alias("mark"))
-    some = texts.join(right, texts["doc_id"].eqNullSafe(right["d_"]) & (texts["mark"] == right["m_"])).select("found", _chunk_texts("text", F.transform("found", lambda x: x["no"])).alias("bytes"))
+    d, m, g, h = (unused(docs, x) for x in ("d_", "m_", "found_", "mark_"))
+    with_mark = docs.withColumn(h, mark)
+
+    def placed(lists: DataFrame) -> DataFrame:
+        """docs, each with its repeated chunks. Always a shuffled join: the lists grow with the documents."""
+        right = lists.select(F.col("doc_id").alias(d), F.col("mark").alias(m), F.col("found").alias(g)).hint("merge")
+        return scratch.save(with_mark.join(right, F.col("doc_id").eqNullSafe(F.col(d)) & F.col(h).eqNullSafe(F.col(m)), "left").drop(d, m, h))
+
+    out = placed(lists)
+    some = out.where(F.col(g).isNotNull()).select(F.col(g).alias("found"), _chunk_texts("text", F.transform(g, lambda x: x["no"])).alias("bytes"))
     pairs = some.select(F.explode(F.arrays_zip(F.transform("found", lambda x: x["key"]).alias("key"), F.col("bytes"))).alias("z")).select("z.key", "z.bytes")
     clash = scratch.save(pairs.groupBy("key").agg(F.min("bytes").alias("a"), F.max("bytes").alias("b")).where("a <> b").select("key"))
     if not clash.isEmpty():
         bad = lists.select("doc_id", "mark", F.explode("found").alias("f")).select("doc_id", "mark", "f.*").join(clash, "key", "left_anti")
-        lists = scratch.save(bad.groupBy("doc_id", "mark").agg(F.sort_array(F.collect_list(F.struct("no", "key", "keeps"))).alias("found")))
-    gone = lists.select("doc_id", "mark", F.transform(F.filter("found", lambda x: ~x["keeps"]), lambda x: x["no"]).alias("gone"), F.size("found").alias("n")).where(F.size("gone") > 0)
-    d, m, g, n, h = (unused(docs, x) for x in ("d_", "m_", "gone_", "n_", "mark_"))
-    right = gone.select(F.col("doc_id").alias(d), F.col("mark").alias(m), F.col("gone").alias(g), F.col("n").alias(n))
-    left = docs.withColumn(h, mark)
-    out = left.join(right, F.col("doc_id").eqNullSafe(F.col(d)) & F.col(h).eqNullSafe(F.col(m)), "left")
+        scratch.drop(out)
+        out = placed(bad.groupBy("doc_id", "mark").agg(F.sort_array(F.collect_list(F.struct("no", "key", "keeps"))).alias("found")))
+    scratch.drop(lists, repeated)
+    gone = F.transform(F.filter(g, lambda x: ~x["keeps"]), lambda x: x["no"])
     text = unused(docs, "text_")
-    out = out.withColumn(text, F.when(F.col(g).isNull(), F.col("text")).otherwise(_without("text", F.coalesce(F.col(g), F.array().cast("array<int>")))))
-    removed = F.coalesce(F.size(F.col(g)), F.lit(0)).cast("bigint")
-    return out.select(*[F.col(text).alias("text") if c == "text" else F.col(c) for c in docs.columns], F.struct(F.greatest(removed, F.lit(0)).alias("n_removed")).alias(column))
+    out = out.withColumn(g, F.coalesce(gone, F.array().cast("array<int>")))
+    out = out.withColumn(text, F.when(F.size(g) == 0, F.col("text")).otherwise(_without("text", g)))
+    removed = F.size(g).cast("bigint")
+    return out.select(*[F.col(text).alias("text") if c == "text" else F.col(c) for c in docs.columns], F.struct(removed.alias("n_removed")).alias(column))
