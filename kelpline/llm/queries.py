@@ -26,7 +26,7 @@ def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_dedup.dedup(docs, "d").select("doc_id", "text", F.col("d.n_removed").alias("n_removed"))
+    return line_dedup.dedup(docs, "d", line_dedup.OVER).select("doc_id", "text", F.col("d.n_removed").alias("n_removed"))
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -141,6 +141,53 @@ def test_line_dedup_equals_one_pass(spark, odd, where):
     assert sorted(str((r["doc_id"], r["text"])) for r in got) == sorted(str((d, expected[d, t])) for d, t in _table(spark, at, "documents"))
 
 
+def _repeated_lines(docs, over=50):
+    """(document, line) of all runs of equal lines of more than `over` words that stood before without overlap: all pairs of places, line by line."""
+    lines = [(t or "").encode().split(b"\n") for _, t in docs]
+    at = {}
+    for d, own in enumerate(lines):
+        for i, x in enumerate(own):
+            at.setdefault(x, []).append((d, i))
+    gone = set()
+    for x, places in at.items():
+        for n, (d, i) in enumerate(places if x.strip() else ()):
+            for e, j in places[:n]:
+                a, b = lines[d][i:], lines[e][j : i if d == e else None]
+                run, words = [], 0
+                for k, (y, z) in enumerate(zip(a, b)):
+                    if y != z:
+                        break
+                    words += len(y.split())
+                    run += [(d, i + k)] * bool(y.strip())
+                    if words > over:
+                        gone |= set(run)
+    return lines, gone
+
+
+@pytest.mark.parametrize("where", ["odd", "made", "whole"])
+def test_line_dedup_loses_no_repeated_run_of_lines(spark, odd, tmp_path, where):
+    if where == "made":
+        part = [f"{i} shared words of the passage, line {i}, ten in all" for i in range(6)]  # 60 words, 6 lines
+        long = " ".join(f"long{i}" for i in range(60))
+        short = "\n".join(part[:5])  # 50 words: stays
+        texts = ["\n".join(["own a", *part, "own b", long]), "\n".join(["own c", *part, "own d"]), f"own e\n{long}\nown f", f"own g\n{short}\nown h", "\n".join(["own i", part[0], "", *part[1:], "own j"])]
+        texts += ["\n".join(["own k", part[0], "", *part[1:], "own l"]), "again and again\n" * 60]
+        spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    at = {"odd": odd, "made": str(tmp_path), "whole": SF}[where]
+    docs = sorted({r for r in _table(spark, at, "documents") if r[1] is not None}, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    lines, gone = _repeated_lines(docs)
+    assert gone
+    got = {(r["doc_id"], old): r["text"].encode() for old, r in ((r["old"], r) for r in line_dedup.dedup(spark.createDataFrame(docs, "doc_id bigint, old string").selectExpr("*", "old AS text"), over=line_dedup.OVER).collect())}
+    kept = Counter(x for t in got.values() for x in t.split(b"\n"))
+    assert all(kept[x] for own in lines for x in own if x.strip())
+    for d, (doc, text) in enumerate(docs):
+        left = [x for x in got[doc, text].split(b"\n") if x.strip()]
+        rest = [x for i, x in enumerate(lines[d]) if x.strip() and (d, i) not in gone]
+        assert not Counter(left) - Counter(rest), (doc, text)
+        assert where != "made" or left == rest
+    assert rows_of(queries.op2_line_dedup(spark, at))[1]
+
+
 def test_classifier_is_right_on_held_out_rows(spark):
     at = "/root/testdata/sf0.01"
     out = queries.op4_quality_pu(spark, at).join(spark.read.parquet(f"{at}/labels.parquet"), "doc_id").where("held_out").toPandas()
