@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from kelpline.llm.common import Scratch, row_of, slices, small
+from kelpline.llm.common import Scratch, row_of, slices, small, unused
 from kelpline.llm.superminhash import band_hashes, signatures
 from kelpline.llm.wordhash import SPACED, U64, Words, mix, shingles
 
@@ -176,15 +176,18 @@ def _most_differing(threshold: int) -> int:
     return math.ceil(SKETCH * share + 5 * math.sqrt(SKETCH * share * (1 - share)))
 
 
-def near_dedup(docs: DataFrame, threshold: int = 75, small_bucket: int = SMALL_BUCKET) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every row of docs (doc_id, text)."""
+def _decided(docs: DataFrame, threshold: int, small_bucket: int) -> DataFrame:
+    """What near_dedup returns, and the digest of the row's set (null without words)."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "near_dedup")
     signed = scratch.save(docs.select("doc_id", _signed("text").alias("s")).select("doc_id", "s.*"))
     classes = scratch.save(signed.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.min("doc_id").alias("rep"), F.first("bands").alias("bands")))
     members = _buckets(scratch, classes)
     wanted = scratch.save(members.select("node", "rep").distinct())
-    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(small(wanted.select("rep").distinct()), "rep", "left_semi")
+    ids = wanted.select(F.col("rep").alias("doc_id")).distinct()
+    named = docs.select("doc_id", "text").join(small(ids.where("doc_id IS NOT NULL")), "doc_id", "left_semi")
+    # null meets nothing in an equality: if all ids of a class are null, the texts without an id are taken
+    texts = named if ids.where("doc_id IS NULL").isEmpty() else named.unionByName(docs.where("doc_id IS NULL").select("doc_id", "text"))
     sets = texts.select(_full_set("text").alias("s")).select("s.*").dropDuplicates(["node"])
     sets = scratch.save(sets.where(F.length("hashes") > 0))
     hot = wanted.join(members.where(F.col("size") > small_bucket).select("node").distinct(), "node", "left_semi")
@@ -227,13 +230,26 @@ def near_dedup(docs: DataFrame, threshold: int = 75, small_bucket: int = SMALL_B
     found = scratch.save(whole.join(ids, "label").select("node", "component"))
     out = signed.select("doc_id", "n", "node").join(found, "node", "left")
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "node")
+
+
+def near_dedup(docs: DataFrame, threshold: int = 75, small_bucket: int = SMALL_BUCKET) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for every row of docs (doc_id, text)."""
+    return _decided(docs, threshold, small_bucket).drop("node")
 
 
 def keep_one(docs: DataFrame, threshold: int = 75) -> DataFrame:
     """The rows of docs without the near copies: of each component the document of least doc_id stays, with all its columns.
 
-    Rows that repeat a doc_id stay or go together.
+    Rows that repeat a doc_id stay or go together. Rows of null doc_id are told apart by their sets: such a row goes
+    if its component has an id, and stays if all its ids are null.
     """
-    gone = near_dedup(docs, threshold).where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    gone = _decided(docs, threshold, SMALL_BUCKET).where("not kept")
+    out = docs.join(gone.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    nodes = gone.where("doc_id IS NULL").select("node").distinct()
+    if nodes.isEmpty():
+        return out
+    node = unused(docs, "node_")
+    own = docs.where("doc_id IS NULL").withColumn(node, _full_set("text")["node"])
+    own = own.join(nodes.withColumnRenamed("node", node), node, "left_anti").select(docs.columns)
+    return out.where("doc_id IS NOT NULL").unionByName(own)

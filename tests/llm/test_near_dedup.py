@@ -67,6 +67,19 @@ def test_keeps_one_of_each_and_all_columns(spark):
     assert sorted(r.doc_id for r in out.collect()) == [1, 2, 2]
 
 
+def test_near_copies_without_an_id(spark):
+    text = lambda k, own="": " ".join([*(f"{k}{i}" for i in range(40)), own])
+    # b and d: near copies of rows with ids, in classes whose ids are all null; c: two near copies without any id; d: linked through such a class only
+    far = [f"d{i}" for i in range(60)]
+    rows = [(7, text("b")), (None, text("b", "x")), (None, text("c")), (None, text("c", "y")), (None, text("e")), (9, " ".join(far[:50])), (None, " ".join(far[5:55])), (8, " ".join(far[10:])), (None, None)]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id bigint, text string, node_ int")
+    near = N.near_dedup(docs).collect()
+    assert {(r.doc_id, r.component_id, r.kept) for r in near} == {(7, 7, True), (None, 7, False), (None, None, True), (9, 8, False), (None, 8, False), (8, 8, True)}
+    out = N.keep_one(docs)
+    assert out.columns == docs.columns
+    assert sorted(r.node_ for r in out.collect()) == [0, 2, 3, 4, 7, 8]
+
+
 def test_empty(spark):
     assert N.near_dedup(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
 
