@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -28,13 +30,36 @@ def shared_dir(spark: SparkSession) -> str:
     return "file:///tmp/checkpoints"
 
 
+_MADE: ContextVar[list | None] = ContextVar("made", default=None)
+
+
 class Scratch:
-    """A new folder below the shared one. Tables saved there cut the lineage and survive lost executors."""
+    """A new folder below the shared one. Tables saved there cut the lineage and survive lost executors.
+
+    As a context manager it is deleted if the block fails. What a result still reads is deleted when the session's
+    file system is closed at the driver's end, or by the end of a cleared() block.
+    """
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         self.n = 0
+        fs, p = self._fs(self.path)
+        fs.mkdirs(p)
+        fs.deleteOnExit(p)
+        if (made := _MADE.get()) is not None:
+            made.append(self)
+
+    def _fs(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark._jsc.hadoopConfiguration()), p
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, kind, *_) -> None:
+        if kind is not None:
+            self.clear()
 
     def save(self, df: DataFrame) -> DataFrame:
         self.n += 1
@@ -47,13 +72,34 @@ class Scratch:
     def drop(self, *tables: DataFrame) -> None:
         """Delete saved tables that nothing reads any more."""
         for t in tables:
-            p = self.spark._jvm.org.apache.hadoop.fs.Path(t._kept_at)
-            p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+            fs, p = self._fs(t._kept_at)
+            fs.delete(p, True)
+
+    def clear(self) -> None:
+        fs, p = self._fs(self.path)
+        fs.delete(p, True)
+
+
+@contextmanager
+def cleared() -> Iterator[None]:
+    """Folders made inside are deleted at the end: for work whose result has been saved elsewhere."""
+    made: list[Scratch] = []
+    before = _MADE.set(made)
+    try:
+        yield
+    finally:
+        _MADE.reset(before)
+        for s in made:
+            s.clear()
 
 
 def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """A saved table with a hint to broadcast it if a count finds at most `limit` rows; else as it is."""
-    return F.broadcast(df) if df.count() <= limit else df
+    if df.count() > limit:
+        return df
+    out = F.broadcast(df)
+    out._kept_at = getattr(df, "_kept_at", None)
+    return out
 
 
 def row_of(**fields: T.DataType) -> T.StructType:

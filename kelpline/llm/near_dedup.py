@@ -2,18 +2,20 @@
 
 1. Each text's set of distinct shingles (wordhash.shingles) becomes a digest and 32 band
    hashes of 4 slots. Texts with equal sets are one class, kept as one row from here on.
-2. Classes that share a band are candidates. In a bucket of up to `small_bucket` classes, and in
-   those of the finer bands below, every class is first compared with the bucket's leader, which
-   joins most of a large group in linear work; then components are found, and only pairs of
-   a bucket that are still in different components are compared, if they can be linked at all: of each such
-   text the shingles that no other has are counted, as they can't be in any intersection, and sketches of
-   1,024 bits must be within five standard deviations of the threshold's.
-3. Classes of a larger bucket get 128 finer bands of 8 slots, which separate texts that only
-   share a passage. Only these decide within such a bucket. At the threshold of 0.75
-   both miss a pair with a probability below 10^-5.
+2. Classes that share a band are candidates. Every class is compared with the leader of its bucket, which
+   joins most of a large group in linear work; then components are found.
+3. The texts of buckets that still hold several components are paired by their rarest shingles: linked texts have one in common
+   among a share of each that the threshold sets (_postings), and texts that share no more than a passage mostly have none.
+   First the texts of one shingle are dealt out to parts of GROUPS[0], so that a group of n near copies is joined with a multiple of n
+   comparisons; then those that are still outside a shingle's largest component are compared with all of the shingle.
+   No bound on sizes is assumed, and nothing is dropped: a pair is left out only if sizes, places or parities of its
+   shingles prove that it can't be linked.
 4. Comparisons use the full sets of hashes, which are built for candidates only.
 5. Components: hash-to-minimum contraction; each round replaces nodes by their least neighbour.
 
+A pair at the threshold of 0.75 shares no band with a probability below 10^-5; that is all that can be missed.
+Elements permute the slots by keyed bijections (superminhash.py), not by a table of random permutations.
+
 Defined cases: null text, empty text or one without words: no shingles, linked with nothing, kept.
 Fewer words than a shingle: the whole sequence is the one shingle. Rows that repeat a
 doc_id and a text are one document; rows that repeat only the doc_id keep their own sets, and share
@@ -24,23 +26,27 @@ component's id is null only if all its ids are. Extra columns are ignored. An em
 from __future__ import annotations
 
 import hashlib
-import math
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from kelpline.llm.common import Scratch, row_of, slices, small, unused
 from kelpline.llm.superminhash import band_hashes, signatures
-from kelpline.llm.wordhash import SPACED, U64, Words, mix, shingles
+from kelpline.llm.wordhash import SPACED, U64, Words, shingles
 
 BANDS, ROWS = 32, 4
-FINE_BANDS, FINE_ROWS = 128, 8
-SKETCH = 1024
-SMALL_BUCKET = 100
+PARITIES = 1024
+#: Texts of one shingle that are compared with each other: parts of so many, then all that are in different components.
+GROUPS = (64, None)
+
+
+def text_key(text: Column) -> Column:
+    return F.unhex(F.md5(text.cast("binary")))
 
 
 def _digest(hashes: np.ndarray) -> bytes:
@@ -75,23 +81,16 @@ def _full_set(text: pa.Array) -> pa.Array:
 
 
 @arrow_udf(T.ArrayType(T.LongType()))
-def _fine_bands(hashes: pa.Array) -> pa.Array:
-    out = []
-    for s in range(0, len(hashes), 64):
-        sets = [np.frombuffer(x.as_py(), dtype=np.uint64) for x in hashes[s : s + 64]]
-        sig = signatures(np.concatenate(sets), np.cumsum([0, *map(len, sets)]), FINE_BANDS * FINE_ROWS)
-        out += list(band_hashes(sig, FINE_ROWS).view(np.int64))
-    return pa.array(out, pa.list_(pa.int64()))
-
+def _parities(hashes: pa.Array) -> pa.Array:
+    """For each of PARITIES classes of hashes, whether the set has an odd number of them; 64 to a number.
 
-@arrow_udf(T.ArrayType(T.LongType()))
-def _sketch(hashes: pa.Array) -> pa.Array:
-    """One bit of each slot of a fine signature, 64 to a number."""
+    An element that only one of two sets has changes one bit, so that the bits in which they differ are never
+    more than the elements in which they differ.
+    """
     out = []
-    for s in range(0, len(hashes), 64):
-        sets = [np.frombuffer(x.as_buffer(), dtype=np.uint64) for x in hashes[s : s + 64]]
-        sig = signatures(np.concatenate(sets), np.cumsum([0, *map(len, sets)]), SKETCH)
-        out += list(np.packbits((mix(sig) & U64(1)).astype(np.uint8), axis=1).view(np.int64))
+    for x in hashes:
+        counts = np.bincount((np.frombuffer(x.as_buffer(), dtype=np.uint64) & U64(PARITIES - 1)).astype(np.int64), minlength=PARITIES)
+        out.append(np.packbits((counts & 1).astype(np.uint8)).view(np.int64))
     return pa.array(out, pa.list_(pa.int64()))
 
 
@@ -114,34 +113,70 @@ def _common(a: pa.Array, b: pa.Array) -> pa.Array:
     return pa.array(out)
 
 
-def _buckets(scratch: Scratch, banded: DataFrame) -> DataFrame:
-    """Members of bands with two classes or more: key, node, n, rep, and the bucket's size and leader."""
-    rows = banded.select("node", "n", "rep", F.explode("bands").alias("key"))
-    keys = scratch.save(
-        rows.groupBy("key").agg(F.count("*").alias("size"), F.min_by("node", F.struct(F.abs(F.hash("node")), "node")).alias("leader")).where("size > 1")
-    )
-    members = scratch.save(rows.join(keys, "key"))
+def _buckets(scratch: Scratch, classes: DataFrame) -> DataFrame:
+    """Members of bands with two classes or more: key, node, n and the bucket's leader, of node and n."""
+    rows = classes.select("node", "n", F.explode("bands").alias("key"))
+    keys = scratch.save(rows.groupBy("key").agg(F.count("*").alias("size"), F.min_by(F.struct("node", "n"), F.struct(F.abs(F.hash("node")), "node")).alias("leader")).where("size > 1"))
+    members = scratch.save(rows.join(keys, "key").select("key", "node", "n", "leader"))
     scratch.drop(keys)
     return members
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= threshold * union on full sets."""
+    """The pairs (a, b, na, nb and more) with 100 * intersection >= threshold * union on full sets."""
     left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("ha"))
     right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("hb"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "na", "nb", _common("ha", "hb").alias("common"))
-    return both.where(F.lit(100) * F.col("common") >= F.lit(threshold) * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
+    both = pairs.join(left, "a").join(right, "b").select(*pairs.columns, _common("ha", "hb").alias("common"))
+    return both.where(F.lit(100) * F.col("common") >= F.lit(threshold) * (F.col("na") + F.col("nb") - F.col("common"))).drop("common")
 
 
-def _near_size(threshold: int):
+def _near_size(threshold: int) -> Column:
     return (F.lit(100) * F.least("na", "nb")) >= (F.lit(threshold) * F.greatest("na", "nb"))
 
 
-def _matchable(rest: DataFrame, sets: DataFrame) -> DataFrame:
-    """node, its sketch, and m: how many of its shingles any other of these nodes has. No pair can have more in common."""
-    rows = sets.join(rest.select("node").distinct(), "node", "left_semi").select("node", F.explode(_as_longs("hashes")).alias("hash"))
-    alone = rows.groupBy("hash").agg(F.count("*").alias("c"), F.min("node").alias("node")).where("c = 1").groupBy("node").agg(F.count("*").alias("own"))
-    return sets.join(rest.select("node").distinct(), "node", "left_semi").join(alone, "node", "left").select("node", (F.length("hashes") / 8).cast("bigint").alias("n"), (F.length("hashes") / 8 - F.coalesce("own", F.lit(0))).cast("bigint").alias("m"), _sketch("hashes").alias("bits"))
+def _postings(texts: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """One row for each of the rarest shingles of a text: token, node, n, its place `at`, `q` and the parities `bits`.
+
+    All shingles are put in one order, those of fewer texts first. Two linked texts have so much in common that one of it stands among the
+    first n - threshold * n / 100 + 1 shingles of the larger text, and among the first q of the smaller one: see _can_link.
+    Shingles that no other of these texts has come first and need no row; most texts that only share a passage are left without rows.
+    """
+    t, own = F.lit(threshold), sets.join(texts.select("node"), "node", "left_semi")
+    tokens = own.select("node", F.explode(_as_longs("hashes")).alias("token"))
+    counts = tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1")
+    shared = tokens.join(counts, "token").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("c", "token"))).alias("tokens"))
+    rows = own.select("node", (F.length("hashes") / 8).cast("bigint").alias("n"), _parities("hashes").alias("bits")).join(shared, "node")
+    alone = F.col("n") - F.size("tokens")
+    p = F.col("n") - F.ceil(t * F.col("n") / 100) + 1
+    q = F.col("n") - F.ceil(t * 2 * F.col("n") / (t + 100)) + 1
+    rows = rows.select("node", "n", "bits", alone.alias("alone"), q.alias("q"), F.slice("tokens", 1, F.greatest(p - alone, F.lit(0)).cast("int")).alias("tokens"))
+    return rows.select("node", "n", "bits", "q", "alone", F.posexplode("tokens").alias("at", "token")).select(F.col("token.token").alias("token"), "node", "n", (F.col("alone") + F.col("at")).alias("at"), "q", "bits")
+
+
+def _can_link(threshold: int) -> Column:
+    """Whether rows a and b of one token may be the first shingle that two linked texts have in common. Never false for that one."""
+    least = F.ceil(F.lit(threshold) * (F.col("na") + F.col("nb")) / (threshold + 100))
+    first = ((F.col("na") <= F.col("nb")) & (F.col("ata") < F.col("qa"))) | ((F.col("nb") <= F.col("na")) & (F.col("atb") < F.col("qb")))
+    differ = sum((F.bit_count(F.get("bitsa", F.lit(i)).bitwiseXOR(F.get("bitsb", F.lit(i)))) for i in range(PARITIES // 64)), F.lit(0))
+    return _near_size(threshold) & first & (F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb")) >= least) & (F.col("na") + F.col("nb") - differ >= least * 2)
+
+
+def _pairs(rows: DataFrame, group: int | None, threshold: int) -> DataFrame:
+    """Pairs of different labels that may be linked, from rows of postings with `size` and `top` (the label of most rows) of their token.
+
+    With a group: a token's rows are dealt out to parts of about so many, and compared within each. Without: all that don't have
+    the token's top label are compared with all.
+    """
+    side = lambda x: [F.col(c).alias(f"{c}{x}") if c != "node" else F.col(c).alias(x) for c in ("node", "n", "at", "q", "bits", "label")]
+    if group:
+        part = F.pmod(F.hash("node"), F.ceil(F.col("size") / group)).alias("part")
+        a, b = rows.select("token", part, *side("a")), rows.select("token", part, *side("b"))
+        on, once = ["token", "part"], F.col("a") < F.col("b")
+    else:
+        a, b = rows.where("label <> top").select("token", *side("a")), rows.select("token", "top", *side("b"))
+        on, once = ["token"], (F.col("labelb") == F.col("top")) | (F.col("a") < F.col("b"))
+    pairs = a.join(b, on).where((F.col("labela") != F.col("labelb")) & once & _can_link(threshold))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"), F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb"), F.least("labela", "labelb").alias("la"), F.greatest("labela", "labelb").alias("lb")).distinct()
 
 
 def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
@@ -170,86 +205,75 @@ def components(scratch: Scratch, edges: DataFrame) -> DataFrame:
     return labels
 
 
-def _most_differing(threshold: int) -> int:
-    """Bits of two sketches that differ at the threshold, and five standard deviations more."""
-    share = (100 - threshold) / 200
-    return math.ceil(SKETCH * share + 5 * math.sqrt(SKETCH * share * (1 - share)))
+def _relabelled(labels: DataFrame, merged: DataFrame) -> DataFrame:
+    """labels (node, label) after some labels were joined: merged has these as nodes."""
+    return labels.join(merged.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left").select("node", F.coalesce("to", "label").alias("label"))
 
 
-def _decided(docs: DataFrame, threshold: int, small_bucket: int) -> DataFrame:
-    """What near_dedup returns, and the digest of the row's set (null without words)."""
-    spark = docs.sparkSession
-    scratch = Scratch(spark, "near_dedup")
-    signed = scratch.save(docs.select("doc_id", _signed("text").alias("s")).select("doc_id", "s.*"))
-    classes = scratch.save(signed.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.min("doc_id").alias("rep"), F.first("bands").alias("bands")))
+def _grouped(docs: DataFrame, classes: DataFrame, scratch: Scratch, threshold: int, groups: Sequence[int | None]) -> DataFrame:
+    """node and label of all classes that share a band with another."""
     members = _buckets(scratch, classes)
-    wanted = scratch.save(members.select("node", "rep").distinct())
-    ids = wanted.select(F.col("rep").alias("doc_id")).distinct()
-    named = docs.select("doc_id", "text").join(small(ids.where("doc_id IS NOT NULL")), "doc_id", "left_semi")
-    # null meets nothing in an equality: if all ids of a class are null, the texts without an id are taken
-    texts = named if ids.where("doc_id IS NULL").isEmpty() else named.unionByName(docs.where("doc_id IS NULL").select("doc_id", "text"))
-    sets = texts.select(_full_set("text").alias("s")).select("s.*").dropDuplicates(["node"])
-    sets = scratch.save(sets.where(F.length("hashes") > 0))
-    hot = wanted.join(members.where(F.col("size") > small_bucket).select("node").distinct(), "node", "left_semi")
-    members_ = members.where(F.col("size") <= small_bucket)
-    if not members.where(F.col("size") > small_bucket).isEmpty():
-        fine = hot.join(sets, "node").select("node", "rep", (F.length("hashes") / 8).cast("long").alias("n"), _fine_bands("hashes").alias("bands"))
-        fine = scratch.save(fine)
-        members_ = members_.unionByName(_buckets(scratch, fine))
-
-    near = _near_size(threshold)
-    sizes = classes.select(F.col("node").alias("leader"), F.col("n").alias("nb"))
-    star = members_.where("node <> leader").select(F.col("node").alias("a"), F.col("leader").alias("b"), F.col("n").alias("na")).distinct()
-    star = star.join(sizes.withColumnRenamed("leader", "b"), "b").where(near)
-    edges = scratch.save(_verified(star, sets, threshold))
-    labels = components(scratch, edges)
-
-    placed = scratch.save(members_.join(labels, "node", "left").select("key", "node", "n", F.coalesce("label", "node").alias("label")))
-    mixed = scratch.save(placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key"))
-    rest = placed.join(mixed, "key", "left_semi")
-    possible = scratch.save(_matchable(rest, sets))
-    # a text of many shingles that no candidate shares is linked with none
-    possible = possible.where(F.lit(100) * F.col("m") >= F.lit(threshold) * F.col("n"))
-    rest = rest.select("key", "node", "n", "label").join(possible.drop("n"), "node")
-    rest = rest.join(rest.groupBy("node").agg(F.sort_array(F.collect_list("key")).alias("keys")), "node")
-    rest = scratch.save(rest)
-    side = lambda x: rest.select("key", F.col("node").alias(x), *[F.col(c).alias(f"{c[0]}{x}" if c != "bits" else f"s{x}") for c in ("n", "m", "label", "bits")], F.col("keys").alias(f"k{x}"))
-    most = F.least("ma", "mb")
-    can = near & (F.lit(100) * most >= F.lit(threshold) * (F.col("na") + F.col("nb") - most))
-    differ = sum((F.bit_count(F.get("sa", F.lit(i)).bitwiseXOR(F.get("sb", F.lit(i)))) for i in range(SKETCH // 64)), F.lit(0))
-    # each pair once, in the first bucket that both are in
-    once = F.array_min(F.array_intersect("ka", "kb")) == F.col("key")
-    pairs = side("a").join(side("b"), "key").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & can & (differ <= _most_differing(threshold)) & once)
-    pairs = scratch.save(pairs.select("a", "b", "na", "nb"))
-    more = scratch.save(_verified(pairs, sets, threshold))
-    if not more.isEmpty():
-        labels = components(scratch, edges.unionByName(more))
-    scratch.drop(members, wanted, sets, placed, mixed, rest, pairs)
-    whole = classes.join(labels, "node", "left").select("node", "rep", F.coalesce("label", "node").alias("label"))
-    ids = whole.groupBy("label").agg(F.min("rep").alias("component"))
-    found = scratch.save(whole.join(ids, "label").select("node", "component"))
-    out = signed.select("doc_id", "n", "node").join(found, "node", "left")
-    component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "node")
-
-
-def near_dedup(docs: DataFrame, threshold: int = 75, small_bucket: int = SMALL_BUCKET) -> DataFrame:
+    nodes = scratch.save(members.select("node").distinct())
+    # one text for each class: that of its first row
+    wanted = classes.join(nodes, "node").select(F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_key").alias("rep_key"))
+    wanted = small(scratch.save(wanted))
+    texts = docs.select("doc_id", "text", text_key(F.col("text")).alias("text_key"))
+    texts = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["rep_id"]) & (texts["text_key"] == wanted["rep_key"]), "left_semi")
+    sets = scratch.save(texts.select(_full_set("text").alias("s")).select("s.*").dropDuplicates(["node"]))
+
+    star = members.where("node <> leader.node").select(F.col("node").alias("a"), F.col("leader.node").alias("b"), F.col("n").alias("na"), F.col("leader.n").alias("nb"))
+    star = scratch.save(star.where(_near_size(threshold)).distinct())
+    merged = components(scratch, _verified(star, sets, threshold))
+    labels = scratch.save(_relabelled(nodes.select("node", F.col("node").alias("label")), merged))
+    placed = members.join(labels, "node")
+    mixed = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("key")
+    texts = scratch.save(placed.join(mixed, "key", "left_semi").select("node").distinct())
+    postings = scratch.save(_postings(texts, sets, threshold))
+    scratch.drop(members, star, wanted, texts)
+    for group in groups:
+        placed = scratch.save(postings.join(labels, "node"))
+        sizes = placed.groupBy("token", "label").agg(F.count("*").alias("c")).groupBy("token").agg(F.sum("c").alias("size"), F.count("*").alias("labels"), F.max_by("label", F.struct("c", "label")).alias("top"))
+        rows = scratch.save(placed.join(sizes.where("labels > 1").drop("labels"), "token"))
+        pairs = scratch.save(_pairs(rows, group, threshold))
+        if not pairs.isEmpty():
+            edges = _verified(pairs, sets, threshold).select(F.col("la").alias("a"), F.col("lb").alias("b"))
+            labels = scratch.save(_relabelled(labels, components(scratch, edges)))
+        scratch.drop(placed, rows, pairs)
+    scratch.drop(sets, postings, nodes)
+    return labels
+
+
+def _decided(docs: DataFrame, threshold: int, groups: Sequence[int | None]) -> DataFrame:
+    """What near_dedup returns; text_key, and `first`: whether the row is the one of its component that stays, or like it in both."""
+    with Scratch(docs.sparkSession, "near_dedup") as scratch:
+        signed = scratch.save(docs.select("doc_id", text_key(F.col("text")).alias("text_key"), _signed("text").alias("s")).select("doc_id", "text_key", "s.*"))
+        rep = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+        classes = scratch.save(signed.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.min(rep).alias("rep"), F.first("bands").alias("bands")))
+        labels = _grouped(docs, classes, scratch, threshold, groups)
+        whole = classes.select("node", "rep").join(labels, "node", "left").select("node", "rep", F.coalesce("label", "node").alias("label"))
+        firsts = whole.groupBy("label").agg(F.min("rep").alias("head"))
+        found = scratch.save(whole.join(firsts, "label").select("node", "head"))
+        out = signed.select("doc_id", "text_key", "n", "node").join(found, "node", "left")
+        component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("head.doc_id"))
+        first = (F.col("n") == 0) | (F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("text_key") == F.col("head.text_key")))
+        return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "text_key", first.alias("first"))
+
+
+def near_dedup(docs: DataFrame, threshold: int = 75, groups: Sequence[int | None] = GROUPS) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of docs (doc_id, text)."""
-    return _decided(docs, threshold, small_bucket).drop("node")
+    return _decided(docs, threshold, groups).drop("text_key", "first")
 
 
-def keep_one(docs: DataFrame, threshold: int = 75) -> DataFrame:
-    """The rows of docs without the near copies: of each component the document of least doc_id stays, with all its columns.
+def keep_one(docs: DataFrame, threshold: int = 75, groups: Sequence[int | None] = GROUPS) -> DataFrame:
+    """The rows of docs without the near copies: of each component one document stays, with all its columns.
 
-    Rows that repeat a doc_id stay or go together. Rows of null doc_id are told apart by their sets: such a row goes
-    if its component has an id, and stays if all its ids are null.
+    It is the one of least doc_id (null last), and of the least digest of the text among rows that repeat that id. A document
+    is a doc_id with a text: rows that repeat both stay or go together, and rows that repeat the id with another text are judged by it.
     """
-    gone = _decided(docs, threshold, SMALL_BUCKET).where("not kept")
-    out = docs.join(gone.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
-    nodes = gone.where("doc_id IS NULL").select("node").distinct()
-    if nodes.isEmpty():
-        return out
-    node = unused(docs, "node_")
-    own = docs.where("doc_id IS NULL").withColumn(node, _full_set("text")["node"])
-    own = own.join(nodes.withColumnRenamed("node", node), node, "left_anti").select(docs.columns)
-    return out.where("doc_id IS NOT NULL").unionByName(own)
+    gone = _decided(docs, threshold, groups).where("not first").select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()
+    gone = small(Scratch(docs.sparkSession, "near_copies").save(gone))
+    key = unused(docs, "text_key_")
+    keyed = docs.withColumn(key, text_key(docs["text"]))
+    gone = gone.withColumnsRenamed({c: unused(docs, c) for c in gone.columns})
+    a, b = gone.columns
+    return keyed.join(gone, keyed["doc_id"].eqNullSafe(gone[a]) & (keyed[key] == gone[b]), "left_anti").select(docs.columns)

@@ -17,12 +17,24 @@ from kelpline.llm.wordhash import U64, mix
 _SEED = U64(0x5851F42D4C957F2D)
 
 
+def _permuted(rank: int, key: np.ndarray, slots: int) -> np.ndarray:
+    """The slot of this rank in each element's permutation."""
+    mask, fold = U64(slots - 1), U64((slots.bit_length() - 1) // 2 + 1)
+    at = (U64(rank) + key) & mask
+    for shift in (12, 24, 36):
+        at = (at * (key >> U64(shift) | U64(1))) & mask
+        at ^= at >> fold
+        at = (at + (key >> U64(shift + 12))) & mask
+    return at
+
+
 def signatures(elements: np.ndarray, first: np.ndarray, slots: int) -> np.ndarray:
     """An array of (sets, slots) of 64-bit values: rank in the upper 12 bits, then the random value.
 
     elements: distinct hashes, set after set; first: where each set begins, and the end.
     slots: a power of two of at most 4096. The row of an empty set has only the largest value.
-    The permutation of an element takes slots in odd steps from a random one.
+    An element's permutation is a chain of bijections of the slots' bits (add, multiply by an odd number, fold by a shift)
+    whose constants are the element's hash bits; test_signatures holds its variance against that of shuffled tables.
     """
     n_sets = len(first) - 1
     none = U64(0xFFFFFFFFFFFFFFFF)
@@ -32,8 +44,7 @@ def signatures(elements: np.ndarray, first: np.ndarray, slots: int) -> np.ndarra
     for rank in range(slots):
         if not len(own):
             break
-        base = mix(own ^ _SEED)
-        at = (base + U64(rank) * ((base >> U64(32)) | U64(1))) & U64(slots - 1)
+        at = _permuted(rank, mix(own ^ _SEED), slots)
         value = (mix(own + U64((rank + 1) * int(_SEED) & 0xFFFFFFFFFFFFFFFF)) >> U64(12)) | (U64(rank) << U64(52))
         slot = owner * slots + at.astype(np.int64)
         open_ = out[slot] > value
