@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from kelpline.llm import decontaminate, mixing, near_dedup, quality_pu
-from kelpline.llm.common import Scratch
+from kelpline.llm.common import Scratch, cleared
 from kelpline.llm.queries import tokenizer_path
 from kelpline.llm.token_records import written_and_read
 
@@ -38,8 +38,11 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over documents; what each returns is written to the shared folder and read again."""
-    scratch = Scratch(spark, "pipeline")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = scratch.save(stage(spark, docs, sf_dir))
-    return docs
+    with Scratch(spark, "pipeline") as scratch:
+        docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
+        for _, stage in STAGES:
+            with cleared():  # what the stage's operator saved for itself
+                docs = scratch.save(stage(spark, docs, sf_dir))
+            scratch.drop(*before)
+            before = [docs]
+        return docs
