@@ -8,7 +8,7 @@ an order by another hash, over ranges of that hash. So a run can be repeated exa
 Target shares are given, by source, or follow from the sources' sizes to the power of `alpha` (1: as
 they are; 0: all equal). With given shares, sources that aren't named get none.
 
-Only one row for each source is gathered. If there are more than `common.BROADCAST_ROWS` sources, the join is shuffled, salted
+Only one row for each source is gathered. If the steps of all are more than 4 * `common.BROADCAST_ROWS` numbers, the join is shuffled, salted
 by `SALTS`, as one source may hold much of all rows.
 
 Defined cases: null text has no characters; it is drawn like others. A null source is a source of its own (named by None).
@@ -19,7 +19,9 @@ through `mix`. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kelpline.llm.common import BROADCAST_ROWS, Scratch, unused
@@ -34,16 +36,26 @@ def uniform(seed: int, what: str, doc_id: Column) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("bigint")
 
 
-def poisson_steps(rate: Column) -> Column:
-    """Cumulative probabilities of 0, 1, ... copies, until what is left is below 2^-53."""
-    last = F.ceil(rate + 12 * F.sqrt(rate) + 40).cast("int")
-    start = F.struct((-rate).alias("log"), F.array(F.exp(-rate)).alias("p"))
-
-    def add(acc: Column, k: Column) -> Column:
-        log = acc["log"] + F.log(rate) - F.log(k.cast("double"))
-        return F.struct(log.alias("log"), F.concat(acc["p"], F.array(F.get(acc["p"], k - 1) + F.exp(log))).alias("p"))
-
-    return F.when(rate > 0, F.aggregate(F.sequence(F.lit(1), last), start, add, lambda a: a["p"])).otherwise(F.array(F.lit(1.0)))
+def with_steps(rates: DataFrame) -> DataFrame:
+    """rates (source, rate) with `least`, a number of copies, and `steps`: the probabilities of at most least, least + 1, ... copies.
+
+    They begin 12 standard deviations below the mean, where nothing is lost that a double could show, and end where less than 2^-53 is left;
+    so a rate r takes some 24 * sqrt(r) of them, summed up by one window for each source.
+    """
+    rate, k = F.col("rate"), F.col("k")
+    low = F.floor(rate - 12 * F.sqrt(rate) - 40).cast("bigint")
+    low = F.when((rate > 0) & (low > 100), low).otherwise(F.lit(0).cast("bigint"))
+    high = F.when(rate > 0, F.ceil(rate + 12 * F.sqrt(rate) + 40).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+    rows = rates.select("source", "rate", low.alias("least"), F.explode(F.sequence(low, high)).alias("k"))
+    x = F.greatest(F.col("least"), F.lit(1)).cast("double")
+    # Stirling's series for the logarithm of the factorial; from 100 on its error is below a double's
+    factorial = x * F.log(x) - x + F.log(x * (2 * math.pi)) / 2 + 1 / (12 * x) - 1 / (360 * x * x * x)
+    first = F.when(F.col("least") > 0, x * F.log(rate) - factorial).otherwise(0.0) - rate
+    w = Window.partitionBy("source").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    log = F.sum(F.when(k == F.col("least"), first).otherwise(F.log(rate) - F.log(k.cast("double")))).over(w)
+    rows = rows.withColumn("p", F.when(rate > 0, F.exp(log)).otherwise(1.0)).withColumn("p", F.sum("p").over(w))
+    steps = F.transform(F.array_sort(F.collect_list(F.struct("k", "p"))), lambda s: s["p"])
+    return rows.groupBy("source").agg(F.first("rate").alias("rate"), F.first("least").alias("least"), steps.alias("steps"))
 
 
 def rates(docs: DataFrame, targets: dict[str | None, float] | None = None, alpha: float = ALPHA) -> DataFrame:
@@ -64,10 +76,11 @@ def rates(docs: DataFrame, targets: dict[str | None, float] | None = None, alpha
 def mix(docs: DataFrame, targets: dict[str | None, float] | None = None, alpha: float = ALPHA, seed: int = SEED, info: str | None = None) -> DataFrame:
     """The copies, in shuffled order, with all columns of docs; info: the name of one more column, a struct of n_copies, copy and place."""
     scratch = Scratch(docs.sparkSession, "mixing")
-    table = scratch.save(rates(docs, targets, alpha).select(F.col("source").alias("s_"), "rate").withColumn("steps", poisson_steps(F.col("rate"))))
-    steps, n, copy, place = (unused(docs, x) for x in ("steps_", "n_", "copy_", "place_"))
-    table = table.select(F.col("s_").alias(source := unused(docs, "source_")), F.col("steps").alias(steps))
-    if table.count() <= BROADCAST_ROWS // 10:  # rows hold an array each
+    table = scratch.save(with_steps(rates(docs, targets, alpha)))
+    steps, least, n, copy, place = (unused(docs, x) for x in ("steps_", "least_", "n_", "copy_", "place_"))
+    table = table.select(F.col("source").alias(source := unused(docs, "source_")), F.col("least").alias(least), F.col("steps").alias(steps))
+    # rows hold an array each, whose lengths count
+    if (table.agg(F.sum(F.size(steps) + 10)).first()[0] or 0) <= BROADCAST_ROWS * 4:
         out = docs.join(F.broadcast(table), F.col(source).eqNullSafe(docs["source"]))
     else:
         salt = unused(docs, "salt_")
@@ -75,8 +88,8 @@ def mix(docs: DataFrame, targets: dict[str | None, float] | None = None, alpha:
         right = table.withColumn(f"{salt}r", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         out = left.join(right, left["source"].eqNullSafe(right[source]) & (left[salt] == right[f"{salt}r"]))
     u = uniform(seed, "count", docs["doc_id"]).cast("double") / F.lit(float(16**13))
-    out = out.select(*[docs[c] for c in docs.columns], let(u, lambda x: F.size(F.filter(F.col(steps), lambda p: p <= x))).alias(n)).where(F.col(n) > 0)
-    out = out.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n))))
+    out = out.select(*[docs[c] for c in docs.columns], (F.col(least) + let(u, lambda x: F.size(F.filter(F.col(steps), lambda p: p <= x)))).alias(n)).where(F.col(n) > 0)
+    out = out.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(n))))
     key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col(copy).cast("string"))
     out = out.withColumn(place, uniform(seed, "place", key))
     shuffled = out.repartitionByRange(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), place).sortWithinPartitions(place, "text")
