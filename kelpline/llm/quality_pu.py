@@ -14,10 +14,11 @@ unlabelled texts), the smallest ratio of the shares of unlabelled and positive t
 all scores that leave at least a tenth of the positives, is the share of positives among the unlabelled.
 
 The model is fitted on at most `most_positive` trusted positives and `most_unlabelled` unlabelled texts,
-the first of each in the order of a hash of their ids: these two bounds are parameters. Scores are of all rows.
+the first of each in the order of a hash of their ids: these two bounds are parameters. Of rows that repeat an id the
+least text is taken, so that the fit doesn't depend on the order of rows. Scores are of all rows.
 
 Defined cases: null text is scored as an empty one; an empty text gets a score like any other. Rows that
-repeat are scored alike. Labels that are null, or whose doc_id is null or not in docs, are ignored. Without
+repeat are scored alike. A null doc_id is not held out, and not in any sample. Labels that are null, or whose doc_id is null or not in docs, are ignored. Without
 any positive in the labels every score is the prior parameter's default, 0.5. Columns of the documents
 pass through `score` unchanged. An empty table gives an empty result.
 """
@@ -146,19 +147,20 @@ def _features(text: pa.Array) -> pa.Array:
 
 
 def in_training(doc_id: Column) -> Column:
-    """Rows whose labels may be learned from: crc32 of the id as text, modulo 3, is not 1."""
-    return F.crc32(doc_id.cast("string").cast("binary")) % 3 != 1
+    """Rows whose labels may be learned from: crc32 of the id as text (null: empty), modulo 3, is not 1."""
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 3 != 1
 
 
 def train(docs: DataFrame, labels: DataFrame, most_positive: int = MOST_POSITIVE, most_unlabelled: int = MOST_UNLABELLED) -> Model:
     """Fit on bounded samples: positives of the labels, and texts taken without regard to any label."""
     order = F.xxhash64(F.lit("quality"), "doc_id")
-    positive = labels.where((F.col("quality") == 1) & in_training(F.col("doc_id"))).select("doc_id").distinct().orderBy(order, "doc_id").limit(most_positive)
-    unlabelled = docs.where(in_training(F.col("doc_id"))).select("doc_id").orderBy(order, "doc_id").limit(most_unlabelled)
+    mine = F.col("doc_id").isNotNull() & in_training(F.col("doc_id"))
+    positive = labels.where((F.col("quality") == 1) & mine).select("doc_id").distinct().orderBy(order, "doc_id").limit(most_positive)
+    unlabelled = docs.where(mine).select("doc_id").distinct().orderBy(order, "doc_id").limit(most_unlabelled)
     wanted = positive.withColumn("p", F.lit(True)).unionByName(unlabelled.withColumn("p", F.lit(False))).groupBy("doc_id").agg(F.max("p").alias("p"), F.max(~F.col("p")).alias("u"))
-    # as many rows as the two bounds say
-    sample = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id").select("p", "u", _features("text").alias("x"), "doc_id")
-    rows = sample.toPandas().sort_values("doc_id", kind="stable")
+    # one row for each id, however often it is repeated: no more than the two bounds say
+    own = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id").groupBy("doc_id").agg(F.first("p").alias("p"), F.first("u").alias("u"), F.min("text").alias("text"))
+    rows = own.select("p", "u", _features("text").alias("x"), "doc_id").toPandas().sort_values("doc_id", kind="stable")
     x = np.array(rows["x"].tolist(), dtype=float).reshape(len(rows), N_FEATURES)
     return fit(x[rows["p"].to_numpy(bool)], x[rows["u"].to_numpy(bool)])
 
