@@ -6,16 +6,16 @@ consecutive words of an item; an item of fewer words is one window.
 * Fingerprints: of every 6 consecutive 8-gram hashes the least is kept, in items and documents alike.
   A shared span of 13 words has 6 such 8-grams in common, so both sides keep a common one.
 * Items of fewer than 13 words are shorter than that guarantee: all n-grams of their length are looked up.
-* The items' fingerprints are gathered in blocks of a bounded size and sent to all tasks; documents are looked up
-  where they lie, without a shuffle. More items make more blocks, which one pass over the documents
-  goes through one after the other.
+* Items of at most `BLOCK_CHARS` characters in all are sent to all tasks, and documents are looked up where they lie,
+  without a shuffle. Larger benchmarks never meet the driver: the fingerprints of both sides are joined by a shuffle, and each
+  document is then given the items that it has one in common with.
 * A common fingerprint is only a candidate: it is extended word by word, on the words themselves, to the longest
   shared run, and counts if that run holds a window.
 
 A document is contaminated if 5 in 100 of its words or more are hit.
 
 Defined cases: null or empty text, or one without words: no words, no hits, clean. Items without words
-(or null) match nothing. Items of equal words are found together. Rows that repeat are judged alike.
+(or null) match nothing; a null item_id takes part, but can't be listed. Ids may have any type that casts to a string. Items of equal words are found together. Rows that repeat are judged alike.
 Columns of the documents pass through `mark` and `clean` unchanged, whatever their names. No items: all clean.
 """
 
@@ -31,16 +31,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from kelpline.llm.common import row_of, slices, unused
+from kelpline.llm.common import Scratch, row_of, slices, unused
 from kelpline.llm.wordhash import ALNUM, U64, Words, grams
 
 WINDOW, GRAM = 13, 8
 SPAN = WINDOW - GRAM + 1
-#: characters of items in one block
+#: characters of items that may be gathered and sent to all tasks
 BLOCK_CHARS = 16 << 20
 PARTS_PER_CENT = 5
 
-_HITS = row_of(n_words=T.LongType(), runs=T.ArrayType(T.IntegerType()), items=T.ArrayType(T.LongType()))
+_HITS = row_of(n_words=T.LongType(), n_hit=T.LongType(), items=T.ArrayType(T.StringType()))
 
 
 def winnowed(hashes: np.ndarray, group: np.ndarray) -> np.ndarray:
@@ -59,9 +59,9 @@ def winnowed(hashes: np.ndarray, group: np.ndarray) -> np.ndarray:
 
 
 class Items:
-    """A block of benchmark items, by their words: fingerprints of long ones and the whole of short ones."""
+    """Benchmark items, by their words: fingerprints of long ones and the whole of short ones."""
 
-    def __init__(self, rows: list[tuple[int, str | None]]):
+    def __init__(self, rows: list[tuple[str | None, str | None]]):
         words = Words(pa.array([t for _, t in rows], pa.string()), ALNUM)
         ids, seen = defaultdict(list), {}
         for i, (item, _) in enumerate(rows):
@@ -70,7 +70,7 @@ class Items:
                 ids[own].append(item)
                 seen.setdefault(own, i)
         self.words = list(seen)
-        self.ids = [sorted(ids[own], key=str) for own in self.words]
+        self.ids = [ids[own] for own in self.words]
         long, place, short = [], [], defaultdict(list)
         for k, own in enumerate(self.words):
             hashes = words.hash[words.first[seen[own]] : words.first[seen[own] + 1]]
@@ -143,59 +143,100 @@ def _union(runs: list[tuple[int, int]]) -> list[int]:
     return out
 
 
-def _marker(block):
+def _judged(rows: Iterator[tuple[pa.Array, Items]]) -> pa.Array:
+    """For parts of a column of texts, each with its items: what _HITS says."""
+    n_words, n_hit, items_of = [], [], []
+    for part, items in rows:
+        words = Words(part, ALNUM)
+        runs, found = _found(words, items)
+        n_words.append(np.diff(words.first))
+        for i in range(len(part)):
+            own = _union(runs[i]) if i in runs else []
+            n_hit.append(sum(own[1::2]) - sum(own[0::2]))
+            items_of.append(sorted({x for k in found[i] for x in items.ids[k] if x is not None}) if i in found else [])
+    n = np.concatenate(n_words) if n_words else np.zeros(0, np.int64)
+    fields = [pa.field("n_words", pa.int64()), pa.field("n_hit", pa.int64()), pa.field("items", pa.list_(pa.string()))]
+    return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(items_of, pa.list_(pa.string()))], fields=fields)
+
+
+def _by_block(block):
     @arrow_udf(_HITS)
     def hits(text: pa.Array) -> pa.Array:
-        n_words, runs_of, items_of = [], [], []
-        for part in slices(text):
-            words = Words(part, ALNUM)
-            runs, found = _found(words, block.value)
-            n_words.append(np.diff(words.first))
-            runs_of += [_union(runs[i]) if i in runs else [] for i in range(len(part))]
-            items_of += [[x for k in found[i] for x in block.value.ids[k]] if i in found else [] for i in range(len(part))]
-        n = np.concatenate(n_words) if n_words else np.zeros(0, np.int64)
-        return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(runs_of, pa.list_(pa.int32())), pa.array(items_of, pa.list_(pa.int64()))], fields=[pa.field("n_words", pa.int64()), pa.field("runs", pa.list_(pa.int32())), pa.field("items", pa.list_(pa.int64()))])
+        return _judged((part, block.value) for part in slices(text))
 
     return hits.asNondeterministic()  # else a later filter would run it twice
 
 
-@arrow_udf(T.LongType())
-def _covered(runs: pa.Array) -> pa.Array:
-    return pa.array([sum(u[1::2]) - sum(u[0::2]) for u in (_union([*zip(x[0::2], x[1::2])]) for x in runs.to_pylist())], pa.int64())
+@arrow_udf(_HITS)
+def _by_candidates(text: pa.Array, items: pa.Array) -> pa.Array:
+    """Each text with the items (item_id, text) that it may hold."""
+    return _judged((text.slice(i, 1), Items([(x["item_id"], x["text"]) for x in items[i].as_py() or []])) for i in range(len(text)))
+
+
+_PRINTS, _LONGS = T.ArrayType(T.LongType()), pa.list_(pa.int64())
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str | None]]]:
-    rows, size = [], 0
-    for row in benchmark.select("item_id", "text").toLocalIterator():
-        rows.append((row[0], row[1]))
-        size += len(row[1] or "")
-        if size >= BLOCK_CHARS:
-            yield rows
-            rows, size = [], 0
-    if rows:
-        yield rows
+@arrow_udf(_PRINTS)
+def _item_prints(text: pa.Array) -> pa.Array:
+    """Fingerprints of each item, with the number of its words in the low 4 bits if it is a short one, else 0."""
+    out = []
+    for part in slices(text):
+        words = Words(part, ALNUM)
+        for i in range(len(part)):
+            hashes = words.hash[words.first[i] : words.first[i + 1]]
+            n = len(hashes)
+            g = grams(hashes, GRAM if n >= WINDOW else max(n, 1))
+            kept = g[winnowed(g, np.zeros(len(g), np.int8))] if n >= WINDOW else g[:1]
+            out.append(np.unique((kept & ~U64(15)) | U64(n if n < WINDOW else 0)).view(np.int64))
+    return pa.array(out, _LONGS)
+
+
+def _doc_prints(lengths: list[int]):
+    @arrow_udf(_PRINTS)
+    def prints(text: pa.Array) -> pa.Array:
+        out = []
+        for part in slices(text):
+            words = Words(part, ALNUM)
+            for i in range(len(part)):
+                hashes = words.hash[words.first[i] : words.first[i + 1]]
+                g = grams(hashes, GRAM)
+                own = [g[winnowed(g, np.zeros(len(g), np.int8))] & ~U64(15)]
+                own += [(grams(hashes, n) & ~U64(15)) | U64(n) for n in lengths]
+                out.append(np.unique(np.concatenate(own)).view(np.int64))
+        return pa.array(out, _LONGS)
+
+    return prints.asNondeterministic()
+
+
+def _joined(docs: DataFrame, items: DataFrame, column: str) -> DataFrame:
+    """docs with the struct of _HITS, by a shuffled join of fingerprints. items: item_id (a string), text."""
+    scratch = Scratch(docs.sparkSession, "decontaminate")
+    rid, cands = unused(docs, "rid_"), unused(docs, "items_")
+    docs_ = scratch.save(docs.withColumn(rid, F.monotonically_increasing_id()))
+    prints = scratch.save(items.withColumn("key", F.monotonically_increasing_id()).withColumn("prints", _item_prints("text")).where(F.size("prints") > 0))
+    prints_ = prints.select("key", F.explode("prints").alias("print"))
+    lengths = [r[0] for r in prints_.select((F.col("print").bitwiseAND(15)).cast("int")).distinct().collect()]  # 13 at most
+    own = docs_.select(F.col(rid).alias("rid"), _doc_prints(sorted(n for n in lengths if n))("text").alias("prints")).select("rid", F.explode("prints").alias("print"))
+    # prints that no item has are dropped before any text is moved
+    pairs = scratch.save(own.join(prints_, "print").select("rid", "key").distinct())
+    lists = pairs.join(prints.select("key", "item_id", "text"), "key").groupBy("rid").agg(F.collect_list(F.struct("item_id", "text")).alias(cands))
+    lists = lists.withColumnRenamed("rid", f"{rid}r")
+    out = docs_.join(lists, F.col(rid) == F.col(f"{rid}r"), "left")
+    return out.select(*docs.columns, _by_candidates.asNondeterministic()("text", cands).alias(column))
 
 
 def mark(docs: DataFrame, benchmark: DataFrame, column: str = "contamination") -> DataFrame:
-    """docs with one more column, a struct: n_words, n_hit, items (found item_ids, sorted as strings), contaminated."""
-    spark = docs.sparkSession
-    out, names = docs, []
-    for block in _blocks(benchmark):
-        names.append(unused(out, f"{column}_{len(names)}"))
-        out = out.withColumn(names[-1], _marker(spark.sparkContext.broadcast(Items(block)))("text"))
-    if not names:
-        names = [unused(out, column)]
-        out = out.withColumn(names[0], _marker(spark.sparkContext.broadcast(Items([])))("text"))
-    n_words = F.col(f"{names[0]}.n_words")
-    runs = F.concat(*[F.col(f"{x}.runs") for x in names])
-    if len(names) == 1:  # the runs of one block don't overlap
-        n_hit = F.aggregate(F.transform(runs, lambda x, i: F.when(i % 2 == 0, -x).otherwise(x).cast("bigint")), F.lit(0).cast("bigint"), lambda a, x: a + x)
+    """docs with one more column, a struct: n_words, n_hit, items (found item_ids as sorted strings), contaminated."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
+    hits = unused(docs, "hits_")
+    if (items.agg(F.sum(F.length("text") + 100)).first()[0] or 0) <= BLOCK_CHARS:
+        rows = [(r[0], r[1]) for r in items.collect()]
+        out = docs.withColumn(hits, _by_block(docs.sparkSession.sparkContext.broadcast(Items(rows)))("text"))
     else:
-        n_hit = _covered(runs)
-    ids = F.array_sort(F.transform(F.array_distinct(F.concat(*[F.col(f"{x}.items") for x in names])), lambda x: x.cast("string")))
-    wide = out.withColumn(hit := unused(out, "n_hit_"), n_hit)
-    found = F.struct(n_words.alias("n_words"), F.col(hit).alias("n_hit"), ids.alias("items"), ((F.col(hit) > 0) & (F.lit(100 // PARTS_PER_CENT) * F.col(hit) >= n_words)).alias("contaminated"))
-    return wide.select(*docs.columns, found.alias(column))
+        out = _joined(docs, items, hits)
+    n_words, n_hit = F.col(f"{hits}.n_words"), F.col(f"{hits}.n_hit")
+    contaminated = (n_hit > 0) & (F.lit(100 // PARTS_PER_CENT) * n_hit >= n_words)
+    return out.select(*docs.columns, F.struct(n_words.alias("n_words"), n_hit.alias("n_hit"), F.col(f"{hits}.items").alias("items"), contaminated.alias("contaminated")).alias(column))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
