@@ -1,7 +1,8 @@
 """Quality rules, line first. DataFrame and SQL functions only; no shuffle.
 
 Each line (parts between \\n that hold a word) is judged: it fails if it doesn't end in punctuation, if it is
-navigation (separators, or a few words of menus), or if it holds boilerplate. Failed lines are removed. A document is
+navigation (separators, or a phrase of menus), or if it holds a phrase of boilerplate. Marks and phrases cover several scripts
+and languages, and may come from a table (`phrases`). Failed lines are removed. A document is
 rejected if less than `LEAST_LEFT` per cent of its word characters are left, if it has fewer than 50 words, or if
 more than half of its words lie in repeated 3-word windows.
 
@@ -11,6 +12,9 @@ Extra columns pass through `judge` and `clean`. An empty table gives an empty re
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,9 +25,48 @@ LEAST_WORDS, MOST_REPEATED, LEAST_LEFT = 50, 50, 30
 WHITE = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
 # Fixed values, read alike by Java's and RE2's engines. Lines come trimmed of white space.
-ENDS = "[.!?:;…\"'”’»)\\]]\\z"
-NAVIGATION = "\\|[^\\n]*\\||^[A-Za-z ]{0,40} > |^(?i:home|menu|login|log in|sign up|next|previous|back|search|share|read more|contact us|about us)[.!]?\\z"
-BOILERPLATE = "(?i:all rights reserved|copyright|cookie policy|privacy policy|terms of (?:use|service)|javascript|subscribe to|lorem ipsum)"
+#: Sentence ends, closing quotes and brackets of Latin, Greek, Cyrillic, CJK, Devanagari, Arabic, Armenian, Ethiopic and Khmer texts.
+ENDS = ".!?:;…‥\"'”’“»›)]。．！？：；｡」』】）》〉।॥؟۔؛։።፧។"
+#: Letters of scripts that end a sentence by a space or a mark of their own: Thai, Lao, Tibetan, Burmese.
+UNMARKED = "\u0e00-\u0eff\u0f00-\u0fff\u1000-\u109f"
+#: Lines that are nothing but one of these.
+MENU = ("home", "menu", "login", "log in", "sign up", "next", "previous", "back", "search", "share", "read more", "contact us", "about us",
+        "startseite", "menü", "anmelden", "weiter", "zurück", "suche", "accueil", "connexion", "suivant", "précédent", "rechercher", "inicio", "menú", "iniciar sesión", "siguiente", "anterior", "buscar",
+        "首页", "登录", "上一页", "下一页", "搜索", "الرئيسية", "بحث", "главная", "войти", "поиск")
+#: Lines that hold one of these.
+BOILERPLATE = ("all rights reserved", "copyright", "cookie policy", "privacy policy", "terms of use", "terms of service", "javascript", "subscribe to", "lorem ipsum",
+               "alle rechte vorbehalten", "datenschutzerklärung", "tous droits réservés", "politique de confidentialité", "todos los derechos reservados", "política de privacidad",
+               "版权所有", "隐私政策", "جميع الحقوق محفوظة", "все права защищены")
+
+
+class Rules(NamedTuple):
+    """Patterns that lines are judged by; any engine's words must stand escaped."""
+
+    ends: str
+    navigation: str
+    boilerplate: str
+
+
+def rules(ends: str = ENDS, menu: Iterable[str] = MENU, boilerplate: Iterable[str] = BOILERPLATE) -> Rules:
+    """The rules for given characters and phrases; phrases of A-Z or a-z match in either case."""
+    mark = lambda x: "".join(f"\\{c}" if c in "\\.[]{}()*+?^$|-" else c for c in x)
+    return Rules(
+        f"[{mark(ends)}{UNMARKED}]\\z",
+        f"\\|[^\\n]*\\||^[A-Za-z ]{{0,40}} > |^(?i:{'|'.join(map(mark, menu))})[.!]?\\z",
+        f"(?i:{'|'.join(map(mark, boilerplate))})",
+    )
+
+
+RULES = rules()
+
+
+def phrases(table: DataFrame, most: int = 10_000) -> Rules:
+    """Rules from a table (kind: menu or boilerplate, phrase); more than `most` rows are an error."""
+    rows = table.where("phrase <> ''").select("kind", "phrase").distinct().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} phrases")
+    of = lambda kind: sorted(r["phrase"] for r in rows if r["kind"] == kind) or ["\n"]  # noqa: E731  no line holds that
+    return rules(menu=of("menu"), boilerplate=of("boilerplate"))
 
 
 def _words(text: Column) -> Column:
@@ -36,28 +79,28 @@ def _without(text: Column, chars: str) -> Column:
 
 
 def _repeated(words: Column) -> Column:
-    """Words in 3-word windows that occur twice or more; windows are told apart by 64-bit hashes."""
+    """Words in 3-word windows that occur twice or more. Hashes only tell which texts may have such windows; those are compared as words."""
     n = F.size(words)
-    hashes = F.transform(F.slice(words, F.lit(1), n - 2), lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))
+    windows = lambda of: F.transform(F.slice(words, F.lit(1), n - 2), lambda w, i: of(w, F.get(words, i + 1), F.get(words, i + 2)))
 
-    def count(h: Column) -> Column:
-        pairs = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
+    def count(windows: Column) -> Column:
+        pairs = F.array_sort(F.transform(windows, lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
         same = lambda a, b: F.coalesce(a["x"] == b["x"], F.lit(False))
         places = let(pairs, lambda p: F.transform(F.filter(F.transform(p, lambda s, i: F.struct(s["i"].alias("i"), (same(s, F.get(p, i - 1)) | same(s, F.get(p, i + 1))).alias("dup"))), lambda s: s["dup"]), lambda s: s["i"]))
         # a window covers 3 words, or as many as lie before the next repeated one
         own = let(F.sort_array(places), lambda q: F.transform(q, lambda at, i: F.least(F.coalesce(F.get(q, i + 1) - at, F.lit(3)), F.lit(3))))
         return F.aggregate(own, F.lit(0).cast("bigint"), lambda a, x: a + x)
 
-    # most texts repeat no window: a set of hashes tells that without a sort
-    some = let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), count(h)).otherwise(F.lit(0).cast("bigint")))
+    # words hold no space
+    some = let(windows(F.xxhash64), lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), count(windows(lambda *w: F.concat_ws(" ", *w)))).otherwise(F.lit(0).cast("bigint")))
     return F.when(n >= 4, some).otherwise(F.lit(0).cast("bigint"))
 
 
-def _line_ok(line: Column) -> Column:
-    return let(F.btrim(line, F.lit(WHITE)), lambda x: x.rlike(ENDS) & ~x.rlike(NAVIGATION) & ~x.rlike(BOILERPLATE))
+def _line_ok(line: Column, by: Rules) -> Column:
+    return let(F.btrim(line, F.lit(WHITE)), lambda x: x.rlike(by.ends) & ~x.rlike(by.navigation) & ~x.rlike(by.boilerplate))
 
 
-def judge(docs: DataFrame, column: str = "quality") -> DataFrame:
+def judge(docs: DataFrame, column: str = "quality", by: Rules = RULES) -> DataFrame:
     """docs with a struct: the counts, base_failed, left_chars, kept and the text of the lines that stay."""
     lines = unused(docs, "lines_")
     t = F.coalesce("text", F.lit(""))
@@ -66,7 +109,7 @@ def judge(docs: DataFrame, column: str = "quality") -> DataFrame:
 
     def measured(x: Column) -> Column:
         t, lines = x["t"], x["lines"]
-        good = F.filter(lines, _line_ok)
+        good = F.filter(lines, lambda x: _line_ok(x, by))
         return let(good, lambda g: let(_words(t), lambda w: F.struct(
             F.size(w).cast("bigint").alias("n_words"),
             _without(t, WHITE).cast("bigint").alias("word_chars"),
@@ -90,8 +133,8 @@ def summary(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", *[F.col(f"q.{n}").alias(n) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
 
 
-def clean(docs: DataFrame) -> DataFrame:
+def clean(docs: DataFrame, by: Rules = RULES) -> DataFrame:
     """The documents that are kept, with the lines that passed as their text."""
     name = unused(docs, "quality")
-    out = judge(docs, name).where(F.col(f"{name}.kept"))
+    out = judge(docs, name, by).where(F.col(f"{name}.kept"))
     return out.select(*[F.col(f"{name}.text").alias("text") if c == "text" else F.col(c) for c in docs.columns])
