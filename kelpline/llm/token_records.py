@@ -15,7 +15,7 @@ n_tokens and start (ids of all documents before). A reader that wants a shuffled
 samples the index and seeks; see `read_records`.
 
 A task writes its shard under a name of its own and returns its index rows; only shards named by the index
-belong to the dataset, so that a task that is repeated after the loss of an executor does no harm.
+belong to the dataset, so that a task that is repeated after the loss of an executor does no harm; others are deleted at the end.
 Files are read and written through pyarrow's file systems, so the folder may be local, HDFS or an
 object store; it must be one that executors share.
 
@@ -202,16 +202,18 @@ def _writer(folder: str, tokenizer: str, end_id: int):
     return write
 
 
-def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0) -> DataFrame:
+def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0, by_id: bool = True) -> DataFrame:
     """Tokenise docs (doc_id, text), write shards and index below `folder` (a URI), and return the index.
 
-    The texts are dealt by ranges of doc_id into as many shards as Spark has shuffle partitions.
+    The texts are dealt by ranges of doc_id into as many shards as Spark has shuffle partitions. With by_id=False every partition
+    of docs becomes a shard in the order that its rows have: what was shuffled before stays so, and nothing is moved.
     """
     spark = docs.sparkSession
     ordered = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # rows with one id have the same place in the order of ids; their texts' hashes spread them
-    ordered = ordered.withColumn("part", F.xxhash64("text")).repartitionByRange(n, "doc_id", "part").sortWithinPartitions("doc_id", "part", "text").drop("part")
+    if by_id:
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # rows with one id have the same place in the order of ids; their texts' hashes spread them
+        ordered = ordered.withColumn("part", F.xxhash64("text")).repartitionByRange(n, "doc_id", "part").sortWithinPartitions("doc_id", "part", "text").drop("part")
     raw = f"{folder}/index-local"
     ordered.mapInArrow(_writer(f"{folder}/shards", tokenizer, end_id), _INDEX).write.parquet(raw)
     rows = spark.read.schema(_INDEX).parquet(raw)
@@ -221,7 +223,19 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0)
     own = F.sum("n_tokens").over(Window.partitionBy("shard").orderBy("ordinal").rowsBetween(Window.unboundedPreceding, -1))
     index = rows.withColumn("own", F.coalesce(own, F.lit(0))).join(F.broadcast(before), "shard").withColumn("start", F.col("before") + F.col("own")).drop("own", "before")
     index.write.parquet(f"{folder}/index")
-    return read_index(spark, folder)
+    index = read_index(spark, folder)
+    sweep(index, folder)
+    return index
+
+
+def sweep(index: DataFrame, folder: str) -> int:
+    """Delete the shards that no index row names, left by attempts that failed; how many. Only names of files are gathered."""
+    named = {r["path"] for r in index.select("path").distinct().collect()}
+    store, at = fs.FileSystem.from_uri(f"{folder}/shards")
+    left = [f.path for f in store.get_file_info(fs.FileSelector(at, allow_not_found=True)) if f.base_name not in named]
+    for path in left:
+        store.delete_file(path)
+    return len(left)
 
 
 def read_index(spark, folder: str) -> DataFrame:
@@ -263,7 +277,7 @@ def read_records(index: DataFrame, folder: str, digest: bool = False) -> DataFra
     return index.select("path", "offset", "length", "start").mapInArrow(_reader(f"{folder}/shards", digest), f"doc_id bigint, start bigint, n_tokens bigint, {kind}")
 
 
-def written_and_read(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
+def written_and_read(docs: DataFrame, tokenizer: str, end_id: int = 0, by_id: bool = True) -> DataFrame:
     """Write docs as records in the shared folder and read them back: doc_id, start, n_tokens, ids_crc32."""
     folder = Scratch(docs.sparkSession, "token_records").path
-    return read_records(write_records(docs, folder, tokenizer, end_id), folder, digest=True)
+    return read_records(write_records(docs, folder, tokenizer, end_id, by_id), folder, digest=True)

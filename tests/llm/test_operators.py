@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
+import numpy as np
 import pytest
 
 from kelpline.llm import decontaminate, line_dedup, mixing, pii, quality_pu, quality_rules, queries, secrets, token_records, url_filter
@@ -116,10 +119,21 @@ def test_decontamination_equals_all_windows(spark, odd, where):
     assert where == "whole" or sum(r[5] for r in got) == 3
 
 
-def test_items_in_several_blocks_give_the_same(spark, odd, monkeypatch):
-    one = rows_of(queries.op3_decontaminate(spark, odd))
-    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 5)
-    assert rows_of(queries.op3_decontaminate(spark, odd)) == one
+@pytest.mark.parametrize("where", ["odd", "whole"])
+def test_a_large_benchmark_is_joined_and_gives_the_same(spark, odd, monkeypatch, where):
+    at = odd if where == "odd" else SF
+    one = rows_of(queries.op3_decontaminate(spark, at))
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", -1)
+    assert rows_of(queries.op3_decontaminate(spark, at)) == one
+
+
+@pytest.mark.parametrize("most", [decontaminate.BLOCK_CHARS, -1])
+def test_item_ids_may_be_texts(spark, monkeypatch, most):
+    monkeypatch.setattr(decontaminate, "BLOCK_CHARS", most)
+    items = spark.createDataFrame([("b-2", PASSAGE), ("a", PASSAGE), (None, PASSAGE), ("c", "of nothing")], "item_id string, text string")
+    docs = spark.createDataFrame([(1, f"x {PASSAGE}", "i"), (None, None, "j")], "doc_id int, text string, items_ string")
+    got = {r["items_"]: r["contamination"] for r in decontaminate.mark(docs, items).collect()}
+    assert got["i"]["items"] == ["a", "b-2"] and got["i"]["n_hit"] == 20 and got["j"]["n_words"] == 0
 
 
 @pytest.mark.parametrize("where", ["odd", "whole"])
@@ -201,6 +215,83 @@ def test_classifier_scores_odd_rows_and_ignores_other_columns(spark, odd):
     assert {r["s"] for r in none} == {0.5}
 
 
+def test_classifier_samples_one_row_of_an_id_and_takes_null_ids(spark):
+    docs = spark.createDataFrame([(1, f"text {i} of one id") for i in range(300)] + [(None, "no id at all")] * 5 + [(i, f"a clean text number {i}") for i in range(2, 40)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(40)] + [(None, 1)], "doc_id bigint, quality int")
+    model = quality_pu.train(docs, labels, 10, 10)
+    again = quality_pu.train(docs.repartition(7, "text"), labels, 10, 10)
+    assert (model.weights == again.weights).all()
+    held = docs.select((~quality_pu.in_training(docs["doc_id"])).alias("h"), "doc_id").where("doc_id is null").collect()
+    assert {r["h"] for r in held} == {False}
+
+
+def test_risk_is_the_published_one():
+    """The fit against a plain gradient descent on the non-negative risk, from its definition."""
+    rng = np.random.default_rng(1)
+    good, bad = rng.normal(1, 1, (400, 2)), rng.normal(-1, 1, (400, 2))
+    one = lambda x: np.column_stack([x, np.ones(len(x))])
+    p, u = one(good[:200]), one(np.concatenate([good[200:], bad]))
+    prior = 200 / 600
+    risk = lambda w: prior * np.logaddexp(0, -(p @ w)).mean() + max(0, np.logaddexp(0, u @ w).mean() - prior * np.logaddexp(0, p @ w).mean())
+    w = np.zeros(3)
+    for _ in range(4000):
+        step = np.array([(risk(w + d) - risk(w - d)) / 2e-4 for d in 1e-4 * np.eye(3)])
+        w = w - 0.05 * step
+    ours = quality_pu._fit(p, u, prior)
+    assert risk(ours) < risk(w) + 0.01
+    test = np.concatenate([one(rng.normal(1, 1, (2000, 2))), one(rng.normal(-1, 1, (2000, 2)))])
+    assert ((test @ ours > 0) == (test @ w > 0)).mean() > 0.97
+    assert abs(quality_pu.class_prior(p @ ours, u @ ours) - prior) < 0.15
+
+
+def test_steps_are_the_distribution(spark):
+    """Against exact sums, at small rates and at a large one, which takes seconds at most."""
+    table = mixing.with_steps(spark.createDataFrame([("a", 0.3), ("b", 20.0), ("c", 400.0), ("d", 1e6), ("e", 0.0)], "source string, rate double"))
+    rows = {r["source"]: r for r in table.collect()}
+    for source, rate in (("a", 0.3), ("b", 20.0), ("c", 400.0)):
+        total, k = 0.0, 0
+        for k in range(rows[source]["least"] + 40):
+            total += math.exp(-rate + k * math.log(rate) - math.lgamma(k + 1))
+            if k >= rows[source]["least"]:
+                assert abs(rows[source]["steps"][k - rows[source]["least"]] - total) < 1e-12
+    d = rows["d"]
+    middle = next(i for i, x in enumerate(d["steps"]) if x > 0.5) + d["least"]
+    assert abs(middle - 1e6) <= 1 and abs(d["steps"][-1] - 1) < 1e-9 and d["steps"][0] < 1e-20
+    assert rows["e"]["steps"] == [1.0]
+
+
+def test_clean_texts_of_other_scripts_are_kept(spark):
+    texts = {"zh": "这 是 一 个 干净 的 句子 。", "hi": "यह एक साफ वाक्य है।", "ar": "هل هذا نص نظيف؟", "th": "นี่ คือ ประโยค ที่ สะอาด", "ja": "これは 文 です。", "ru": "Это чистое предложение.", "menu": "главная"}
+    rows = [(k, "\n".join(f"{i} {t}" if k != "menu" else t for i in range(20))) for k, t in texts.items()]
+    out = {r["k"]: r["quality"] for r in quality_rules.judge(spark.createDataFrame(rows, "k string, text string")).collect()}
+    assert all(v["left_chars"] == v["word_chars"] for k, v in out.items() if k != "menu") and out["menu"]["left_chars"] == 0
+    own = quality_rules.phrases(spark.createDataFrame([("boilerplate", "saUber (x)"), ("menu", "los")], "kind string, phrase string"))
+    docs = spark.createDataFrame([(1, "Das ist Sauber (x) hier.\nLos!\nEin Satz.")], "k int, text string")
+    assert [r["quality"]["text"] for r in quality_rules.judge(docs, by=own).collect()] == ["Ein Satz."]
+
+
+def test_vocabulary_from_a_table(spark):
+    table = spark.createDataFrame([("Verboten", None), ("preis", 1.5), ("gratis", 0.5), ("gratis", 0.25), ("rabatt", 0.5), ("", None)], "term string, weight double")
+    terms = url_filter.vocabulary(table)
+    assert terms == url_filter.Vocabulary(frozenset({"verboten"}), (("gratis", 0.5), ("preis", 1.5), ("rabatt", 0.5)))
+    urls = ["http://a/verboten", "http://a/verbotene", "http://a/preis-gratis", "http://a/gratis-rabatt", "http://a/preis/preis"]
+    out = [r["url_verdict"]["verdict"] for r in url_filter.judge(spark.createDataFrame([(u,) for u in urls], "url string"), terms=terms).collect()]
+    assert out == ["block", "allow", "block", "allow", "allow"]
+    with pytest.raises(ValueError, match="more than 2"):
+        url_filter.vocabulary(table, 2)
+    none = url_filter.judge(spark.createDataFrame([("http://a/x",)], "url string"), terms=url_filter.Vocabulary(frozenset(), ())).collect()
+    assert none[0]["url_verdict"]["verdict"] == "allow"
+
+
+def test_shards_of_failed_attempts_are_deleted(spark):
+    folder = Scratch(spark, "test").path
+    index = token_records.write_records(_docs(spark, ["a b", "c", None]), folder, queries.tokenizer_path())
+    named = {r["path"] for r in index.select("path").collect()}
+    at = Path(folder.removeprefix("file:")) / "shards"
+    (at / "shard-000000-left.rec").write_bytes(b"x")
+    assert token_records.sweep(index, folder) == 1 and {p.name for p in at.iterdir() if not p.name.startswith(".")} == named
+
+
 def test_mixing_follows_targets(spark):
     docs = spark.createDataFrame([(i, "x" * 10, "big" if i % 3 else "small") for i in range(6000)], "doc_id bigint, text string, source string")
     counts = Counter(r["source"] for r in mixing.mix(docs, {"big": 1.0, "small": 1.0}).collect())
