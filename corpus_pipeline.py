@@ -27,7 +27,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return written_and_read(docs, tokenizer_path())
+    return written_and_read(docs, tokenizer_path(), by_id=False)  # in the order of the mix
 
 
 STAGES = [("quality", quality), ("near_copies", near_copies), ("decontaminated", decontaminated), ("mixed", mixed), ("tokens", tokens)]
