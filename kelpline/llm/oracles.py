@@ -89,8 +89,8 @@ SELECT page_id, host, path, CASE {rule} END AS rule, CASE {verdict} WHEN {strict
 _WHITE = r"' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _RULES = f"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 m AS (SELECT rid, doc_id, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM d),
-g AS (SELECT *, list_filter(lines, lambda x: regexp_matches(trim(x, {_WHITE}), {_q(quality_rules.RULES.ends)}) AND NOT regexp_matches(trim(x, {_WHITE}), {_q(quality_rules.RULES.navigation)})
-  AND NOT regexp_matches(trim(x, {_WHITE}), {_q(quality_rules.RULES.boilerplate)})) AS good FROM m),
+g AS (SELECT *, list_filter(lines, lambda x: regexp_matches(right(trim(x, {_WHITE}), 1), {_q(quality_rules.RULES.ends)}) AND NOT regexp_matches(trim(x, {_WHITE}), {_q(quality_rules.RULES.navigation)})
+  AND NOT ({' OR '.join(f"contains(lower(x), {_q(p)})" for p in quality_rules.RULES.boilerplate)})) AS good FROM m),
 tri AS (SELECT rid, unnest(range(1, len(w) - 1)) AS i, unnest(list_transform(range(1, len(w) - 1), lambda k: w[k] || ' ' || w[k + 1] || ' ' || w[k + 2])) AS x FROM g WHERE len(w) >= 4),
 h AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, x) AS n FROM tri),
 cov AS (SELECT rid, least(3, coalesce(lead(i) OVER (PARTITION BY rid ORDER BY i) - i, 3)) AS c FROM h WHERE n > 1),

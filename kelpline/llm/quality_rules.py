@@ -12,6 +12,7 @@ Extra columns pass through `judge` and `clean`. An empty table gives an empty re
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterable
 from typing import NamedTuple
 
@@ -40,27 +41,27 @@ BOILERPLATE = ("all rights reserved", "copyright", "cookie policy", "privacy pol
 
 
 class Rules(NamedTuple):
-    """Patterns that lines are judged by; any engine's words must stand escaped."""
+    """What lines are judged by: a pattern of the last character, one of navigation, and phrases in lower case."""
 
     ends: str
     navigation: str
-    boilerplate: str
+    boilerplate: tuple[str, ...]
 
 
 def rules(ends: str = ENDS, menu: Iterable[str] = MENU, boilerplate: Iterable[str] = BOILERPLATE) -> Rules:
-    """The rules for given characters and phrases; phrases of A-Z or a-z match in either case."""
+    """The rules for given characters and phrases; phrases match in either case."""
     mark = lambda x: "".join(f"\\{c}" if c in "\\.[]{}()*+?^$|-" else c for c in x)
     return Rules(
-        f"[{mark(ends)}{UNMARKED}]\\z",
+        f"^[{mark(ends)}{UNMARKED}]\\z",
         f"\\|[^\\n]*\\||^[A-Za-z ]{{0,40}} > |^(?i:{'|'.join(map(mark, menu))})[.!]?\\z",
-        f"(?i:{'|'.join(map(mark, boilerplate))})",
+        tuple(x.lower() for x in boilerplate),
     )
 
 
 RULES = rules()
 
 
-def phrases(table: DataFrame, most: int = 10_000) -> Rules:
+def phrases(table: DataFrame, most: int = 500) -> Rules:
     """Rules from a table (kind: menu or boilerplate, phrase); more than `most` rows are an error."""
     rows = table.where("phrase <> ''").select("kind", "phrase").distinct().limit(most + 1).collect()
     if len(rows) > most:
@@ -79,25 +80,31 @@ def _without(text: Column, chars: str) -> Column:
 
 
 def _repeated(words: Column) -> Column:
-    """Words in 3-word windows that occur twice or more. Hashes only tell which texts may have such windows; those are compared as words."""
+    """Words in 3-word windows that occur twice or more. Hashes only tell which windows may be such; those are compared as words."""
     n = F.size(words)
-    windows = lambda of: F.transform(F.slice(words, F.lit(1), n - 2), lambda w, i: of(w, F.get(words, i + 1), F.get(words, i + 2)))
-
-    def count(windows: Column) -> Column:
-        pairs = F.array_sort(F.transform(windows, lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
+    def again(windows: Column) -> Column:
+        """Places `i` of the windows (x, i) whose x is not alone, in no order."""
         same = lambda a, b: F.coalesce(a["x"] == b["x"], F.lit(False))
-        places = let(pairs, lambda p: F.transform(F.filter(F.transform(p, lambda s, i: F.struct(s["i"].alias("i"), (same(s, F.get(p, i - 1)) | same(s, F.get(p, i + 1))).alias("dup"))), lambda s: s["dup"]), lambda s: s["i"]))
+        sorted_ = lambda p: F.transform(F.filter(F.transform(p, lambda s, i: F.struct(s["i"].alias("i"), (same(s, F.get(p, i - 1)) | same(s, F.get(p, i + 1))).alias("dup"))), lambda s: s["dup"]), lambda s: s["i"])
+        return let(F.array_sort(windows), sorted_)
+
+    def count(hashes: Column) -> Column:
+        places = again(F.transform(hashes, lambda x, i: F.struct(x.alias("x"), i.alias("i"))))
+        spelled = lambda i: F.concat_ws(" ", *[F.get(words, i + k) for k in range(3)])  # noqa: E731  words hold no space
+        places = again(F.transform(places, lambda i: F.struct(spelled(i).alias("x"), i.alias("i"))))
         # a window covers 3 words, or as many as lie before the next repeated one
         own = let(F.sort_array(places), lambda q: F.transform(q, lambda at, i: F.least(F.coalesce(F.get(q, i + 1) - at, F.lit(3)), F.lit(3))))
         return F.aggregate(own, F.lit(0).cast("bigint"), lambda a, x: a + x)
 
-    # words hold no space
-    some = let(windows(F.xxhash64), lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), count(windows(lambda *w: F.concat_ws(" ", *w)))).otherwise(F.lit(0).cast("bigint")))
+    # most texts repeat no window: a set of hashes tells that without a sort
+    hashes = F.transform(F.slice(words, F.lit(1), n - 2), lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))
+    some = let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) < F.size(h), count(h)).otherwise(F.lit(0).cast("bigint")))
     return F.when(n >= 4, some).otherwise(F.lit(0).cast("bigint"))
 
 
 def _line_ok(line: Column, by: Rules) -> Column:
-    return let(F.btrim(line, F.lit(WHITE)), lambda x: x.rlike(by.ends) & ~x.rlike(by.navigation) & ~x.rlike(by.boilerplate))
+    holds = lambda x: functools.reduce(lambda a, p: a | x.contains(p), by.boilerplate, F.lit(False))
+    return let(F.btrim(line, F.lit(WHITE)), lambda x: F.substring(x, -1, 1).rlike(by.ends) & ~x.rlike(by.navigation) & ~let(F.lower(x), holds))
 
 
 def judge(docs: DataFrame, column: str = "quality", by: Rules = RULES) -> DataFrame:
