@@ -28,7 +28,7 @@ def _with_unknown(df: DataFrame, row: dict[str, Column]) -> DataFrame:
 def dim_date(s: Frames) -> DataFrame:
     """Every date of orders, items and reviews, and 1900-01-01; one scan of each table."""
     days = lambda df, *cols: df.select(F.explode(F.array(*[F.col(c).cast("date") for c in cols])).alias("full_date"))
-    d = days(s["order"], "order_purchase_timestamp", "order_approved_at", "order_delivered_customer_date", "order_estimated_delivery_date")
+    d = days(s["order"], "order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date", "order_delivered_customer_date", "order_estimated_delivery_date")
     d = d.union(days(s["order_item"], "shipping_limit_date")).union(days(s["order_review"], "review_creation_date", "review_answer_timestamp"))
     d = d.union(d.sparkSession.range(1).select(F.lit("1900-01-01").cast("date"))).where("full_date is not null").distinct()
     x = F.col("full_date")
@@ -78,7 +78,7 @@ def fact_order(s: Frames, customers: DataFrame) -> DataFrame:
 
 
 def fact_order_item(s: Frames, orders: DataFrame, products: DataFrame, sellers: DataFrame) -> DataFrame:
-    i = s["order_item"].where("amount_quality_status = 'VALID'").join(orders.select("order_id", "order_key", "order_purchase_timestamp"), "order_id")
+    i = s["order_item"].where("order_parent_exists AND amount_quality_status = 'VALID'").join(orders.select("order_id", "order_key", "order_purchase_timestamp"), "order_id")
     i = join_as_of(i, products, "product_id", "order_purchase_timestamp", "product_key", unknown_key("PRODUCT"))
     i = join_as_of(i, sellers, "seller_id", "order_purchase_timestamp", "seller_key", unknown_key("SELLER"))
     key = gold_key("ORDER_ITEM", F.concat_ws(":", "order_id", F.col("order_item_id").cast("string")))
@@ -86,9 +86,9 @@ def fact_order_item(s: Frames, orders: DataFrame, products: DataFrame, sellers:
 
 
 def fact_payment(s: Frames, orders: DataFrame) -> DataFrame:
-    p = s["order_payment"].join(orders.select("order_id", "order_key"), "order_id")
+    p = s["order_payment"].where("order_parent_exists AND amount_quality_status = 'VALID'").join(orders.select("order_id", "order_key"), "order_id")
     key = gold_key("PAYMENT", F.concat_ws(":", "order_id", F.col("payment_sequential").cast("string")))
-    return p.select(key.alias("payment_key"), "order_key", "order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value", "amount_quality_status")
+    return p.select(key.alias("payment_key"), "order_key", "order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value", F.lit(1).cast("bigint").alias("payment_count"))
 
 
 def fact_review(s: Frames, orders: DataFrame) -> DataFrame:
@@ -232,11 +232,11 @@ def semantic(g: Frames, name: str) -> DataFrame:
     return g[mart].select(*[F.col(c).alias(RENAMED.get(c, c)) for c in columns])
 
 
-def build(s: Frames) -> Lazy:
+def build(s: Frames, keep=None) -> Lazy:
     makers = {
         "dim_date": lambda g: dim_date(s), "dim_geography": lambda g: dim_geography(s), "dim_product": lambda g: dim_product(s), "dim_customer": lambda g: dim_customer(s, g["dim_geography"]), "dim_seller": lambda g: dim_seller(s, g["dim_geography"]),
         "fact_order": lambda g: fact_order(s, g["dim_customer"]), "fact_order_item": lambda g: fact_order_item(s, g["fact_order"], g["dim_product"], g["dim_seller"]),
         "fact_payment": lambda g: fact_payment(s, g["fact_order"]), "fact_review_base": lambda g: fact_review(s, g["fact_order"]), "bridge_review_item": lambda g: bridge(g["fact_review_base"], g["fact_order_item"]),
     }
     makers |= {f.__name__: f for f in (mart_order_delivery, mart_product_review, mart_seller_performance, mart_customer_overview)}
-    return Lazy(makers | {f"sem_{n}": lambda g, n=n: semantic(g, n) for n in SEMANTIC})
+    return Lazy(makers | {f"sem_{n}": lambda g, n=n: semantic(g, n) for n in SEMANTIC}, keep)

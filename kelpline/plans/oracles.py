@@ -48,16 +48,16 @@ CTES: dict[str, str] = {
   FROM {_rn}, range(0, 4) t(i)""",
     "b_orders": _lineage("""SELECT o_orderkey::VARCHAR AS order_id, CASE WHEN o_orderkey % 97 = 0 THEN 'gone-' || o_custkey ELSE o_custkey::VARCHAR END AS customer_id,
   CASE WHEN o_orderkey % 101 = 0 THEN 'lost' WHEN o_orderstatus = 'F' THEN ' Delivered' WHEN o_orderstatus = 'O' THEN 'shipped' ELSE 'canceled' END AS order_status, o_orderdate AS order_purchase_timestamp,
-  o_orderdate + INTERVAL 1 HOUR AS order_approved_at, CASE WHEN o_orderstatus = 'F' THEN shipped END AS order_delivered_customer_date, o_orderdate + INTERVAL 60 DAY AS order_estimated_delivery_date
-  FROM orders LEFT JOIN (SELECT l_orderkey, max(l_shipdate) AS shipped FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey""", ["order_id", "customer_id", "order_status", "@order_purchase_timestamp", "@order_approved_at", "@order_delivered_customer_date", "@order_estimated_delivery_date"]),
+  o_orderdate + INTERVAL 1 HOUR AS order_approved_at, CASE WHEN o_orderstatus <> 'O' THEN o_orderdate + INTERVAL 2500 DAY END AS order_delivered_carrier_date, CASE WHEN o_orderstatus = 'F' THEN shipped END AS order_delivered_customer_date, o_orderdate + INTERVAL 60 DAY AS order_estimated_delivery_date
+  FROM orders LEFT JOIN (SELECT l_orderkey, max(l_shipdate) AS shipped FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey""", ["order_id", "customer_id", "order_status", "@order_purchase_timestamp", "@order_approved_at", "@order_delivered_carrier_date", "@order_delivered_customer_date", "@order_estimated_delivery_date"]),
     "b_items": _lineage("""SELECT l_orderkey::VARCHAR AS order_id, l_linenumber::BIGINT AS order_item_id, l_partkey::VARCHAR AS product_id, l_suppkey::VARCHAR AS seller_id, l_shipdate AS shipping_limit_date,
   CASE WHEN l_partkey % 211 = 0 THEN 0::DECIMAL(18,2) ELSE l_extendedprice::DECIMAL(18,2) END AS price, l_tax::DECIMAL(18,2) AS freight_value FROM lineitem""", ["order_id", "order_item_id", "product_id", "seller_id", "@shipping_limit_date", "price", "freight_value"], "length(product_id)", "length(seller_id)"),
     "b_payments": _lineage("""SELECT CASE WHEN o_orderkey % 89 = 0 THEN 'gone-' || o_orderkey ELSE o_orderkey::VARCHAR END AS order_id, 1::BIGINT AS payment_sequential,
-  (['credit_card', 'boleto', 'voucher', 'debit_card'])[o_orderkey % 4 + 1] AS payment_type, o_orderkey % 10 + 1 AS payment_installments, o_totalprice::DECIMAL(18,2) AS payment_value FROM orders""", ["order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value"]),
+  (['credit_card', ' Boleto', 'VOUCHER ', 'debit_card'])[o_orderkey % 4 + 1] AS payment_type, CASE WHEN o_orderkey % 107 = 0 THEN -1 ELSE o_orderkey % 10 + 1 END AS payment_installments, CASE WHEN o_orderkey % 103 = 0 THEN -o_totalprice::DECIMAL(18,2) ELSE o_totalprice::DECIMAL(18,2) END AS payment_value FROM orders""", ["order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value"]),
     "b_reviews": _lineage("""SELECT 'r' || o_orderkey AS review_id, CASE WHEN o_orderkey % 83 = 0 THEN 'gone-' || o_orderkey ELSE o_orderkey::VARCHAR END AS order_id, o_orderkey % 5 + 1 AS review_score,
   CASE WHEN o_orderkey % 7 = 0 THEN ' good ' END AS review_comment_title, text AS review_comment_message, o_orderdate + INTERVAL 61 DAY AS review_creation_date,
   o_orderdate + INTERVAL 60 DAY + to_days((o_orderkey % 9)::INT) AS review_answer_timestamp FROM orders LEFT JOIN documents ON doc_id = o_orderkey""", ["review_id", "order_id", "review_score", "review_comment_title", "review_comment_message", "@review_creation_date", "@review_answer_timestamp"]),
-    "b_products": _lineage("SELECT p_partkey::VARCHAR AS product_id, CASE WHEN p_size % 10 = 0 THEN NULL ELSE upper(p_type) END AS product_category_name, length(p_name)::BIGINT AS product_name_lenght, p_size::BIGINT AS product_photos_qty, p_retailprice::DECIMAL(18,2) AS product_weight_g FROM part", ["product_id", "product_category_name", "product_name_lenght", "product_photos_qty", "product_weight_g"]),
+    "b_products": _lineage("SELECT p_partkey::VARCHAR AS product_id, CASE WHEN p_size % 10 = 0 THEN NULL ELSE upper(p_type) END AS product_category_name, length(p_name)::BIGINT AS product_name_lenght, length(p_type)::BIGINT AS product_description_lenght, p_size::BIGINT AS product_photos_qty, p_retailprice::DECIMAL(18,2) AS product_weight_g, (p_size * 2)::DECIMAL(18,2) AS product_length_cm, (p_size * 3)::DECIMAL(18,2) AS product_height_cm, (p_size * 4)::DECIMAL(18,2) AS product_width_cm FROM part", ["product_id", "product_category_name", "product_name_lenght", "product_description_lenght", "product_photos_qty", "product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm"]),
     "b_translation": _lineage("SELECT DISTINCT upper(p_type) AS product_category_name, 'en ' || lower(p_type) AS product_category_name_english FROM part WHERE NOT contains(upper(p_type), 'A')", ["product_category_name", "product_category_name_english"]),
     "b_sellers": _lineage(f"SELECT s_suppkey::VARCHAR AS seller_id, (s_nationkey + CASE WHEN s_suppkey % 20 = 0 THEN 90000 ELSE 0 END)::VARCHAR AS seller_zip_code_prefix, ' ' || lower(n_name) AS seller_city, r_name AS seller_state FROM supplier JOIN {_rn} ON s_nationkey = n_nationkey", ["seller_id", "seller_zip_code_prefix", "seller_city", "seller_state"]),
     "sil_category_translation": f"SELECT product_category_name, {_up('product_category_name_english')} AS product_category_name_english FROM ({_latest('(SELECT * REPLACE (lower(trim(product_category_name)) AS product_category_name) FROM b_translation)', 'product_category_name')})",
@@ -66,7 +66,7 @@ CTES: dict[str, str] = {
   SELECT {_zip('geolocation_zip_code_prefix')} AS geolocation_zip_prefix, round(sum(geolocation_lat) FILTER (ok)::DOUBLE / nullif(count(*) FILTER (ok), 0), 6) AS centroid_latitude, round(sum(geolocation_lng) FILTER (ok)::DOUBLE / nullif(count(*) FILTER (ok), 0), 6) AS centroid_longitude,
   count(*) AS source_point_count, count(*) FILTER (ok) AS valid_coordinate_count, count(*) FILTER (NOT ok) AS invalid_coordinate_count, min(city) AS representative_city, min(state) AS representative_state, count(DISTINCT city) AS distinct_city_count, count(DISTINCT state) AS distinct_state_count
   FROM (SELECT *, geolocation_lat BETWEEN -90 AND 90 AND geolocation_lng BETWEEN -180 AND 180 AS ok, {_up('geolocation_city')} AS city, {_up('geolocation_state')} AS state FROM b_geolocation) GROUP BY 1)""",
-    "sil_order": f"""SELECT order_id, customer_id, order_status, order_purchase_timestamp, order_approved_at, order_delivered_customer_date, order_estimated_delivery_date, customer_exists, valid_item_count, delivery_interval_valid,
+    "sil_order": f"""SELECT order_id, customer_id, order_status, order_purchase_timestamp, order_approved_at, order_delivered_carrier_date, order_delivered_customer_date, order_estimated_delivery_date, customer_exists, valid_item_count, delivery_interval_valid,
   CASE WHEN order_status = 'delivered' AND customer_exists AND valid_item_count > 0 THEN 'IN_SCOPE' WHEN order_status = 'delivered' THEN 'QUARANTINED' WHEN order_status IN ('canceled', 'unavailable', 'approved', 'created', 'invoiced', 'processing', 'shipped') THEN 'OUT_OF_SCOPE_DELIVERY' ELSE 'UNKNOWN' END AS analysis_scope_status,
   CASE WHEN order_status = 'delivered' AND NOT customer_exists THEN 'MISSING_CUSTOMER' WHEN order_status = 'delivered' AND valid_item_count = 0 THEN 'MISSING_ORDER_ITEM' WHEN order_status = 'delivered' THEN 'ELIGIBLE_DELIVERED' WHEN order_status IN ('canceled', 'unavailable') THEN 'TERMINAL_NON_DELIVERY'
     WHEN order_status IN ('approved', 'created', 'invoiced', 'processing', 'shipped') THEN 'NOT_DELIVERED' ELSE 'UNRECOGNIZED_STATUS' END AS analysis_scope_reason,
@@ -76,15 +76,15 @@ CTES: dict[str, str] = {
     FROM ({_latest('b_orders', 'order_id')}) o LEFT JOIN (SELECT DISTINCT customer_id FROM b_customers) c ON o.customer_id = c.customer_id LEFT JOIN (SELECT order_id, count(*) AS n FROM b_items GROUP BY 1) i ON o.order_id = i.order_id)""",
     "sil_order_item": f"""SELECT i.order_id, order_item_id, product_id, seller_id, shipping_limit_date, price, freight_value, price + freight_value AS item_total_value, p.order_id IS NOT NULL AS order_parent_exists,
   CASE WHEN p.order_id IS NULL THEN 'ORPHAN_ORDER' WHEN price <= 0 THEN 'INVALID_PRICE' WHEN freight_value < 0 THEN 'INVALID_FREIGHT' ELSE 'VALID' END AS amount_quality_status FROM ({_latest('b_items', 'order_id, order_item_id')}) i LEFT JOIN sil_order p ON i.order_id = p.order_id""",
-    "sil_order_payment": f"""SELECT i.order_id, payment_sequential, payment_type, payment_installments, payment_value, p.order_id IS NOT NULL AS order_parent_exists,
-  CASE WHEN p.order_id IS NULL THEN 'ORPHAN_ORDER' WHEN payment_value < 0 THEN 'INVALID_PAYMENT' WHEN payment_installments < 0 THEN 'INVALID_INSTALLMENTS' ELSE 'VALID' END AS amount_quality_status FROM ({_latest('b_payments', 'order_id, payment_sequential')}) i LEFT JOIN sil_order p ON i.order_id = p.order_id""",
+    "sil_order_payment": f"""SELECT i.order_id, payment_sequential, lower(trim(payment_type)) AS payment_type, payment_installments, payment_value, p.order_id IS NOT NULL AS order_parent_exists,
+  CASE WHEN p.order_id IS NULL THEN 'ORPHAN_ORDER' WHEN payment_value < 0 THEN 'INVALID_PAYMENT_VALUE' WHEN payment_installments < 0 THEN 'INVALID_INSTALLMENTS' ELSE 'VALID' END AS amount_quality_status FROM ({_latest('b_payments', 'order_id, payment_sequential')}) i LEFT JOIN sil_order p ON i.order_id = p.order_id""",
     "sil_order_review": f"""SELECT review_id, order_id, review_score, review_creation_date, review_answer_timestamp, order_parent_exists, review_text_length > 0 AS review_text_present, review_text_length, response_interval_valid,
   CASE WHEN response_interval_valid THEN datesub('second', review_creation_date, review_answer_timestamp) END AS response_latency_seconds,
   CASE WHEN NOT response_interval_valid THEN 'INVALID_RESPONSE_INTERVAL' WHEN NOT order_parent_exists THEN 'ORPHAN_ORDER' WHEN analysis_scope_status <> 'IN_SCOPE' THEN 'OUT_OF_SCOPE_ORDER' WHEN review_text_length = 0 THEN 'SCORE_ONLY' ELSE 'PENDING_DLP' END AS ai_eligibility_status
   FROM (SELECT r.*, p.order_id IS NOT NULL AS order_parent_exists, analysis_scope_status, length(trim(coalesce(review_comment_title, ''), ' ')) + length(trim(coalesce(review_comment_message, ''), ' ')) AS review_text_length, review_answer_timestamp >= review_creation_date AS response_interval_valid
     FROM ({_latest('b_reviews', 'review_id, order_id')}) r LEFT JOIN sil_order p ON r.order_id = p.order_id)""",
     "sil_product": f"""SELECT product_id, coalesce(p.product_category_name, 'unknown') AS product_category_name, coalesce(product_category_name_english, 'UNKNOWN') AS product_category_name_english, t.product_category_name IS NOT NULL AS category_translation_exists,
-  product_name_lenght AS product_name_length, product_photos_qty, product_weight_g, CASE WHEN p.product_category_name IS NULL THEN 'UNKNOWN_CATEGORY' WHEN t.product_category_name IS NULL THEN 'UNTRANSLATED_CATEGORY' ELSE 'VALID' END AS product_quality_status, record_hash
+  product_name_lenght AS product_name_length, product_description_lenght AS product_description_length, product_photos_qty, product_weight_g, product_length_cm, product_height_cm, product_width_cm, CASE WHEN p.product_category_name IS NULL THEN 'UNKNOWN_CATEGORY' WHEN t.product_category_name IS NULL THEN 'UNTRANSLATED_CATEGORY' ELSE 'VALID' END AS product_quality_status, record_hash
   FROM ({_latest('(SELECT * REPLACE (lower(trim(product_category_name)) AS product_category_name) FROM b_products)', 'product_id')}) p LEFT JOIN sil_category_translation t ON p.product_category_name = t.product_category_name""",
     "sil_seller": f"""SELECT seller_id, seller_zip_prefix, {_up('seller_city')} AS seller_city, {_up('seller_state')} AS seller_state, g.geolocation_zip_prefix IS NOT NULL AS geolocation_zip_exists, coalesce(geolocation_quality_status, 'ZIP_NOT_FOUND') AS geolocation_quality_status, record_hash
   FROM (SELECT *, {_zip('seller_zip_code_prefix')} AS seller_zip_prefix FROM ({_latest('b_sellers', 'seller_id')})) s LEFT JOIN sil_geolocation_zip g ON seller_zip_prefix = geolocation_zip_prefix""",
@@ -102,7 +102,7 @@ CTES: dict[str, str] = {
         ]) + ")",
     "dim_date": f"""SELECT {_dk('full_date')} AS date_key, full_date, year(full_date) AS calendar_year, quarter(full_date) AS calendar_quarter, month(full_date) AS calendar_month, strftime(full_date, '%b') AS month_name, week(full_date) AS iso_week, day(full_date) AS day_of_month,
   isodow(full_date) AS iso_day_of_week, strftime(full_date, '%a') AS day_name, date_trunc('week', full_date)::DATE AS week_start_date, date_trunc('month', full_date)::DATE AS month_start_date, date_trunc('quarter', full_date)::DATE AS quarter_start_date FROM (
-  SELECT order_purchase_timestamp::DATE AS full_date FROM sil_order UNION SELECT order_approved_at::DATE FROM sil_order UNION SELECT order_delivered_customer_date::DATE FROM sil_order UNION SELECT order_estimated_delivery_date::DATE FROM sil_order
+  SELECT order_purchase_timestamp::DATE AS full_date FROM sil_order UNION SELECT order_approved_at::DATE FROM sil_order UNION SELECT order_delivered_carrier_date::DATE FROM sil_order UNION SELECT order_delivered_customer_date::DATE FROM sil_order UNION SELECT order_estimated_delivery_date::DATE FROM sil_order
   UNION SELECT shipping_limit_date::DATE FROM sil_order_item UNION SELECT review_creation_date::DATE FROM sil_order_review UNION SELECT review_answer_timestamp::DATE FROM sil_order_review UNION SELECT DATE '1900-01-01') WHERE full_date IS NOT NULL""",
     "dim_geography": f"""SELECT *, {_history} FROM (SELECT {key('GEOGRAPHY', 'geolocation_zip_prefix')} AS geography_key, geolocation_zip_prefix, representative_city AS city, representative_state AS state, centroid_latitude, centroid_longitude, geolocation_quality_status FROM sil_geolocation_zip
   UNION ALL SELECT {unknown('GEOGRAPHY')}, '{UNKNOWN}', 'UNKNOWN', 'UNKNOWN', NULL, NULL, 'UNKNOWN')""",
@@ -117,8 +117,8 @@ CTES: dict[str, str] = {
   FROM sil_order o LEFT JOIN dim_customer c ON o.customer_id = c.customer_id AND order_purchase_timestamp >= effective_from AND order_purchase_timestamp < coalesce(effective_to, TIMESTAMP '9999-12-31') WHERE analysis_scope_status <> 'QUARANTINED'""",
     "fact_order_item": f"""SELECT {key('ORDER_ITEM', "concat_ws(':', order_id, order_item_id::VARCHAR)")} AS order_item_key, order_key, order_id, order_item_id, coalesce(product_key, {unknown('PRODUCT')}) AS product_key, coalesce(seller_key, {unknown('SELLER')}) AS seller_key, {_dk('shipping_limit_date')} AS shipping_limit_date_key,
   price, freight_value, item_total_value, 1::BIGINT AS item_count FROM sil_order_item i JOIN (SELECT order_id, order_key, order_purchase_timestamp AS bought FROM fact_order) USING (order_id)
-  LEFT JOIN (SELECT product_id, product_key, effective_from AS pf, effective_to AS pt FROM dim_product) p ON i.product_id = p.product_id AND bought >= pf AND bought < coalesce(pt, TIMESTAMP '9999-12-31') LEFT JOIN (SELECT seller_id, seller_key, effective_from AS sf, effective_to AS st FROM dim_seller) s ON i.seller_id = s.seller_id AND bought >= sf AND bought < coalesce(st, TIMESTAMP '9999-12-31') WHERE amount_quality_status = 'VALID'""",
-    "fact_payment": f"SELECT {key('PAYMENT', "concat_ws(':', order_id, payment_sequential::VARCHAR)")} AS payment_key, order_key, order_id, payment_sequential, payment_type, payment_installments, payment_value, amount_quality_status FROM sil_order_payment JOIN (SELECT order_id, order_key FROM fact_order) USING (order_id)",
+  LEFT JOIN (SELECT product_id, product_key, effective_from AS pf, effective_to AS pt FROM dim_product) p ON i.product_id = p.product_id AND bought >= pf AND bought < coalesce(pt, TIMESTAMP '9999-12-31') LEFT JOIN (SELECT seller_id, seller_key, effective_from AS sf, effective_to AS st FROM dim_seller) s ON i.seller_id = s.seller_id AND bought >= sf AND bought < coalesce(st, TIMESTAMP '9999-12-31') WHERE order_parent_exists AND amount_quality_status = 'VALID'""",
+    "fact_payment": f"SELECT {key('PAYMENT', "concat_ws(':', order_id, payment_sequential::VARCHAR)")} AS payment_key, order_key, order_id, payment_sequential, payment_type, payment_installments, payment_value, 1 AS payment_count FROM sil_order_payment JOIN (SELECT order_id, order_key FROM fact_order) USING (order_id) WHERE order_parent_exists AND amount_quality_status = 'VALID'",
     "fact_review_base": f"""SELECT {key('REVIEW', "concat_ws(':', review_id, order_id)")} AS review_key, order_key, review_id, order_id, {_dk('review_creation_date')} AS review_date_key, review_score, o.analysis_scope_status AS order_analysis_scope_status, review_text_present, response_latency_seconds, ai_eligibility_status
   FROM sil_order_review JOIN fact_order o USING (order_id) WHERE order_parent_exists AND response_interval_valid AND review_score BETWEEN 1 AND 5""",
     "bridge_review_item": f"""SELECT {key('REVIEW_ATTRIBUTION', "concat_ws(':', review_key, attribution_ordinal::VARCHAR)")} AS attribution_key, review_key, order_key, review_id, order_id, attribution_ordinal, order_item_key, coalesce(product_key, {unknown('PRODUCT')}) AS product_key, coalesce(seller_key, {unknown('SELLER')}) AS seller_key,

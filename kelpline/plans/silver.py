@@ -67,7 +67,7 @@ def order(b: Frames) -> DataFrame:
     )
     valid = F.col("delivery_interval_valid")
     return o.select(
-        "order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_approved_at", "order_delivered_customer_date", "order_estimated_delivery_date",
+        "order_id", "customer_id", "order_status", "order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date", "order_delivered_customer_date", "order_estimated_delivery_date",
         "customer_exists", "valid_item_count", "delivery_interval_valid", scope.alias("analysis_scope_status"), reason.alias("analysis_scope_reason"),
         F.when(valid, seconds_between(bought, done)).alias("delivery_lead_seconds"), F.when(valid, seconds_between(due, done)).alias("delivery_delay_seconds"),
         F.when(valid, done <= due).alias("is_on_time_delivery"), *LINEAGE,
@@ -86,8 +86,8 @@ def order_item(b: Frames, orders: DataFrame) -> DataFrame:
 
 
 def order_payment(b: Frames, orders: DataFrame) -> DataFrame:
-    j = _with_parent(latest_revision(b["order_payments"], ["order_id", "payment_sequential"]), orders)
-    status = F.when(~F.col("order_parent_exists"), "ORPHAN_ORDER").when(F.col("payment_value") < 0, "INVALID_PAYMENT").when(F.col("payment_installments") < 0, "INVALID_INSTALLMENTS").otherwise("VALID")
+    j = _with_parent(latest_revision(b["order_payments"].withColumn("payment_type", F.lower(F.trim("payment_type"))), ["order_id", "payment_sequential"]), orders)
+    status = F.when(~F.col("order_parent_exists"), "ORPHAN_ORDER").when(F.col("payment_value") < 0, "INVALID_PAYMENT_VALUE").when(F.col("payment_installments") < 0, "INVALID_INSTALLMENTS").otherwise("VALID")
     return j.select("order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value", "order_parent_exists", status.alias("amount_quality_status"), *LINEAGE)
 
 
@@ -119,7 +119,8 @@ def product(b: Frames, translation: DataFrame) -> DataFrame:
     status = F.when(F.col("product_category_name").isNull(), "UNKNOWN_CATEGORY").when(~known, "UNTRANSLATED_CATEGORY").otherwise("VALID")
     return p.select(
         "product_id", F.coalesce("product_category_name", F.lit("unknown")).alias("product_category_name"), F.coalesce("product_category_name_english", F.lit("UNKNOWN")).alias("product_category_name_english"),
-        known.alias("category_translation_exists"), F.col("product_name_lenght").alias("product_name_length"), "product_photos_qty", "product_weight_g", status.alias("product_quality_status"), *LINEAGE,
+        known.alias("category_translation_exists"), F.col("product_name_lenght").alias("product_name_length"), F.col("product_description_lenght").alias("product_description_length"), "product_photos_qty",
+        "product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm", status.alias("product_quality_status"), *LINEAGE,
     )
 
 
@@ -165,23 +166,24 @@ def dq_quarantine(s: Frames) -> DataFrame:
 
 
 class Lazy(dict):
-    """Frames by name, each built when it is first asked for."""
+    """Frames by name, each built when it is first asked for, and then kept by `keep` (a function of name and frame), if given."""
 
-    def __init__(self, makers):
+    def __init__(self, makers, keep=None):
         super().__init__()
-        self.makers = makers
+        self.makers, self.keep = makers, keep
 
     def __missing__(self, name: str) -> DataFrame:
-        self[name] = out = self.makers[name](self)
+        out = self.makers[name](self)
+        self[name] = out = self.keep(name, out) if self.keep else out
         return out
 
     def names(self) -> list[str]:
         return list(self.makers)
 
 
-def build(spark, b: Frames) -> Lazy:
+def build(spark, b: Frames, keep=None) -> Lazy:
     return Lazy({
         "category_translation": lambda s: category_translation(b), "customer": lambda s: customer(b), "geolocation_zip": lambda s: geolocation_zip(b), "order": lambda s: order(b),
         "order_item": lambda s: order_item(b, s["order"]), "order_payment": lambda s: order_payment(b, s["order"]), "order_review": lambda s: order_review(b, s["order"]),
         "product": lambda s: product(b, s["category_translation"]), "seller": lambda s: seller(b, s["geolocation_zip"]), "unknown_member": lambda s: unknown_members(spark), "dq_quarantine": dq_quarantine,
-    })
+    }, keep)

@@ -13,20 +13,20 @@ from kelpline.operators import text as X
 from kelpline.operators import validate as V
 from kelpline.plans import gold, silver
 from kelpline.plans.oracles import sql
-from kelpline.sinks.release import Releases, shared_folder, write_quarantine, write_raw
+from kelpline.sinks.release import Releases, file_state, kept_in, shared_folder, write_quarantine, write_raw
 from kelpline.sources import files
-from kelpline.sources.commerce import bronze, table
+from kelpline.sources.commerce import SOURCES, bronze, table
 
 #: Columns of each model as published; d: a number of 6 places, s: text of a date or time, i: a whole number.
 MODELS = {
     "sil_category_translation": "product_category_name product_category_name_english",
     "sil_customer": "customer_id repeat_customer_key customer_zip_prefix customer_city customer_state",
     "sil_geolocation_zip": "geolocation_zip_prefix centroid_latitude:d centroid_longitude:d source_point_count:i valid_coordinate_count:i invalid_coordinate_count:i representative_city representative_state distinct_city_count:i distinct_state_count:i geolocation_quality_status",
-    "sil_order": "order_id customer_id order_status order_purchase_timestamp:s order_approved_at:s order_delivered_customer_date:s order_estimated_delivery_date:s customer_exists valid_item_count:i delivery_interval_valid analysis_scope_status analysis_scope_reason delivery_lead_seconds:i delivery_delay_seconds:i is_on_time_delivery",
+    "sil_order": "order_id customer_id order_status order_purchase_timestamp:s order_approved_at:s order_delivered_carrier_date:s order_delivered_customer_date:s order_estimated_delivery_date:s customer_exists valid_item_count:i delivery_interval_valid analysis_scope_status analysis_scope_reason delivery_lead_seconds:i delivery_delay_seconds:i is_on_time_delivery",
     "sil_order_item": "order_id order_item_id:i product_id seller_id shipping_limit_date:s price:d freight_value:d item_total_value:d order_parent_exists amount_quality_status",
     "sil_order_payment": "order_id payment_sequential:i payment_type payment_installments:i payment_value:d order_parent_exists amount_quality_status",
     "sil_order_review": "review_id order_id review_score:i review_creation_date:s review_answer_timestamp:s order_parent_exists review_text_present review_text_length:i response_interval_valid response_latency_seconds:i ai_eligibility_status",
-    "sil_product": "product_id product_category_name product_category_name_english category_translation_exists product_name_length:i product_photos_qty:i product_weight_g:d product_quality_status",
+    "sil_product": "product_id product_category_name product_category_name_english category_translation_exists product_name_length:i product_description_length:i product_photos_qty:i product_weight_g:d product_length_cm:d product_height_cm:d product_width_cm:d product_quality_status",
     "sil_seller": "seller_id seller_zip_prefix seller_city seller_state geolocation_zip_exists geolocation_quality_status",
     "sil_unknown_member": "entity_type unknown_member_key",
     "sil_dq_quarantine": "model grain_hash code severity dq_event_id",
@@ -37,7 +37,7 @@ MODELS = {
     "dim_seller": "seller_key seller_id geography_key seller_zip_prefix seller_city seller_state effective_from:s is_current",
     "fact_order": "order_key order_id customer_key purchase_date_key:i delivered_date_key:i estimated_delivery_date_key:i order_status analysis_scope_status analysis_scope_reason order_purchase_timestamp:s delivery_interval_valid delivery_lead_seconds:i delivery_delay_seconds:i is_on_time_delivery",
     "fact_order_item": "order_item_key order_key order_id order_item_id:i product_key seller_key shipping_limit_date_key:i price:d freight_value:d item_total_value:d item_count:i",
-    "fact_payment": "payment_key order_key order_id payment_sequential:i payment_type payment_installments:i payment_value:d amount_quality_status",
+    "fact_payment": "payment_key order_key order_id payment_sequential:i payment_type payment_installments:i payment_value:d payment_count:i",
     "fact_review_base": "review_key order_key review_id order_id review_date_key:i review_score:i order_analysis_scope_status review_text_present response_latency_seconds:i ai_eligibility_status",
     "bridge_review_item": "attribution_key review_key order_key review_id order_id attribution_ordinal:i order_item_key product_key seller_key item_count_for_review:i allocation_method review_score:i weight_units:i score_units:i",
     "mart_order_delivery": "delivery_mart_key period_month:s geography_key geography_state geography_city order_count:i delivered_order_count:i cancelled_order_count:i delivery_eligible_order_count:i on_time_order_count:i on_time_delivery_rate:d average_delivery_lead_seconds:d average_delivery_delay_seconds:d gross_merchandise_value:d freight_value:d payment_value:d payment_reconciliation_delta:d data_release_id",
@@ -64,12 +64,24 @@ def published_sql(select_from: str, columns: str) -> str:
     return sql(f"SELECT {', '.join(_KINDS[k][1].format(c) + f' AS {c}' for c, k in _columns(columns))} FROM {select_from}")
 
 
+_BUILDS: dict[tuple, silver.Lazy] = {}
+
+
 def models(spark: SparkSession, sf_dir: str) -> silver.Lazy:
-    """All models of one folder of tables; only those asked for, and what they need, are built."""
-    s = silver.build(spark, bronze(spark, sf_dir))
-    g = gold.build(s)
-    g.makers |= {f"sil_{n}": lambda _, n=n: s[n] for n in s.names()}
-    return g
+    """All models of one folder of tables; only those asked for, and what they need, are built.
+
+    Each is written once, as by a build, and read by all that need it, for as long as the session lives and the tables
+    are the files that they were.
+    """
+    state = (spark.sparkContext.applicationId, sf_dir, *[file_state(spark, f"{sf_dir}/{t}.parquet") for t in SOURCES])
+    if state not in _BUILDS:
+        keep = kept_in(spark, shared_folder(spark, "models"))
+        s = silver.build(spark, bronze(spark, sf_dir), lambda name, df: keep(f"sil_{name}", df))
+        g = gold.build(s, keep)
+        g.makers |= {f"sil_{n}": lambda _, n=n: s[n] for n in s.names()}
+        g.keep = lambda name, df: df if name.startswith(("sil_", "sem_")) else keep(name, df)
+        _BUILDS[state] = g
+    return _BUILDS[state]
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

@@ -35,6 +35,25 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def kept_in(spark: SparkSession, folder: str):
+    """A function that writes a frame below the folder under its name and returns it as read back. The folder goes with the driver."""
+    fs, p = _fs(spark, folder)
+    fs.mkdirs(p)
+    fs.deleteOnExit(p)
+
+    def keep(name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    return keep
+
+
+def file_state(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Length and time of change of a file or folder; (0, 0) if there is none."""
+    fs, p = _fs(spark, path)
+    return (fs.getContentSummary(p).getLength(), fs.getFileStatus(p).getModificationTime()) if fs.exists(p) else (0, 0)
+
+
 def create_only(df: DataFrame, path: str) -> str:
     """Write df unless the path holds a finished table: LOADED, REPLAY if that has the same rows, else Conflict.
 

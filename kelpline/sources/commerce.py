@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 RELEASE = "release-1"
 LOADED = "2024-01-01 00:00:00"
+SOURCES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +60,7 @@ def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.when(o % 101 == 0, "lost").when(F.col("o_orderstatus") == "F", " Delivered").when(F.col("o_orderstatus") == "O", "shipped").otherwise("canceled").alias("order_status"),
         F.col("o_orderdate").alias("order_purchase_timestamp"),
         (F.col("o_orderdate") + F.expr("interval 1 hour")).alias("order_approved_at"),
+        F.when(F.col("o_orderstatus") != "O", F.col("o_orderdate") + F.expr("interval 2500 days")).alias("order_delivered_carrier_date"),
         F.when(F.col("o_orderstatus") == "F", F.col("shipped")).alias("order_delivered_customer_date"),
         (F.col("o_orderdate") + F.expr("interval 60 days")).alias("order_estimated_delivery_date"), o.alias("k"),
     )
@@ -69,8 +71,8 @@ def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     )
     payments = t("orders").select(
         F.when(o % 89 == 0, F.concat(F.lit("gone-"), o.cast("string"))).otherwise(o.cast("string")).alias("order_id"), F.lit(1).cast("bigint").alias("payment_sequential"),
-        F.element_at(F.array(*map(F.lit, ("credit_card", "boleto", "voucher", "debit_card"))), (o % 4 + 1).cast("int")).alias("payment_type"),
-        (o % 10 + 1).cast("bigint").alias("payment_installments"), money("o_totalprice").alias("payment_value"),
+        F.element_at(F.array(*map(F.lit, ("credit_card", " Boleto", "VOUCHER ", "debit_card"))), (o % 4 + 1).cast("int")).alias("payment_type"),
+        F.when(o % 107 == 0, -1).otherwise(o % 10 + 1).cast("bigint").alias("payment_installments"), F.when(o % 103 == 0, -money("o_totalprice")).otherwise(money("o_totalprice")).cast("decimal(18,2)").alias("payment_value"),
     )
     texts = t("documents").select(F.col("doc_id").alias("o_orderkey"), "text")
     reviews = t("orders").join(texts, "o_orderkey", "left").select(
@@ -81,7 +83,8 @@ def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     )
     products = t("part").select(
         F.col("p_partkey").cast("string").alias("product_id"), F.when(F.col("p_size") % 10 == 0, F.lit(None)).otherwise(F.upper("p_type")).alias("product_category_name"),
-        F.length("p_name").cast("bigint").alias("product_name_lenght"), F.col("p_size").cast("bigint").alias("product_photos_qty"), money("p_retailprice").alias("product_weight_g"),
+        F.length("p_name").cast("bigint").alias("product_name_lenght"), F.length("p_type").cast("bigint").alias("product_description_lenght"), F.col("p_size").cast("bigint").alias("product_photos_qty"), money("p_retailprice").alias("product_weight_g"),
+        *[(F.col("p_size") * k).cast("decimal(18,2)").alias(f"product_{n}_cm") for k, n in ((2, "length"), (3, "height"), (4, "width"))],
     )
     translation = t("part").select(F.upper("p_type").alias("product_category_name"), F.concat(F.lit("en "), F.lower("p_type")).alias("product_category_name_english")).distinct().where(~F.col("product_category_name").contains("A"))
     sellers = t("supplier").join(place("s_nationkey", "seller"), "s_nationkey").select(
