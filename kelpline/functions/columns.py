@@ -63,7 +63,7 @@ def weight_units(ordinal: Column, n: Column) -> Column:
     return F.when(n == 0, one).when(ordinal == n, one - part * (n - 1)).otherwise(part)
 
 
-# Redaction runs in this order, each on what the one before has left.
+# Fixed values, down to MAX_REVIEW_TEXT: redaction runs in this order, each on what the one before has left.
 REDACTIONS = (
     ("EMAIL", r"(?i)\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}\b"),
     ("URL", r"(?i)\b(?:https?://|www\.)[^\s<>()]+"),

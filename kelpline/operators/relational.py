@@ -17,13 +17,15 @@ def latest_revision(df: DataFrame, keys: Sequence[str], effective_at: str | None
 
 
 def revision_dispositions(df: DataFrame, keys: Sequence[str], effective_at: str) -> DataFrame:
-    """CURRENT, LATE_SUPERSEDED or CORRECTION_SUPERSEDED for each revision; exact repeats are one row with their count."""
-    once = df.groupBy(*keys, effective_at, "record_hash").agg(F.max("ingested_at").alias("ingested_at"), F.max("source_row_number").alias("source_row_number"), (F.count("*") - 1).alias("replays"))
-    w = Window.partitionBy(*keys).orderBy(F.col(effective_at).desc_nulls_last(), *[F.col(c).desc() for c in ("ingested_at", "source_row_number", "record_hash")])
+    """CURRENT, LATE_SUPERSEDED or CORRECTION_SUPERSEDED for each revision; exact repeats are one row with their count.
+
+    Late is what took effect before the current revision did; what took effect at the same time was corrected.
+    """
+    order = ("ingested_at", "source_row_number", "record_hash")
+    once = df.groupBy(*keys, effective_at, *order).agg((F.count("*") - 1).alias("replays"))
+    w = Window.partitionBy(*keys).orderBy(F.col(effective_at).desc_nulls_last(), *[F.col(c).desc() for c in order])
     ranked = once.withColumn("revision_rank", F.row_number().over(w))
-    # a revision that was loaded after a later-effective one had come is late
-    seen = w.rowsBetween(Window.unboundedPreceding, -1)
-    late = F.min("ingested_at").over(seen) < F.col("ingested_at")
+    late = F.coalesce(F.col(effective_at) < F.first(effective_at).over(w), F.col(effective_at).isNull())
     return ranked.withColumn("disposition", F.when(F.col("revision_rank") == 1, "CURRENT").when(late, "LATE_SUPERSEDED").otherwise("CORRECTION_SUPERSEDED"))
 
 
@@ -55,11 +57,15 @@ def allocate_evenly(parents: DataFrame, children: DataFrame, on: str, parent_key
 
 
 def fingerprint(df: DataFrame, name: str) -> DataFrame:
-    """relation, row_count and a digest of the rows that doesn't depend on their order, and counts repeats."""
-    cols = sorted(df.columns)
-    h = F.xxhash64(F.to_json(F.struct(*[F.col(c) for c in cols]), {"ignoreNullFields": "false"}))
-    total = F.coalesce(F.sum(h.cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)"))
-    return df.agg(F.lit(name).alias("relation"), F.count("*").alias("row_count"), F.sha2(F.concat_ws(":", total.cast("string"), F.count("*").cast("string")).cast("binary"), 256).alias("content_hash"))
+    """relation, row_count and a digest of the rows that doesn't depend on their order, and counts repeats.
+
+    The rows' MD5, over the texts of their values in the order of the columns' names, is summed up in two halves of 52 bits.
+    """
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in sorted(df.columns)]
+    h = F.md5(F.concat_ws("\x1f", *texts).cast("binary"))
+    half = lambda at: F.coalesce(F.sum(F.conv(F.substring("h", at, 13), 16, 10).cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,0)").cast("string")
+    n = F.count("*")
+    return df.select(h.alias("h")).agg(F.lit(name).alias("relation"), n.alias("row_count"), F.sha2(F.concat_ws(":", n.cast("string"), half(1), half(14)).cast("binary"), 256).alias("content_hash"))
 
 
 def compare_fingerprints(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kelpline.functions.columns import DIRECT_ID, MAX_REVIEW_TEXT, SECRET_LIKE, exact_average, redact
+from kelpline.operators.annotations import ranked, same
 
 
 def review_text(title: Column, comment: Column) -> Column:
@@ -45,21 +46,17 @@ def stratified_holdout(df: DataFrame, key: str, strata: list[str], percent: int,
     """df with `held_out`: each stratum gives the whole part of its share, and those of the largest remainders one more, to
     the total share rounded up. Within a stratum, and between equal remainders, a seeded hash decides.
 
-    Only counts of the strata meet in one window.
+    Only counts of the strata meet in one window; rows are ranked in parts of a stratum.
     """
-    rank = F.row_number().over(Window.partitionBy(*strata).orderBy(F.sha2(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"), 256), key))
     counts = df.groupBy(*strata).agg(F.count("*").alias("n"))
     x = counts.withColumn("base", F.floor(F.col("n") * percent / 100).cast("bigint")).withColumn("rest", (F.col("n") * percent) % 100)
     name = F.sha2(F.concat_ws(":", F.lit(seed), *[F.col(s).cast("string") for s in strata]).cast("binary"), 256)
     total = x.agg(F.ceil(F.sum("n") * percent / 100).alias("wanted"), F.sum("base").alias("given"))
     x = x.crossJoin(F.broadcast(total)).withColumn("turn", F.row_number().over(Window.orderBy(F.col("rest").desc(), name)))
     quota = x.select(*strata, (F.col("base") + F.when(F.col("turn") <= F.col("wanted") - F.col("given"), 1).otherwise(0)).alias("quota"))
-    ranked = df.withColumn("stratum_rank", rank)
-    same = [ranked[s].eqNullSafe(quota[s]) for s in strata]
-    on = same[0]
-    for c in same[1:]:
-        on = on & c
-    return ranked.join(quota, on).select(*[ranked[c] for c in df.columns], ranked["stratum_rank"].cast("bigint").alias("stratum_rank"), (ranked["stratum_rank"] <= quota["quota"]).alias("held_out"))
+    rows = ranked(df, strata, F.sha2(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"), 256), key)
+    on = same(rows, quota, strata)
+    return rows.join(quota, on).select(*[rows[c] for c in df.columns], "stratum_rank", (rows["stratum_rank"] <= quota["quota"]).alias("held_out"))
 
 
 def f1_by_class(df: DataFrame, truth: str, predicted: str) -> DataFrame:
@@ -99,17 +96,28 @@ def estimated_tokens(text: Column, overhead: int = 0) -> Column:
     return (F.floor((F.length(F.coalesce(text, F.lit(""))) + 3) / 4) + overhead).cast("bigint")
 
 
-# What a log line may not show, in this order.
+# What a log line may not show, in this order, and the names of values that are never shown.
 LOG_PATTERNS = (
-    (r"(?i)[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}", "[EMAIL]"),
-    (r"(?i)https?://\S+", "[URL]"),
-    (r"(?<!\d)\d{13,19}(?!\d)", "[PAYMENT]"),
-    (r"(?<!\d)\+?\d[\d .()-]{8,}\d(?!\d)", "[PHONE]"),
+    (r"(?i)\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}\b", "[EMAIL]"),
+    (r"(?i)\b(?:https?://|www\.)[^\s<>'\"]+", "[URL]"),
+    (r"(?<!\d)(?:\d[ -]?){12,18}\d(?!\d)", "[PAYMENT]"),
+    (r"(?<![\w])(?:\+?\d[\d(). -]{7,}\d)(?![\w])", "[PHONE]"),
 )
-MAX_LOG = 1024
+SENSITIVE_KEYS = (
+    "authorization", "credential", "credentials", "password", "passphrase", "api_key", "access_key", "access_key_id", "private_key", "private_key_path",
+    "secret", "secret_key", "secret_access_key", "token", "auth_token", "refresh_token", "session_cookie",
+    "content", "document_text", "chunk_text", "error_message", "message", "prompt", "prompt_text", "provider_body", "query", "question", "raw_payload", "raw_review",
+    "request_body", "response_body", "review_comment", "review_text", "review_title",
+)
+MAX_LOG, REDACTED = 1024, "[REDACTED]"
 
 
 def redact_log(text: Column) -> Column:
     for pattern, name in LOG_PATTERNS:
         text = F.regexp_replace(text, pattern, name)
     return F.when(F.length(text) > MAX_LOG, F.concat(F.substring(text, 1, MAX_LOG), F.lit("..."))).otherwise(text)
+
+
+def redact_event(fields: Column) -> Column:
+    """A map of texts with the values of sensitive names hidden, and the others redacted."""
+    return F.transform_values(fields, lambda k, v: F.when(F.lower(k).isin(*SENSITIVE_KEYS), REDACTED).otherwise(redact_log(v)))

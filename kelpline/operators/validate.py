@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -122,11 +123,85 @@ def quarantined(rows: DataFrame, columns: list[str]) -> DataFrame:
     return bad.select("*", F.element_at("error_codes", 1).alias("error_code"), F.to_json(F.struct(*columns)).alias("raw_payload"))
 
 
-def reconcile(counts: DataFrame) -> DataFrame:
-    """Issues of datasets from observed, new, replay, duplicate, rejected, stored and loaded counts."""
+COUNTS = ("source_observed_rows", "source_new_rows", "source_replay_rows", "source_duplicate_rows", "source_rejected_rows", "source_parse_failed_rows", "raw_rows", "raw_bytes", "stored_bytes", "loaded_rows", "bronze_rows", "bronze_distinct_hashes")
+HASHES = ("source_sha256", "archived_sha256", "raw_sha256", "stored_sha256")
+
+
+def reconcile(inputs: DataFrame) -> DataFrame:
+    """inputs (dataset_name, COUNTS, HASHES, loaded_before) with `issues`, one row for each dataset of the contracts that is there,
+    and a row without a name if they aren't all there once. Negative counts and malformed hashes are an error."""
     c = F.col
-    issues = F.array_compact(F.array(
-        F.when(c("observed") != c("new") + c("replay") + c("duplicate") + c("rejected"), "NOT_CONSERVED"), F.when(c("stored") != c("new"), "STORED_MISMATCH"), F.when(c("loaded") != c("stored"), "LOADED_MISMATCH"),
-        F.when(c("observed") == 0, "EMPTY_DATASET"), F.when((c("observed") > 0) & (c("rejected") * 100 > c("observed")), "QUARANTINE_RATE"),
+    bad = F.lit(False)
+    for n in COUNTS:
+        bad = bad | F.coalesce(c(n) < 0, F.lit(True))
+    for n in HASHES:
+        bad = bad | ~F.coalesce(c(n).rlike("^[0-9a-f]{64}$"), F.lit(False))
+    explained = sum((c(f"source_{n}_rows") for n in ("new", "replay", "duplicate", "rejected", "parse_failed")), F.lit(0))
+    issues = F.array_compact(F.array(*[F.when(differ, code) for differ, code in (
+        (c("source_observed_rows") != explained, "RECON_SOURCE_DISPOSITION_MISMATCH"), (c("source_sha256") != c("archived_sha256"), "RECON_SOURCE_ARCHIVE_HASH_MISMATCH"), (c("raw_rows") != c("source_new_rows"), "RECON_RAW_ROW_MISMATCH"),
+        (c("raw_bytes") != c("stored_bytes"), "RECON_RAW_R2_BYTES_MISMATCH"), (c("raw_sha256") != c("stored_sha256"), "RECON_RAW_R2_HASH_MISMATCH"), (c("loaded_rows") != F.when(c("loaded_before"), 0).otherwise(c("raw_rows")), "RECON_COPY_ROW_MISMATCH"),
+        (c("bronze_rows") != c("raw_rows"), "RECON_BRONZE_ROW_MISMATCH"), (c("bronze_distinct_hashes") != c("bronze_rows"), "RECON_BRONZE_DUPLICATE_EFFECT"),
+    )]))
+    own = inputs.where(c("dataset_name").isin(*CONTRACTS)).select("dataset_name", F.when(bad, F.raise_error(F.lit("RECONCILIATION_INPUT_INVALID")).cast("array<string>")).otherwise(issues).alias("issues"))
+    whole = inputs.agg((F.count("*") == len(CONTRACTS)) & (F.count_distinct(F.when(c("dataset_name").isin(*CONTRACTS), c("dataset_name"))) == len(CONTRACTS))).toDF("whole")
+    return own.unionByName(whole.where("not whole").select(F.lit(None).cast("string").alias("dataset_name"), F.array(F.lit("RECON_DATASET_SET_MISMATCH")).alias("issues")))
+
+
+def file_verdict(validated: DataFrame, dataset: Dataset, declared_rows: int) -> DataFrame:
+    """One row for a file: observed, accepted, rejected and repeated rows, and ROW_COUNT_MISMATCH or DUPLICATE_IDENTITY.
+
+    Identities are counted among accepted rows, and only where the contract has them unique.
+    """
+    if declared_rows < 0:
+        raise ValueError("declared_rows must not be negative")
+    ok = F.size("errors") == 0
+    # one row for each identity first, so that no file is one task
+    by = validated.groupBy(ok.alias("ok"), *dataset.identity).agg(F.count("*").alias("n"))
+    n = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+    repeated = n(F.when(F.col("ok"), F.col("n") - 1)) if dataset.unique else F.lit(0).cast("bigint")
+    out = by.agg(n("n").alias("observed_rows"), n(F.when(F.col("ok"), F.col("n"))).alias("accepted_rows"), n(F.when(~F.col("ok"), F.col("n"))).alias("rejected_rows"), repeated.alias("duplicate_rows"))
+    errors = F.array_compact(F.array(F.when(F.col("observed_rows") != declared_rows, "ROW_COUNT_MISMATCH"), F.when(F.col("duplicate_rows") > 0, "DUPLICATE_IDENTITY")))
+    return out.select(F.lit(dataset.name).alias("dataset_name"), "*", errors.alias("file_errors"))
+
+
+def alerts(runs: DataFrame, most_quarantined: float = 0.05) -> DataFrame:
+    """runs (run_state, accepted_rows, bronze_rows, quarantined_rows, source_rows, task_errors, suspended) with the codes of their alerts."""
+    if not 0 <= most_quarantined <= 1:
+        raise ValueError("the rate lies between 0 and 1")
+    c = F.col
+    codes = F.array_compact(F.array(
+        F.when((c("run_state") != "RECONCILED") | (c("accepted_rows") != c("bronze_rows")), "RECONCILIATION_FAILED"),
+        F.when(c("quarantined_rows") > F.lit(most_quarantined) * c("source_rows"), "QUARANTINE_RATE_HIGH"),
+        F.when(c("task_errors") > 0, "TASK_ERRORS_PRESENT"), F.when(~c("suspended"), "WAREHOUSE_CLEANUP_REQUIRED"),
     ))
-    return counts.withColumn("issues", issues)
+    return runs.withColumn("alerts", codes)
+
+
+@F.pandas_udf(T.StringType())
+def _composed(text: pd.Series) -> pd.Series:
+    return text.str.normalize("NFC")
+
+
+def canonical_text(f: Field, c: Column) -> Column:
+    """A typed value as JSON: texts composed (NFC), decimals without trailing zeros, times to the second, null as null."""
+    if f.kind == "integer":
+        value = c.cast("string")
+    elif f.kind == "decimal":
+        plain = c.cast("string")
+        plain = F.when(plain.contains("."), F.rtrim(F.rtrim(plain, F.lit("0")), F.lit("."))).otherwise(plain)
+        value = F.concat(F.lit('"'), F.when(plain.isin("-0", ""), "0").otherwise(plain), F.lit('"'))
+    elif f.kind == "timestamp":
+        value = F.concat(F.lit('"'), F.date_format(c, "yyyy-MM-dd HH:mm:ss"), F.lit('"'))
+    else:
+        # only texts beyond ASCII may need to be composed: others never meet Python
+        nfc = F.when(c.rlike(r"^[\x00-\x7f]*$"), c).otherwise(_composed(c))
+        json = F.to_json(F.array(nfc))
+        value = F.when(c.isNotNull(), F.substring(json, F.lit(2), F.length(json) - 2))
+    return F.coalesce(value, F.lit("null"))
+
+
+def canonical_hash(dataset: Dataset, version: str = "record-hash-v1") -> Column:
+    """SHA-256 of a record's typed values in the contract's order, as compact JSON with sorted keys."""
+    values = [F.concat(F.lit(f'["{f.name}",'), canonical_text(f, F.col(f.name)), F.lit("]")) for f in dataset.fields]
+    text = F.concat(F.lit(f'{{"contract":"{version}","dataset_name":"{dataset.name}","values":['), F.concat_ws(",", *values), F.lit("]}"))
+    return F.sha2(text.cast("binary"), 256)

@@ -102,7 +102,8 @@ def bridge(reviews: DataFrame, items: DataFrame) -> DataFrame:
     r = reviews.select("review_key", "order_key", "review_id", "order_id", "review_score")
     i = items.select("order_id", "order_item_id", "order_item_key", "product_key", "seller_key")
     a = allocate_evenly(r, i, "order_id", "review_key", ["order_item_id", "order_item_key"])
-    unit = lambda x: (x.cast("decimal(20,0)") * F.lit("0.000000000000000001").cast("decimal(18,18)")).cast("decimal(38,18)")
+    # 19 + 18 + 1 digits: the product is exact
+    unit = lambda x: (x.cast("decimal(19,0)") * F.lit("0.000000000000000001").cast("decimal(18,18)")).cast("decimal(38,18)")
     score = (F.col("review_score").cast("decimal(2,0)") * F.col("weight_units").cast("decimal(20,0)")).cast("decimal(22,0)")
     key = gold_key("REVIEW_ATTRIBUTION", F.concat_ws(":", "review_key", F.col("ordinal").cast("string")))
     return a.select(
@@ -175,16 +176,15 @@ def _monthly(g: Frames, rows: DataFrame, *columns: str) -> DataFrame:
 
 def _with_reviews(g: Frames, items: DataFrame, key: str, counts: list[str]) -> DataFrame:
     """A full join on month and member, so that reviews of months without items stay."""
-    units = g["bridge_review_item"].select("order_key", key, "weight_units", "score_units")
-    reviews = _monthly(g, units, *[]).groupBy(F.col("period_month").alias("r_month"), F.col(key).alias("r_key")).agg(F.sum(F.col("weight_units").cast("decimal(28,0)")).alias("wu"), F.sum(F.col("score_units").cast("decimal(28,0)")).alias("su"))
+    units = g["bridge_review_item"].select("order_key", key, "weight_units", "score_units", "allocation_weight", "allocated_review_score")
+    reviews = _monthly(g, units, *[]).groupBy(F.col("period_month").alias("r_month"), F.col(key).alias("r_key")).agg(F.sum(F.col("weight_units").cast("decimal(28,0)")).alias("wu"), F.sum(F.col("score_units").cast("decimal(28,0)")).alias("su"), F.sum("allocation_weight").alias("weights"), F.sum("allocated_review_score").alias("scores"))
     j = items.join(reviews, (F.col("period_month") == F.col("r_month")) & (F.col(key) == F.col("r_key")), "full")
-    unit = lambda c: (F.coalesce(c, F.lit(0)).cast("decimal(38,0)") * F.lit("0.000000000000000001").cast("decimal(18,18)")).cast("decimal(38,18)")
     zero = lambda c: F.coalesce(c, F.lit(0))
     average = F.round(F.col("su").cast("decimal(28,0)") / F.nullif(F.col("wu").cast("decimal(28,0)"), F.lit(0).cast("decimal(28,0)")), 6).cast("decimal(38,6)")
     return j.select(
         F.coalesce("period_month", "r_month").alias("period_month"), F.coalesce(key, "r_key").alias(key), *[zero(F.col(c)).cast("bigint").alias(c) for c in counts], *[c for c in items.columns if c in ("lead", "lead_n")],
         zero(F.col("gross_merchandise_value")).cast("decimal(38,2)").alias("gross_merchandise_value"), zero(F.col("freight_value")).cast("decimal(38,2)").alias("freight_value"),
-        unit("wu").alias("allocated_review_count"), unit("su").alias("allocated_review_score"), average.alias("average_review_score"), F.lit(RELEASE).alias("data_release_id"),
+        zero(F.col("weights")).cast("decimal(38,18)").alias("allocated_review_count"), zero(F.col("scores")).cast("decimal(38,18)").alias("allocated_review_score"), average.alias("average_review_score"), F.lit(RELEASE).alias("data_release_id"),
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from kelpline.functions.columns import MAX_REVIEW_TEXT, UNIT, redact
+from kelpline.functions.columns import MAX_REVIEW_TEXT, REDACTIONS, UNIT, redact
 from kelpline.operators import relational as R
 from kelpline.operators import text as X
 from kelpline.operators import validate as V
@@ -128,14 +128,14 @@ def revision_dedup(spark, sf_dir):
     return table(spark, sf_dir, "lineitem").withColumn("rk", F.row_number().over(w)).where("rk = 1").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
-@register("""WITH e AS (SELECT user_id, ts, value, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, value DESC, event_id DESC) AS rk FROM events)
-SELECT user_id, event_id, rk::BIGINT AS revision_rank, CASE WHEN rk = 1 THEN 'CURRENT' WHEN min(event_id) OVER (PARTITION BY user_id ORDER BY rk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) < event_id THEN 'LATE_SUPERSEDED' ELSE 'CORRECTION_SUPERSEDED' END AS disposition FROM e""")
+@register("""WITH e AS (SELECT user_id, date_trunc('day', ts) AS since, ts, event_id, (event_id % 10 = 0)::BIGINT AS replays FROM events),
+r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY since DESC, ts DESC, event_id DESC) AS rk, max(since) OVER (PARTITION BY user_id) AS now_since FROM e)
+SELECT user_id, event_id, replays, rk::BIGINT AS revision_rank, CASE WHEN rk = 1 THEN 'CURRENT' WHEN since < now_since THEN 'LATE_SUPERSEDED' ELSE 'CORRECTION_SUPERSEDED' END AS disposition FROM r""")
 def revision_disposition(spark, sf_dir):
-    e = table(spark, sf_dir, "events").select("user_id", "ts", F.col("event_id").alias("ingested_at"), F.lit(0).alias("source_row_number"), F.concat(F.lit("h"), F.col("event_id").cast("string")).alias("record_hash"), "value")
-    w = Window.partitionBy("user_id").orderBy(F.col("ts").desc(), F.col("value").desc(), F.col("ingested_at").desc())
-    late = F.min("ingested_at").over(w.rowsBetween(Window.unboundedPreceding, -1)) < F.col("ingested_at")
-    r = e.withColumn("revision_rank", F.row_number().over(w))
-    return r.select("user_id", F.col("ingested_at").alias("event_id"), F.col("revision_rank").cast("bigint").alias("revision_rank"), F.when(F.col("revision_rank") == 1, "CURRENT").when(late, "LATE_SUPERSEDED").otherwise("CORRECTION_SUPERSEDED").alias("disposition"))
+    """Revisions of a user's state by day, some of them sent twice."""
+    e = table(spark, sf_dir, "events").select("user_id", F.date_trunc("day", "ts").alias("effective_at"), F.col("ts").alias("ingested_at"), F.col("event_id").alias("source_row_number"), F.sha2(F.col("event_id").cast("string").cast("binary"), 256).alias("record_hash"))
+    r = R.revision_dispositions(e.unionByName(e.where("source_row_number % 10 = 0")), ["user_id"], "effective_at")
+    return r.select("user_id", F.col("source_row_number").alias("event_id"), "replays", F.col("revision_rank").cast("bigint").alias("revision_rank"), "disposition")
 
 
 @register("""WITH v AS (SELECT user_id, event_type, ts AS effective_from, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS effective_to, event_id FROM events)
@@ -169,51 +169,12 @@ def assert_relationship(spark, sf_dir):
     return R.orphans(table(spark, sf_dir, "orders"), "o_orderkey", table(spark, sf_dir, "lineitem"), "l_orderkey").select("o_orderkey")
 
 
-_CHECKS = {
-    "facts_keep_every_order": "(SELECT count(*) FROM sil_order WHERE analysis_scope_status <> 'QUARANTINED') = (SELECT count(*) FROM fact_order)",
-    "payments_sum": "(SELECT coalesce(sum(payment_value), 0) FROM fact_payment) = (SELECT coalesce(sum(payment_value), 0) FROM mart_order_delivery)",
-    "orders_sum": "(SELECT count(*) FROM fact_order) = (SELECT sum(order_count) FROM mart_order_delivery)",
-    "value_sum": "(SELECT coalesce(sum(price), 0) FROM fact_order_item) = (SELECT coalesce(sum(gross_merchandise_value), 0) FROM mart_order_delivery)",
-    "review_weights": f"(SELECT count(*) FROM fact_review_base) * {UNIT}::HUGEINT = (SELECT coalesce(sum(weight_units), 0) FROM bridge_review_item)",
-}
-
-
-@register(sql(" UNION ALL ".join(f"SELECT '{n}' AS check_name, ({c})::BOOLEAN AS holds" for n, c in _CHECKS.items())))
-def reconciliation(spark, sf_dir):
-    """Facts against tables, and marts against facts: one row for each check."""
-    m = models(spark, sf_dir)
-    one = lambda name, c, where=None: (m[name].where(where) if where else m[name]).agg(F.coalesce(c, F.lit(0)).cast("decimal(38,2)").alias("v"))
-    pairs = {
-        "facts_keep_every_order": (one("sil_order", F.count("*"), "analysis_scope_status <> 'QUARANTINED'"), one("fact_order", F.count("*"))),
-        "payments_sum": (one("fact_payment", F.sum("payment_value")), one("mart_order_delivery", F.sum("payment_value"))),
-        "orders_sum": (one("fact_order", F.count("*")), one("mart_order_delivery", F.sum("order_count"))),
-        "value_sum": (one("fact_order_item", F.sum("price")), one("mart_order_delivery", F.sum("gross_merchandise_value"))),
-        "review_weights": (one("fact_review_base", F.count("*") * F.lit(UNIT).cast("decimal(20,0)")), one("bridge_review_item", F.sum(F.col("weight_units").cast("decimal(20,0)")))),
-    }
-    rows = [a.crossJoin(b.withColumnRenamed("v", "w")).select(F.lit(n).alias("check_name"), (F.col("v") == F.col("w")).alias("holds")) for n, (a, b) in pairs.items()]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
-
-
 @register(sql("SELECT review_key, sum(weight_units)::BIGINT AS units, count(*) AS n FROM bridge_review_item GROUP BY 1 HAVING sum(weight_units) <> 1000000000000000000 OR count(*) <> greatest(max(item_count_for_review), 1)"))
 def attribution_reconciliation(spark, sf_dir):
     b = models(spark, sf_dir)["bridge_review_item"].groupBy("review_key").agg(F.sum("weight_units").alias("units"), F.count("*").alias("n"), F.max("item_count_for_review").alias("m"))
     return b.where((F.col("units") != UNIT) | (F.col("n") != F.greatest("m", F.lit(1)))).select("review_key", "units", "n")
 
 
-@register(None)
-def relation_fingerprints(spark, sf_dir):
-    """Row count and an order-free content hash of every published model."""
-    m = models(spark, sf_dir)
-    out = None
-    for name in MODELS:
-        f = R.fingerprint(published(m[name], MODELS[name]), name)
-        out = f if out is None else out.unionByName(f)
-    return out
-
-
 @register("SELECT count(*) AS row_count, count(DISTINCT md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey))) AS distinct_rows FROM lineitem")
 def batch_hash_counts(spark, sf_dir):
     h = F.md5(F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").cast("binary"))
@@ -246,10 +207,13 @@ def record_disposition(spark, sf_dir):
     return V.dispositions(rows, history, "h", ["l_partkey", "l_suppkey", "l_extendedprice"]).groupBy("disposition").agg(F.count("*").alias("n"))
 
 
+_EMAIL, _URL, _CPF = (f"'{p}'" for _, p in REDACTIONS[:3])
 _DLP = f"""WITH d AS (SELECT doc_id, 'Comment: ' || trim(text, ' ') AS t FROM documents)
 SELECT doc_id, CASE WHEN length(t) > {MAX_REVIEW_TEXT} THEN 'TEXT_TOO_LONG' WHEN regexp_matches(t, '(?i)\\b(?:order|customer|seller|review)[ _-]?id\\s*[:=]') THEN 'DIRECT_IDENTIFIER'
   WHEN regexp_matches(t, '(?i)\\b(?:password|senha|api[ _-]?key|access[ _-]?token|private[ _-]?key)\\b') THEN 'SECRET_LIKE' ELSE 'APPROVED' END AS outcome,
-  len(regexp_extract_all(t, '(?i)\\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\\.[A-Z]{{2,}}\\b'))::BIGINT AS emails FROM d"""
+  len(regexp_extract_all(t, {_EMAIL}))::BIGINT AS emails, len(regexp_extract_all(regexp_replace(t, {_EMAIL}, '[REDACTED_EMAIL]', 'g'), {_URL}))::BIGINT AS urls,
+  len(regexp_extract_all(regexp_replace(regexp_replace(t, {_EMAIL}, '[REDACTED_EMAIL]', 'g'), {_URL}, '[REDACTED_URL]', 'g'), {_CPF}))::BIGINT AS cpfs,
+  sha256(regexp_replace(regexp_replace(regexp_replace(t, {_EMAIL}, '[REDACTED_EMAIL]', 'g'), {_URL}, '[REDACTED_URL]', 'g'), {_CPF}, '[REDACTED_CPF]', 'g')) AS text_sha256 FROM d"""
 
 
 @register(_DLP)
@@ -257,7 +221,9 @@ def dlp_decisions(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     p = X.dlp_project(d, F.lit(None).cast("string"), F.col("text"), "review-dlp-v1", F.sha2(F.col("text").cast("binary"), 256))
     t = X.review_text(F.lit(None).cast("string"), F.col("text"))
-    return p.select("doc_id", F.coalesce("reason", F.lit("APPROVED")).alias("outcome"), redact(t, ("EMAIL",))[1].alias("emails"))
+    # each kind runs on what those before it have left; SQL has no look-behind for the fourth
+    n = [redact(t, ("EMAIL", "URL", "CPF")[:k])[1] for k in range(4)]
+    return p.select("doc_id", F.coalesce("reason", F.lit("APPROVED")).alias("outcome"), n[1].alias("emails"), (n[2] - n[1]).alias("urls"), (n[3] - n[2]).alias("cpfs"), F.sha2(redact(t, ("EMAIL", "URL", "CPF"))[0].cast("binary"), 256).alias("text_sha256"))
 
 
 @register("SELECT CASE WHEN c.doc_id IS NULL THEN 'NEW' WHEN c.h <> sha256(d.text) THEN 'CHANGED' ELSE 'REUSED' END AS selection, count(*) AS n FROM documents d LEFT JOIN (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'old' ELSE sha256(text) END AS h FROM documents WHERE lang <> 'en') c ON c.doc_id = d.doc_id GROUP BY 1")
@@ -368,8 +334,11 @@ def released_order_delivery(spark, sf_dir):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    import kelpline.registry_checks  # noqa: F401  it registers its own
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(SQL)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kelpline.operators.relational import append_unseen, compare_fingerprints, fingerprint
@@ -137,6 +137,8 @@ class Releases:
         """Make a built candidate (None: none) active if the pointer is still at `expected`; the new version."""
         if candidate is not None and not exists(self.spark, f"{self.base}/candidates/{candidate}/_manifest/_SUCCESS"):
             raise Conflict(f"{candidate} is not built")
+        if candidate is not None and candidate in self.invalid():
+            raise Conflict(f"{candidate} is invalid")
         if self.version() != expected:
             raise Conflict(f"the pointer is at {self.version()}, not {expected}")
         fs, p = _fs(self.spark, self._pointer(expected + 1))
@@ -154,6 +156,17 @@ class Releases:
             raise Conflict("nothing was active before")
         return self.activate(self.at(expected - 1), expected)
 
+    def invalid(self) -> set[str]:
+        """Candidates that may not be activated any more."""
+        fs, p = _fs(self.spark, f"{self.base}/invalid")
+        return {s.getPath().getName() for s in fs.listStatus(p)} if fs.exists(p) else set()
+
+    def invalidate(self, candidate: str, expected: int) -> int:
+        """Mark a candidate for good, and revoke the pointer if it is active; the pointer's version."""
+        fs, p = _fs(self.spark, f"{self.base}/invalid/{candidate}")
+        fs.create(p, True).close()
+        return self.activate(None, expected) if self.active() == candidate else self.version()
+
     def resolve(self, *names: str) -> dict[str, DataFrame]:
         """Models of one release: the pointer is read once, so that all are of the same candidate."""
         candidate = self.active()
@@ -166,6 +179,24 @@ class Releases:
         return compare_fingerprints(self.manifest(a), self.manifest(b))
 
 
+def activation_eligibility(definitions: DataFrame, expected: DataFrame, refs: DataFrame, events: DataFrame) -> DataFrame:
+    """For each release: object_ref_count, how many of the expected relations it refers to, how many of these passed their
+    last test, and whether it may be activated.
+
+    definitions: release_id and candidate of each layer as layer and candidate_id; expected: layer and name; refs: release_id,
+    layer, name, object; events: candidate_id, layer, object, state, event_at and event_id. expected has some dozens of rows.
+    """
+    w = Window.partitionBy("candidate_id", "layer", "object").orderBy(F.col("event_at").desc(), F.col("event_id").desc())
+    last = events.withColumn("nth", F.row_number().over(w)).where("nth = 1").select("candidate_id", "layer", "object", "state")
+    wanted = definitions.join(F.broadcast(expected), "layer")
+    found = wanted.join(refs, ["release_id", "layer", "name"], "left").join(last, ["candidate_id", "layer", "object"], "left")
+    counts = found.groupBy("release_id").agg(F.count("*").alias("expected"), F.count("object").alias("matched_count"), F.count_if(F.col("state") == "TEST_PASSED").alias("passed_count"))
+    all_refs = refs.groupBy("release_id").agg(F.count("*").alias("object_ref_count"))
+    out = counts.join(all_refs, "release_id", "left").withColumn("object_ref_count", F.coalesce("object_ref_count", F.lit(0).cast("bigint")))
+    n = F.col("expected")
+    return out.select("release_id", "object_ref_count", "matched_count", "passed_count", ((F.col("object_ref_count") == n) & (F.col("matched_count") == n) & (F.col("passed_count") == n)).alias("eligible"))
+
+
 def freshness(df: DataFrame, warn_days: int = 30, error_days: int = 90, now=None) -> DataFrame:
     """One row: the last ingested_at and PASS, WARN or ERROR by its age; a table without rows is an ERROR."""
     now = F.current_timestamp() if now is None else now
