@@ -155,6 +155,28 @@ def test_line_dedup_equals_one_pass(spark, odd, where):
     assert sorted(str((r["doc_id"], r["text"])) for r in got) == sorted(str((d, expected[d, t])) for d, t in _table(spark, at, "documents"))
 
 
+def test_chunks_are_cut_where_the_rule_says_and_do_not_shift():
+    """Boundaries against the rule written out anew, and of a passage behind any number of other lines."""
+    m64 = (1 << 64) - 1
+
+    def scramble(x):
+        x ^= x >> 30
+        x = x * 0xBF58476D1CE4E5B9 & m64
+        x ^= x >> 27
+        x = x * 0x94D049BB133111EB & m64
+        return x ^ x >> 31
+
+    own = lambda line: int.from_bytes(hashlib.blake2b(line, digest_size=8).digest(), "little")
+    lines = [b"line %d of a passage" % i for i in range(200)]
+    rolling = [own(x) + (own(lines[i - 1]) * 0x9E3779B97F4A7C15 if i else 0) & m64 for i, x in enumerate(lines)]
+    ends = [i for i, r in enumerate(rolling) if scramble(r) % 4 == 0 or i == len(lines) - 1]
+    assert ends == [int(x) - 1 for x in np.cumsum([len(c) for c in line_dedup.chunks(b"\n".join(lines))])]
+    whole = {b"".join(c).rstrip(b"\n") for c in line_dedup.chunks(b"\n".join(lines))}
+    for n in (1, 2, 3, 7, 50):
+        moved = line_dedup.chunks(b"\n".join([*(b"other %d" % i for i in range(n)), *lines]))
+        assert len(whole - {b"".join(c).rstrip(b"\n") for c in moved}) <= 1  # the first chunk only
+
+
 def _repeated_lines(docs, over=50):
     """(document, line) of all runs of equal lines of more than `over` words that stood before without overlap: all pairs of places, line by line."""
     lines = [(t or "").encode().split(b"\n") for _, t in docs]
