@@ -145,7 +145,7 @@ def asof_versions(spark, sf_dir):
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     h = table(spark, sf_dir, "events").select("user_id", F.col("event_id").alias("version"), F.col("ts").alias("effective_from"), F.lead("ts").over(w).alias("effective_to"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") % 150).alias("user_id"), (F.col("o_orderdate") + F.expr("interval 9000 days")).alias("at"))
-    return R.join_as_of(o, h, "user_id", "at", "version", F.lit(-1).cast("bigint")).select("o_orderkey", "version")
+    return R.join_as_of_sorted(o, h, "user_id", "at", "version", F.lit(-1).cast("bigint")).select("o_orderkey", "version")
 
 
 @register("WITH e AS (SELECT user_id, ts AS a, ts + INTERVAL 1 HOUR AS b, event_id FROM events), p AS (SELECT *, max(b) OVER (PARTITION BY user_id ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pe FROM e) SELECT user_id, count(*) AS overlaps FROM p WHERE a < pe GROUP BY 1")

@@ -57,6 +57,22 @@ def test_revisions(spark):
     assert sorted(tuple(r) for r in R.upsert(spark.createDataFrame([("k", 1), ("o", 1)], "k string, v int"), new, "k").collect()) == [("k", 2), ("n", 3), ("o", 1)]
 
 
+def test_as_of_by_order_equals_the_range_join(spark):
+    rng = random.Random(9)
+    versions = [(k, i, a, a + rng.choice([1, 30, 200]) if rng.random() < 0.9 else None) for k in "ab" for i, a in enumerate(sorted(rng.sample(range(2000), 60)))]
+    # half-open ranges without overlaps: each ends where the next begins, or before
+    ends = [(k, i, a, min(e, versions[n + 1][2]) if n + 1 < len(versions) and versions[n + 1][0] == k and e is not None else (versions[n + 1][2] if n + 1 < len(versions) and versions[n + 1][0] == k else e)) for n, (k, i, a, e) in enumerate(versions)]
+    hours = lambda c: F.expr("timestamp_ntz '2024-01-01 00:00:00'") + F.make_dt_interval(hours=F.col(c))
+    h = spark.createDataFrame(ends, "k string, v int, a int, e int").select("k", "v", hours("a").alias("effective_from"), hours("e").alias("effective_to"))
+    facts = spark.createDataFrame([(i, rng.choice(["a", "b", "c", None]), rng.randrange(-50, 2300)) for i in range(800)], "i int, k string, t int").select("i", "k", hours("t").alias("t"))
+    one, two = (sorted((r.i, r.v) for r in f(facts, h, "k", "t", "v", F.lit(-1)).select("i", "v").collect()) for f in (R.join_as_of, R.join_as_of_sorted))
+    assert len(one) == 800 and one == two and len({v for _, v in one}) > 20
+    golden = spark.createDataFrame([("k", 1, "2020-01-01 00:00:00", "2021-01-01 00:00:00"), ("k", 2, "2021-01-01 00:00:00", None)], "k string, v int, f string, u string")
+    golden = golden.select("k", "v", F.col("f").cast("timestamp_ntz").alias("effective_from"), F.col("u").cast("timestamp_ntz").alias("effective_to"))
+    events = spark.createDataFrame([(1, "k", "2020-12-31 23:59:59"), (2, "k", "2021-01-01 00:00:00"), (3, "k", "2019-12-31 00:00:00")], "i int, k string, t string").withColumn("t", F.col("t").cast("timestamp_ntz"))
+    assert [tuple(r) for r in R.join_as_of_sorted(events, golden, "k", "t", "v", F.lit(-1)).orderBy("i").select("v").collect()] == [(1,), (2,), (-1,)]
+
+
 def test_logs_are_redacted(spark):
     text = "mail a.b@x.org, see www.site.com/a and https://y.z, card 4111 1111 1111 1111, call +55 (11) 91234-5678, id 12ab"
     df = spark.createDataFrame([(text, {"Password": "x", "note": "a@b.co", "other": None}), ("x" * 2000, {})], "t string, m map<string,string>")
