@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kelpline.functions.columns import DIRECT_ID, MAX_REVIEW_TEXT, SECRET_LIKE, exact_average, redact
 from kelpline.operators.annotations import ranked, same
+from kelpline.operators.relational import fingerprint
 
 
 def review_text(title: Column, comment: Column) -> Column:
@@ -26,12 +27,24 @@ def dlp_project(df: DataFrame, title: Column, comment: Column, policy: str, sour
     return x.withColumn("decision", F.when(F.col("reason").isNull(), "APPROVED").otherwise("QUARANTINED")).withColumn("content_sha256", F.sha2(F.col("approved_text").cast("binary"), 256)).drop("raw_text")
 
 
-def select_changes(candidates: DataFrame, committed: DataFrame, key: str, content: str, eligible: Column) -> DataFrame:
-    """NEW, CHANGED, REUSED or EXCLUDED for each candidate, against what was committed under one version."""
+def select_changes(candidates: DataFrame, committed: DataFrame, key: str, content: str, eligible: Column, approved: Column) -> DataFrame:
+    """candidates with `selection`: EXCLUDED_INELIGIBLE, EXCLUDED_DLP, or NEW, CHANGED or REUSED against what was committed under one
+    version. What is excluded has a null content. An approved candidate without content is an error; nulls in a condition exclude.
+    """
     old = committed.select(F.col(key), F.col(content).alias("old_content"), F.lit(True).alias("was"))
-    j = candidates.join(old, key, "left")
-    state = F.when(~eligible, "EXCLUDED").when(F.col("was").isNull(), "NEW").when(F.col("old_content") != F.col(content), "CHANGED").otherwise("REUSED")
-    return j.withColumn("selection", state).drop("old_content", "was")
+    state = F.when(~F.coalesce(eligible, F.lit(False)), "EXCLUDED_INELIGIBLE").when(~F.coalesce(approved, F.lit(False)), "EXCLUDED_DLP")
+    j = candidates.withColumn("selection", state).join(old, key, "left")
+    chosen = F.when(F.col(content).isNull(), F.raise_error(F.lit("SELECTION_INVALID")).cast("string")).when(F.col("was").isNull(), "NEW").when(F.col("old_content") == F.col(content), "REUSED").otherwise("CHANGED")
+    j = j.withColumn(content, F.when(F.col("selection").isNull(), F.col(content))).withColumn("selection", F.coalesce("selection", chosen))
+    return j.drop("old_content", "was")
+
+
+def selection_plan(selected: DataFrame, key: str, source_hash: str, content: str) -> DataFrame:
+    """One row: counts of a selection, and a digest of its keys, hashes and selections that no order of rows changes."""
+    states = ("NEW", "CHANGED", "REUSED", "EXCLUDED_INELIGIBLE", "EXCLUDED_DLP")
+    counts = selected.agg(*[F.count_if(F.col("selection") == x).alias(f"n_{x.lower()}") for x in states])
+    digest = fingerprint(selected.select(key, source_hash, content, "selection"), "selection")
+    return counts.crossJoin(digest.select(F.col("content_hash").alias("selection_sha256")))  # of one row each
 
 
 def commit_validated(committed: DataFrame, new: DataFrame, key: str, content: str) -> DataFrame:
@@ -92,6 +105,24 @@ def length_bucket(text: Column) -> Column:
     return F.when(n < 80, "short").when(n < 240, "medium").otherwise("long")
 
 
+def category_bucket(categories: Column) -> Column:
+    """A short name for a set of categories that doesn't tell what they are."""
+    text = F.array_join(F.array_sort(F.array_distinct(categories)), "\x1f")
+    return F.when(F.size(categories) > 0, F.concat(F.lit("category_"), F.substring(F.sha2(text.cast("binary"), 256), 1, 16))).otherwise("unknown")
+
+
+def delivery_outcome(delivered: Column, estimated: Column) -> Column:
+    """By days, not times: delayed, on_time, or unknown where one is missing."""
+    late = F.to_date(delivered) > F.to_date(estimated)
+    return F.when(late.isNull(), "unknown").when(late, "delayed").otherwise("on_time")
+
+
+def estimated_cost(prompt_tokens: Column, completion_tokens: Column, prompt_price: str, completion_price: str) -> Column:
+    """Exact cost of a request, from prices of a token as decimal texts."""
+    exact = lambda n, price: n.cast("decimal(19,0)") * F.lit(price).cast("decimal(18,12)")
+    return exact(prompt_tokens, prompt_price) + exact(completion_tokens, completion_price)
+
+
 def estimated_tokens(text: Column, overhead: int = 0) -> Column:
     return (F.floor((F.length(F.coalesce(text, F.lit(""))) + 3) / 4) + overhead).cast("bigint")
 

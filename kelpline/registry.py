@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kelpline.functions.columns import MAX_REVIEW_TEXT, REDACTIONS, UNIT, redact
+from kelpline.functions.identities import record_id
 from kelpline.operators import relational as R
 from kelpline.operators import text as X
 from kelpline.operators import validate as V
@@ -226,11 +227,31 @@ def dlp_decisions(spark, sf_dir):
     return p.select("doc_id", F.coalesce("reason", F.lit("APPROVED")).alias("outcome"), n[1].alias("emails"), (n[2] - n[1]).alias("urls"), (n[3] - n[2]).alias("cpfs"), F.sha2(redact(t, ("EMAIL", "URL", "CPF"))[0].cast("binary"), 256).alias("text_sha256"))
 
 
-@register("SELECT CASE WHEN c.doc_id IS NULL THEN 'NEW' WHEN c.h <> sha256(d.text) THEN 'CHANGED' ELSE 'REUSED' END AS selection, count(*) AS n FROM documents d LEFT JOIN (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'old' ELSE sha256(text) END AS h FROM documents WHERE lang <> 'en') c ON c.doc_id = d.doc_id GROUP BY 1")
+_SELECTED = f"""o AS ({_DLP}), d AS (SELECT doc_id, sha256(text) AS source_hash, CASE WHEN doc_id % 11 = 0 THEN 'EXCLUDED_INELIGIBLE' WHEN outcome <> 'APPROVED' THEN 'EXCLUDED_DLP' END AS ex FROM documents JOIN o USING (doc_id)),
+c AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'old' ELSE sha256(text) END AS h FROM documents WHERE lang <> 'en'),
+s AS (SELECT d.doc_id, source_hash, CASE WHEN ex IS NULL THEN source_hash END AS input_hash, coalesce(ex, CASE WHEN c.doc_id IS NULL THEN 'NEW' WHEN c.h = source_hash THEN 'REUSED' ELSE 'CHANGED' END) AS selection FROM d LEFT JOIN c ON c.doc_id = d.doc_id)"""
+
+
+def _selected(spark, sf_dir):
+    """Some documents aren't eligible, some not approved; what was committed before covers some of the others."""
+    text = F.col("text")
+    hashed = F.sha2(text.cast("binary"), 256)
+    d = X.dlp_project(table(spark, sf_dir, "documents"), F.lit(None).cast("string"), text, "review-dlp-v1", hashed)
+    d = d.select("doc_id", "lang", "decision", hashed.alias("source_hash"), hashed.alias("input_hash"))
+    old = d.where("lang <> 'en'").select("doc_id", F.when(F.col("doc_id") % 3 == 0, "old").otherwise(F.col("input_hash")).alias("input_hash"))
+    return X.select_changes(d, old, "doc_id", "input_hash", F.col("doc_id") % 11 != 0, F.col("decision") == "APPROVED")
+
+
+@register(f"WITH {_SELECTED} SELECT selection, count(*) AS n FROM s GROUP BY 1")
 def change_selection(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", "lang", F.sha2(F.col("text").cast("binary"), 256).alias("h"))
-    old = d.where("lang <> 'en'").withColumn("h", F.when(F.col("doc_id") % 3 == 0, "old").otherwise(F.col("h")))
-    return X.select_changes(d, old, "doc_id", "h", F.lit(True)).groupBy("selection").agg(F.count("*").alias("n"))
+    return _selected(spark, sf_dir).groupBy("selection").agg(F.count("*").alias("n"))
+
+
+@register(f"""WITH {_SELECTED}, m AS (SELECT *, md5(concat_ws(chr(31), doc_id::VARCHAR, coalesce(input_hash, '~'), selection, source_hash)) AS m FROM s)
+SELECT count(*) FILTER (selection = 'NEW') AS n_new, count(*) FILTER (selection = 'CHANGED') AS n_changed, count(*) FILTER (selection = 'REUSED') AS n_reused, count(*) FILTER (selection = 'EXCLUDED_INELIGIBLE') AS n_excluded_ineligible, count(*) FILTER (selection = 'EXCLUDED_DLP') AS n_excluded_dlp,
+sha256(concat_ws(':', count(*)::VARCHAR, coalesce(sum(('0x' || substr(m, 1, 13))::BIGINT), 0)::VARCHAR, coalesce(sum(('0x' || substr(m, 14, 13))::BIGINT), 0)::VARCHAR)) AS selection_sha256 FROM m""")
+def selection_plan(spark, sf_dir):
+    return X.selection_plan(_selected(spark, sf_dir), "doc_id", "source_hash", "input_hash")
 
 
 @register("SELECT count(*) AS base_rows, count(*) FILTER (n_chars <= 2000) AS eligible_rows, count(l.doc_id) FILTER (n_chars <= 2000) AS valid_rows, count(*) FILTER (n_chars <= 2000 AND l.doc_id IS NULL) AS missing_rows, round(count(l.doc_id) FILTER (n_chars <= 2000)::DOUBLE / nullif(count(*) FILTER (n_chars <= 2000), 0), 6) AS coverage_ratio FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id")
@@ -271,6 +292,27 @@ def length_bucket_profile(spark, sf_dir):
     return d.groupBy("bucket", "lang").agg(F.count("*").alias("n"), F.sum("t").alias("tokens"))
 
 
+@register(sql("""SELECT order_id, coalesce('category_' || substr(sha256(c), 1, 16), 'unknown') AS category, CASE WHEN order_delivered_customer_date IS NULL OR order_estimated_delivery_date IS NULL THEN 'unknown' WHEN order_delivered_customer_date::DATE > order_estimated_delivery_date::DATE THEN 'delayed' ELSE 'on_time' END AS delivery
+FROM b_orders LEFT JOIN (SELECT order_id, string_agg(DISTINCT c, chr(31) ORDER BY c) AS c FROM (SELECT order_id, lower(trim(product_category_name)) AS c FROM b_items JOIN b_products USING (product_id)) WHERE c <> '' GROUP BY 1) USING (order_id)"""))
+def annotation_strata(spark, sf_dir):
+    """The category bucket and delivery outcome of each order, which samples are stratified by."""
+    b = bronze(spark, sf_dir)
+    kinds = b["products"].select("product_id", F.lower(F.trim("product_category_name")).alias("c")).where("c <> ''")
+    pairs = b["order_items"].select("order_id", "product_id").join(kinds, "product_id").select("order_id", "c").distinct()
+    sets = pairs.groupBy("order_id").agg(F.collect_list("c").alias("categories"))
+    outcome = X.delivery_outcome(F.col("order_delivered_customer_date"), F.col("order_estimated_delivery_date"))
+    orders = b["orders"].select("order_id", outcome.alias("delivery")).join(sets, "order_id", "left")
+    return orders.select("order_id", X.category_bucket(F.coalesce("categories", F.array().cast("array<string>"))).alias("category"), "delivery")
+
+
+@register("SELECT lang, sum(p)::BIGINT AS prompt_tokens, round((sum(p) * 0.00000015 + count(*) * 400 * 0.0000006)::DOUBLE, 9) AS cost FROM (SELECT lang, (length(text) + 3) // 4 + 600 AS p FROM documents) GROUP BY 1")
+def request_costs(spark, sf_dir):
+    """Estimated tokens and exact costs of one request a document."""
+    d = table(spark, sf_dir, "documents").select("lang", X.estimated_tokens(F.col("text"), 600).alias("p"))
+    cost = X.estimated_cost(F.col("p"), F.lit(400), "0.00000015", "0.0000006")
+    return d.groupBy("lang").agg(F.sum("p").alias("prompt_tokens"), F.round(F.sum(cost).cast("double"), 9).alias("cost"))
+
+
 _QUERY = [round(((7 * i) % 13 - 6) / 10, 1) for i in range(64)]
 _LIST = "[" + ", ".join(map(str, _QUERY)) + "]::DOUBLE[]"
 
@@ -324,6 +366,26 @@ def csv_ingest(spark, sf_dir):
     return out.groupBy("sink", "error_code").agg(F.count("*").alias("n"), F.sum(F.col("seller_id").cast("bigint")).alias("ids"))
 
 
+_HEADER = '"product_category_name","product_category_name_english"'
+
+
+@register(f"""WITH r AS (SELECT s_suppkey, s_nationkey AS nation, strlen('"' || s_suppkey || '"," é ""b"", ' || chr(10) || s_name || '"') AS n, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) + 1 AS source_row_number FROM supplier),
+p AS (SELECT *, {len(_HEADER) + 1} + coalesce(sum(n + 1) OVER (PARTITION BY nation ORDER BY s_suppkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS byte_start FROM r)
+SELECT s_suppkey, source_row_number, byte_start, byte_start + n AS byte_end, 'record_' || sha256('{{"fields":{{"byte_end":' || (byte_start + n) || ',"byte_start":' || byte_start || ',"source_object_id":"' || nation || '","source_row_number":' || source_row_number || '}},"kind":"record","version":"ingestion-id-v1"}}') AS record_id FROM p""")
+def csv_record_places(spark, sf_dir):
+    """A CSV file a nation, with doubled quotes and line ends in fields: the row, byte range and id of each record."""
+    at, contract = shared_folder(spark, "places"), V.CONTRACTS["category_translation"]
+    rows = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("product_category_name"), F.concat(F.lit(' é "b", \n'), "s_name").alias("product_category_name_english"), F.col("s_nationkey").alias("nation"), F.col("s_suppkey").alias("k")
+    )
+    rows = rows.repartition("nation").sortWithinPartitions("nation", "k").drop("k")
+    files.write_csv(rows, at, by=["nation"])
+    found = files.read_csv(spark, at, contract)
+    nation = F.regexp_extract("source_file", "nation=([0-9]+)", 1)
+    place = [F.col(c) for c in ("source_row_number", "byte_start", "byte_end")]
+    return found.select(F.col("product_category_name").cast("bigint").alias("s_suppkey"), *place, record_id(nation, *place).alias("record_id"))
+
+
 @register(published_sql("sem_order_delivery", MODELS["sem_order_delivery"]))
 def released_order_delivery(spark, sf_dir):
     """The semantic view, read from the active release after a candidate was built and activated."""

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from kelpline.operators.validate import CONTRACTS
+from kelpline.operators.validate import CONTRACTS, Dataset, Field
 from kelpline.sinks import release
 from kelpline.sources import files
 
@@ -27,6 +27,47 @@ def test_other_header_fails(spark, csv):
         files.read_csv(spark, csv, CONTRACTS["orders"]).collect()
 
 
+PAIR = Dataset("pairs", ("key",), (Field("key", "string"), Field("text", "string", True)))
+# body, most bytes of a record, and for each record its values, row, code, and its bytes
+BODIES = [
+    (b'\xef\xbb\xbfkey,text\r\n1,"hello\nworld"\r\n2,plain', 99, [("1", "hello\nworld", 2, None, b'1,"hello\nworld"'), ("2", "plain", 3, None, b"2,plain")]),
+    (b'key,text\n1,"a ""quoted"" value"\n', 99, [("1", 'a "quoted" value', 2, None, b'1,"a ""quoted"" value"')]),
+    (b"key,text\n1,\xff\n", 99, [(None, None, 2, "CSV_ENCODING_INVALID", b"1,\xff")]),
+    (b'key,text\n1,"open\n2,b\n', 99, [(None, None, 2, "CSV_MALFORMED", b'1,"open\n2,b')]),
+    (b'key,text\n\n"1"x,b\n', 99, [(None, None, 2, "CSV_MALFORMED", b""), (None, None, 3, "CSV_MALFORMED", b'"1"x,b')]),
+    (b"key,text\n1,ok,extra\n2\n", 99, [(None, None, 2, "CSV_FIELD_COUNT_MISMATCH", b"1,ok,extra"), (None, None, 3, "CSV_FIELD_COUNT_MISMATCH", b"2")]),
+    (b"wrong,text\n1,ok\n", 99, [(None, None, 1, "CSV_HEADER_MISMATCH", b"wrong,text")]),
+    (b"key,text\r\n1," + b"x" * 30 + b"\r\n", 32, [("1", "x" * 30, 2, None, b"1," + b"x" * 30)]),
+    (b'key,text\n1,"' + b"x\n" * 20 + b'"\n2,b\n', 32, [(None, None, 2, "CSV_RECORD_TOO_LARGE", b'1,"' + b"x\n" * 20 + b'"'), ("2", "b", 3, None, b"2,b")]),
+    (b'key,text\n"x,","y"",\r\n"\n"""a"""," b "', 99, [("x,", 'y",\r\n', 2, None, b'"x,","y"",\r\n"'), ('"a"', " b ", 3, None, b'"""a"""," b "')]),
+]
+
+
+@pytest.mark.parametrize("split", [5, 1 << 27])
+def test_csv_records_have_their_bytes_in_whatever_splits(spark, tmp_path, split):
+    for i, (body, _, _) in enumerate(BODIES):
+        (tmp_path / f"{i}.csv").write_bytes(body)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    try:
+        for most in (32, 99):
+            found = {}
+            for r in files.csv_records(spark, f"file://{tmp_path}", PAIR, most).orderBy("source_file", "source_row_number").collect():
+                body = BODIES[i := int(r["source_file"].split("/")[-1][:-4])][0]
+                found.setdefault(i, []).append((r["key"], r["text"], r["source_row_number"], r["error_code"], body[r["byte_start"] : r["byte_end"]]))
+            wanted = {i: rows for i, (_, cap, rows) in enumerate(BODIES) if cap == most}
+            assert {i: found[i] for i in wanted} == wanted
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_a_bad_record_fails_the_read(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes(BODIES[2][0])
+    with pytest.raises(Exception, match="CSV_ENCODING_INVALID at row 2"):
+        files.read_csv(spark, str(tmp_path), PAIR).count()
+
+
 def test_jsonl(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text('{"product_category_name": "a"}\n')
     assert [tuple(r) for r in files.read_jsonl(spark, str(tmp_path), CONTRACTS["category_translation"]).collect()] == [("a", None)]
