@@ -42,7 +42,7 @@ _PII = {
 }
 
 
-def _spans(patterns: dict, base: tuple, order: str) -> str:
+def _spans(patterns: dict, base: tuple, order: str, more: str = "") -> str:
     union = "\nUNION ALL ".join(
         f"SELECT rid, {_q(kind)} AS kind, {i} AS place, f.start AS s, (f.start + length(f.value))::BIGINT AS e FROM (SELECT rid, t, unnest({_found(p)}) AS f FROM d WHERE regexp_matches(t, {_q(p)})) WHERE {ok}"
         for i, (kind, (p, ok)) in enumerate(patterns.items())
@@ -52,7 +52,7 @@ def _spans(patterns: dict, base: tuple, order: str) -> str:
     bases = ", ".join(_q(k) for k in base)
     return f"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents), found AS ({union})
 SELECT any_value(doc_id) AS doc_id, {counts}, sha256(coalesce(string_agg({one}, ',' ORDER BY {order}) FILTER (kind IN ({bases})), '')) AS base_sha256,
-  coalesce(string_agg({one}, ',' ORDER BY {order}) FILTER (kind IS NOT NULL), '') AS spans FROM d LEFT JOIN found USING (rid) GROUP BY rid"""
+  coalesce(string_agg({one}, ',' ORDER BY {order}) FILTER (kind IS NOT NULL), '') AS spans{more} FROM d LEFT JOIN found USING (rid) GROUP BY rid"""
 
 
 def _hex(what: str, key: str) -> str:
@@ -106,6 +106,6 @@ ORACLES = {
     "op5_poisson_mix": _MIX,
     "op6_secret_ledger": _spans(_SECRETS, ("assign", "access", "hex"), "s, place"),
     "op7_url_filter": _urls(),
-    "op9_pii": _spans(_PII, pii.BASE, "place, s"),
+    "op9_pii": _spans(_PII, pii.BASE, "place, s", ", count(kind) > 0 AS has_pii"),
     "op10_quality_rules": _RULES,
 }

@@ -90,8 +90,8 @@ def find(docs: DataFrame, column: str = "pii") -> DataFrame:
 
 
 def summary(docs: DataFrame) -> DataFrame:
-    """Counts of the base kinds, a digest of the base spans, and all spans as text."""
+    """Counts of the base kinds, a digest of the base spans, all spans as text, and whether there are any."""
     out = find(docs.select("doc_id", "text"), "pii")
     base = F.filter("pii", lambda s: s["kind"].isin(*BASE))
     count = lambda kind: F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
-    return out.select("doc_id", *[count(k) for k in BASE], F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("pii")).alias("spans"))
+    return out.select("doc_id", *[count(k) for k in BASE], F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"), listed(F.col("pii")).alias("spans"), (F.size("pii") > 0).alias("has_pii"))
