@@ -41,23 +41,24 @@ def _lines(spark: SparkSession, path: str, header: Callable[[Column], Column]) -
 
     cases = [F.struct(F.count_if(c).alias("n"), F.max(F.when(c, F.col("offset"))).alias("at")) for c in (outside, ~outside)]
     first = F.max(F.when((F.col("block") == 0) & (F.col("offset") == 0), F.col("value"))).alias("first")
-    blocks = rows.groupBy("file", "block").agg(first, F.sum(F.col("n") + 1).alias("b_bytes"), F.sum("quotes").alias("b_quotes"), cases[0].alias("b_even"), cases[1].alias("b_odd"))
+    # with the same columns as the lines themselves, so that both come from one scan and one shuffle
+    blocks = rows.groupBy("file", "block").agg(first, F.max("size").alias("b_size"), F.sum(F.col("n") + 1).alias("b_bytes"), F.sum("quotes").alias("b_quotes"), cases[0].alias("b_even"), cases[1].alias("b_odd"))
     of_file = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     carried = lambda c: F.coalesce(F.sum(c).over(of_file), zero)
-    blocks = blocks.select("*", carried("b_bytes").alias("c_bytes"), carried("b_quotes").alias("c_quotes"), F.sum("b_bytes").over(Window.partitionBy("file")).alias("all_bytes"))
+    blocks = blocks.select("*", carried("b_bytes").alias("c_bytes"), carried("b_quotes").alias("c_quotes"), (F.sum("b_bytes").over(Window.partitionBy("file")) < F.col("b_size")).alias("marked"))
     case = F.when(F.col("c_quotes") % 2 == 0, F.col("b_even")).otherwise(F.col("b_odd"))
     blocks = blocks.select("*", case.alias("case"))
-    blocks = blocks.select("file", "block", "c_bytes", "c_quotes", carried("case.n").alias("c_rows"), F.max(F.col("c_bytes") + F.col("case.at")).over(of_file).alias("c_opened"), "all_bytes", header(F.max("first").over(Window.partitionBy("file"))).alias("header"))
+    blocks = blocks.select("file", "block", "c_bytes", "c_quotes", carried("case.n").alias("c_rows"), F.max(F.col("c_bytes") + F.col("case.at")).over(of_file).alias("c_opened"), "marked", header(F.max("first").over(Window.partitionBy("file"))).alias("header"))
 
     # the reader leaves out a byte order mark: then the lines are three bytes short of the file
-    mark = F.when(F.col("all_bytes") < F.col("size"), 3).otherwise(0)
+    mark = F.when(F.col("marked"), 3).otherwise(0)
     start = F.col("c_bytes") + F.col("offset")
     end = start + mark + F.col("n")
     case = F.when(F.col("c_quotes") % 2 == 0, F.col("even")).otherwise(F.col("odd"))
     opened = F.coalesce(F.col("c_bytes") + case["at"], F.col("c_opened"))
-    marked = lambda at: F.when(at > 0, at + mark).otherwise(zero)
+    moved = lambda at: F.when(at > 0, at + mark).otherwise(zero)
     return rows.join(blocks, ["file", "block"]).select(
-        "file", (F.col("c_rows") + case["n"]).alias("row"), marked(opened).alias("opened"), marked(start).alias("start"), end.alias("end"), (end < F.col("size")).alias("ended"), "value",
+        "file", (F.col("c_rows") + case["n"]).alias("row"), moved(opened).alias("opened"), moved(start).alias("start"), end.alias("end"), (end < F.col("size")).alias("ended"), "value",
         "header", ((F.col("c_quotes") + F.col("quoted")) % 2 == 0).alias("opens"), ((F.col("c_quotes") + F.col("quoted") + F.col("quotes")) % 2 == 0).alias("closes"),
     )
 
