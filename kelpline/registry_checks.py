@@ -14,6 +14,7 @@ from kelpline.plans.oracles import sql
 from kelpline.registry import MODELS, _columns, models, published, published_sql, register
 from kelpline.sinks.release import activation_eligibility
 from kelpline.sources.commerce import bronze, table
+from kelpline.sources.files import classify_releases
 
 # Checks of facts against tables, and of marts against facts: name, and both sides as (relation, sum or count, where).
 _ITEM = "order_parent_exists AND amount_quality_status = 'VALID'"
@@ -259,3 +260,11 @@ def release_eligibility(spark, sf_dir):
     last = F.when((r == 2) & (i == 3), "FAILED").otherwise("TEST_PASSED")
     return activation_eligibility(definitions, expected.drop("i"), refs, event(F.lit("BUILT"), 1).unionByName(event(last, 2)))
 
+
+@register("""WITH c AS (SELECT DISTINCT o_custkey % 20 AS r FROM orders) SELECT r AS source_release_id, CASE WHEN r % 4 = 0 THEN 'NEW_CANDIDATE' WHEN r % 4 = 1 THEN 'REPLAY' ELSE 'CONFLICT' END AS disposition FROM c""")
+def release_dispositions(spark, sf_dir):
+    """Twenty releases: a quarter new, a quarter known, a quarter with another size of a file, and a quarter of which a file is not known."""
+    files_ = table(spark, sf_dir, "orders").groupBy((F.col("o_custkey") % 20).alias("source_release_id"), F.col("o_orderpriority").alias("file_name")).agg(F.count("*").alias("n_bytes"), F.sha2(F.sum("o_orderkey").cast("string").cast("binary"), 256).alias("sha256"))
+    r, first = F.col("source_release_id"), F.col("file_name").startswith("1")
+    known = files_.where((r % 4 != 0) & ~((r % 4 == 3) & first)).withColumn("n_bytes", F.col("n_bytes") + ((r % 4 == 2) & first).cast("int"))
+    return classify_releases(known, files_)

@@ -153,3 +153,17 @@ def file_set_issues(files: DataFrame, expected: list[str]) -> DataFrame:
     names = files.sparkSession.createDataFrame([(n,) for n in expected], "file_name string").withColumn("wanted", F.lit(True))
     j = files.select("file_name", F.lit(True).alias("found")).join(names, "file_name", "full")
     return j.select("file_name", F.when(F.col("found").isNull(), "MISSING").when(F.col("wanted").isNull(), "UNEXPECTED").alias("issue")).where("issue is not null")
+
+
+def classify_releases(known: DataFrame, candidates: DataFrame, stable: Sequence[str] = ("n_bytes", "sha256")) -> DataFrame:
+    """For each release of candidates: NEW_CANDIDATE, REPLAY of the known one of that id, or CONFLICT if a file is missing, is new or
+    differs in a stable column.
+
+    Both: source_release_id, file_name and the stable columns, one row a file. Other columns, as dates of creation, don't count.
+    """
+    key = ["source_release_id", "file_name"]
+    side = lambda df, name: df.select(*key, F.struct(*stable).alias(name))
+    ids = candidates.select("source_release_id").distinct()
+    old = side(known, "old").join(ids, "source_release_id", "left_semi")
+    j = old.join(side(candidates, "new"), key, "full").groupBy("source_release_id").agg(F.count("old").alias("n_old"), F.count_if(~F.col("old").eqNullSafe(F.col("new"))).alias("n_differ"))
+    return j.select("source_release_id", F.when(F.col("n_old") == 0, "NEW_CANDIDATE").when(F.col("n_differ") == 0, "REPLAY").otherwise("CONFLICT").alias("disposition"))

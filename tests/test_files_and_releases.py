@@ -86,6 +86,14 @@ def test_snapshot_names_sizes_and_id(spark, tmp_path):
     assert {tuple(r) for r in files.file_set_issues(found, ["a.csv", "c.csv"]).collect()} == {("b.csv", "UNEXPECTED"), ("c.csv", "MISSING")}
 
 
+def test_releases_are_new_replays_or_conflicts(spark):
+    columns = "source_release_id string, file_name string, n_bytes long, sha256 string"
+    known = spark.createDataFrame([("a", "x", 1, "h"), ("a", "y", 2, None), ("b", "x", 1, "h"), ("c", "x", 1, "h"), ("c", "z", 1, "h"), ("other", "x", 1, "h")], columns)
+    new = spark.createDataFrame([("a", "x", 1, "h"), ("a", "y", 2, None), ("b", "x", 1, "i"), ("c", "x", 1, "h"), ("d", "x", 1, "h")], columns)
+    assert {tuple(r) for r in files.classify_releases(known, new).collect()} == {("a", "REPLAY"), ("b", "CONFLICT"), ("c", "CONFLICT"), ("d", "NEW_CANDIDATE")}
+    assert files.classify_releases(known, new.limit(0)).isEmpty()
+
+
 def test_create_only(spark, tmp_path):
     df = spark.range(10)
     assert [release.create_only(x, f"{tmp_path}/t") for x in (df, df.repartition(3))] == ["LOADED", "REPLAY"]
