@@ -1,12 +1,13 @@
-"""The queries of these operators: op1 to op10, over whole tables, and the SQL of those that SQL can express."""
+"""The queries of these operators: op1 to op13, over whole tables, and the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kelpline.llm import decontaminate, line_dedup, mixing, near_dedup, pii, quality_pu, quality_rules, secrets, token_records, url_filter
+from kelpline.llm import decontaminate, line_dedup, merkle, mixing, near_dedup, pii, quality_pu, quality_rules, secrets, token_records, url_filter
 from kelpline.llm.oracles import ORACLES
+from kelpline.llm.recursive_oracles import ORACLES as RECURSIVE
 
 
 def tokenizer_path() -> str:
@@ -71,10 +72,17 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.summary(_table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audited(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    own = [op1_token_records, op2_line_dedup, op3_decontaminate, op4_quality_pu, op5_poisson_mix, op6_secret_ledger, op7_url_filter, op8_near_dedup, op9_pii, op10_quality_rules]
+    own = [
+        op1_token_records, op2_line_dedup, op3_decontaminate, op4_quality_pu, op5_poisson_mix, op6_secret_ledger, op7_url_filter, op8_near_dedup, op9_pii, op10_quality_rules,
+        op13_merkle_manifest,
+    ]
     return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLES)
+    return ORACLES | RECURSIVE
