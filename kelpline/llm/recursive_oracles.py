@@ -28,4 +28,13 @@ q(doc_id, leaf, subroot, up, i, n, now, sib) AS (SELECT doc_id, leaf, s.h, 0, s.
   FROM q LEFT JOIN g ON q.up = g.up AND g.i = xor(q.i, 1) WHERE q.n > 1)
 SELECT doc_id, leaf, subroot, (SELECT h FROM g WHERE n = 1) AS root, sha256(sib) AS proof_sha256, now AS folded_root, now = (SELECT h FROM g WHERE n = 1) AS verified FROM q WHERE n = 1"""
 
-ORACLES = {"op13_merkle_manifest": MERKLE}
+EMBEDDINGS = """WITH RECURSIVE v AS (SELECT row_number() OVER () AS rid, vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT a.rid AS a, b.rid AS b FROM ok a JOIN ok b ON a.rid <> b.rid AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+r(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, links.b FROM r JOIN links ON r.b = links.a),
+c AS (SELECT a, min(vec_id) AS least FROM r JOIN v ON v.rid = r.b GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, coalesce(least(least, vec_id), vec_id) AS component_id, coalesce(least(least, vec_id), vec_id) = vec_id AS kept
+FROM v LEFT JOIN n ON n.a = v.rid LEFT JOIN c ON c.a = v.rid"""
+
+ORACLES = {"op12_ego_join": EMBEDDINGS, "op13_merkle_manifest": MERKLE}
