@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kelpline.llm import decontaminate, ego_join, line_dedup, merkle, mixing, near_dedup, pii, quality_pu, quality_rules, secrets, token_records, url_filter
+from kelpline.llm import conversation_repair, decontaminate, ego_join, line_dedup, merkle, mixing, near_dedup, pii, quality_pu, quality_rules, secrets, token_records, url_filter
 from kelpline.llm.oracles import ORACLES
 from kelpline.llm.recursive_oracles import ORACLES as RECURSIVE
 
@@ -72,6 +72,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.summary(_table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(conversation_repair.damaged(_table(spark, sf_dir, "conversations")))
+
+
 def op12_ego_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ego_join.linked(_table(spark, sf_dir, "embeddings"))
 
@@ -83,7 +87,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     own = [
         op1_token_records, op2_line_dedup, op3_decontaminate, op4_quality_pu, op5_poisson_mix, op6_secret_ledger, op7_url_filter, op8_near_dedup, op9_pii, op10_quality_rules,
-        op12_ego_join, op13_merkle_manifest,
+        op11_conversation_repair, op12_ego_join, op13_merkle_manifest,
     ]
     return {f.__name__: f for f in own}
 

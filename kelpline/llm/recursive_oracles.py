@@ -37,4 +37,28 @@ n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
 SELECT vec_id, coalesce(n.n, 0) AS n_links, coalesce(least(least, vec_id), vec_id) AS component_id, coalesce(least(least, vec_id), vec_id) = vec_id AS kept
 FROM v LEFT JOIN n ON n.a = v.rid LEFT JOIN c ON c.a = v.rid"""
 
-ORACLES = {"op12_ego_join": EMBEDDINGS, "op13_merkle_manifest": MERKLE}
+_NAME = "coalesce({0}::VARCHAR, ' ')"
+#: Forward: the least cost and then the least audit of each state after each row; inserts before a row, then the row's own edit.
+CONVERSATIONS = f"""WITH RECURSIVE h AS (SELECT conv_id, turn, {_NAME.format("role")} AS role, {_NAME.format("text")} AS text, {crc32(_NAME.format("conv_id") + " || ':' || " + _NAME.format("turn"))} % 20 AS k FROM conversations),
+r AS (SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role, CASE k WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text FROM h, range(1, 3) c(copy) WHERE k <> 0 AND (copy = 1 OR k = 3)),
+p AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM r),
+b AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS seen, regexp_replace(text, '[\\x20\\x09-\\x0D]+$', '') AS rest FROM p),
+f AS (SELECT *, CASE WHEN rest = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate' WHEN right(rest, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault, lead(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS then_ FROM b),
+n AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+  count(*) FILTER (then_ IS NOT NULL AND left(role, 1) || then_ NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM f GROUP BY conv_id),
+ins(s, t, c, x, o) AS (VALUES (0, 0, 0, '', ''), (1, 1, 0, '', ''), (2, 2, 0, '', ''), (3, 3, 0, '', ''), (0, 2, 3, 'I', chr(10) || 'user:'), (0, 3, 6, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'), (1, 2, 3, 'I', chr(10) || 'user:'),
+  (1, 3, 6, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'), (2, 3, 3, 'I', chr(10) || 'assistant:'), (3, 2, 3, 'I', chr(10) || 'user:')),
+e(s, x, need, c, t, role) AS (VALUES (0, 'K', 's', 0, 1, NULL), (0, 'K', 'u', 0, 2, NULL), (1, 'K', 'u', 0, 2, NULL), (2, 'K', 'a', 0, 3, NULL), (3, 'K', 'u', 0, 2, NULL), (0, 'R', NULL, 3, 2, 'user'), (1, 'R', NULL, 3, 2, 'user'),
+  (2, 'R', NULL, 3, 3, 'assistant'), (3, 'R', NULL, 3, 2, 'user'), (0, 'D', NULL, 4, 0, NULL), (1, 'D', NULL, 4, 1, NULL), (2, 'D', NULL, 4, 2, NULL), (3, 'D', NULL, 4, 3, NULL)),
+dp(conv_id, i, s, c, x, o) AS (SELECT DISTINCT conv_id, 0::BIGINT, 0, 0::BIGINT, '', '' FROM n UNION ALL
+  SELECT dp.conv_id, dp.i + 1, e.t, dp.c + ins.c + e.c + CASE WHEN e.x <> 'D' AND fault = 'truncated' THEN 3 ELSE 0 END AS cost, dp.x || ins.x || e.x AS audit,
+    dp.o || ins.o || CASE WHEN e.x = 'D' THEN '' ELSE chr(10) || coalesce(e.role, f.role) || ':' || f.text END
+  FROM dp JOIN f ON dp.conv_id IS NOT DISTINCT FROM f.conv_id AND f.i = dp.i + 1 JOIN ins ON ins.s = dp.s JOIN e ON e.s = ins.t AND (e.need IS NULL OR e.need = left(f.role, 1)) AND (e.x = 'D' OR fault NOT IN ('blank', 'duplicate'))
+  QUALIFY row_number() OVER (PARTITION BY dp.conv_id, e.t ORDER BY cost, audit) = 1),
+z AS (SELECT dp.conv_id, dp.c + ins.c AS cost, dp.x || ins.x AS audit, dp.o || ins.o AS o FROM dp JOIN n ON dp.conv_id IS NOT DISTINCT FROM n.conv_id AND dp.i = n.n JOIN ins ON ins.s = dp.s AND ins.t IN (0, 3)
+  QUALIFY row_number() OVER (PARTITION BY dp.conv_id ORDER BY cost, audit) = 1)
+SELECT a.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+  coalesce(audit, '') AS audit, sha256(substr(coalesce(o, ''), 2)) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN n ON a.conv_id IS NOT DISTINCT FROM n.conv_id LEFT JOIN z ON a.conv_id IS NOT DISTINCT FROM z.conv_id"""
+
+ORACLES = {"op11_conversation_repair": CONVERSATIONS, "op12_ego_join": EMBEDDINGS, "op13_merkle_manifest": MERKLE}
