@@ -193,8 +193,9 @@ def canonical_text(f: Field, c: Column) -> Column:
     elif f.kind == "timestamp":
         value = F.concat(F.lit('"'), F.date_format(c, "yyyy-MM-dd HH:mm:ss"), F.lit('"'))
     else:
-        # only texts beyond ASCII may need to be composed: others never meet Python
-        nfc = F.when(c.rlike(r"^[\x00-\x7f]*$"), c).otherwise(_composed(c))
+        # only texts beyond ASCII may need to be composed; a UDF gets all rows, so it gets a null in place of the others
+        plain = c.rlike(r"^[\x00-\x7f]*$")
+        nfc = F.when(plain, c).otherwise(_composed(F.when(~plain, c)))
         json = F.to_json(F.array(nfc))
         value = F.when(c.isNotNull(), F.substring(json, F.lit(2), F.length(json) - 2))
     return F.coalesce(value, F.lit("null"))

@@ -397,6 +397,7 @@ def released_order_delivery(spark, sf_dir):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import kelpline.registry_checks  # noqa: F401  it registers its own
+    import kelpline.registry_ingest  # noqa: F401
 
     return dict(QUERIES)
 
