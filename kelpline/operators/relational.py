@@ -77,13 +77,17 @@ def allocate_evenly(parents: DataFrame, children: DataFrame, on: str, parent_key
     return rows.withColumn("weight_units", weight_units(F.col("ordinal"), F.col("item_count")))
 
 
+def told_apart(text: Column) -> Column:
+    """A text with its number of bytes in front, or `-` for null: several of them joined are never those of other values."""
+    return F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+
 def fingerprint(df: DataFrame, name: str) -> DataFrame:
     """relation, row_count and a digest of the rows that doesn't depend on their order, and counts repeats.
 
     The rows' MD5, over the texts of their values in the order of the columns' names, is summed up in two halves of 52 bits.
     """
-    texts = [F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in sorted(df.columns)]
-    h = F.md5(F.concat_ws("\x1f", *texts).cast("binary"))
+    h = F.md5(F.concat(*[told_apart(F.col(c).cast("string")) for c in sorted(df.columns)]).cast("binary"))
     half = lambda at: F.coalesce(F.sum(F.conv(F.substring("h", at, 13), 16, 10).cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,0)").cast("string")
     n = F.count("*")
     return df.select(h.alias("h")).agg(F.lit(name).alias("relation"), n.alias("row_count"), F.sha2(F.concat_ws(":", n.cast("string"), half(1), half(14)).cast("binary"), 256).alias("content_hash"))

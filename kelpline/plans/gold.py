@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kelpline.functions.columns import UNKNOWN, date_key, exact_average, exact_ratio, gold_key, unknown_key
 from kelpline.operators.relational import allocate_evenly, join_as_of
-from kelpline.plans.silver import Lazy
+from kelpline.plans.silver import RUN, Lazy
 from kelpline.sources.commerce import RELEASE
 
 Frames = dict[str, DataFrame]
@@ -40,7 +40,7 @@ def dim_date(s: Frames) -> DataFrame:
 
 
 def dim_geography(s: Frames) -> DataFrame:
-    g = s["geolocation_zip"].select(gold_key("GEOGRAPHY", F.col("geolocation_zip_prefix")).alias("geography_key"), "geolocation_zip_prefix", F.col("representative_city").alias("city"), F.col("representative_state").alias("state"), "centroid_latitude", "centroid_longitude", "geolocation_quality_status")
+    g = s["geolocation_zip"].select(gold_key("GEOGRAPHY", F.col("geolocation_zip_prefix")).alias("geography_key"), "geolocation_zip_prefix", F.col("representative_city").alias("city"), F.col("representative_state").alias("state"), "centroid_latitude", "centroid_longitude", "geolocation_quality_status", *RUN)
     return _with_unknown(g, {"geography_key": unknown_key("GEOGRAPHY"), "geolocation_zip_prefix": F.lit(UNKNOWN), "city": F.lit("UNKNOWN"), "state": F.lit("UNKNOWN"), "geolocation_quality_status": F.lit("UNKNOWN")})
 
 
@@ -51,19 +51,19 @@ def _placed(df: DataFrame, zip_column: str, geography: DataFrame) -> DataFrame:
 
 def dim_customer(s: Frames, geography: DataFrame) -> DataFrame:
     c = _placed(s["customer"], "customer_zip_prefix", geography)
-    c = c.select(gold_key("CUSTOMER", F.col("customer_id"), F.col("record_hash")).alias("customer_key"), "customer_id", "repeat_customer_key", "geography_key", "customer_zip_prefix", "customer_city", "customer_state")
+    c = c.select(gold_key("CUSTOMER", F.col("customer_id"), F.col("record_hash")).alias("customer_key"), "customer_id", "repeat_customer_key", "geography_key", "customer_zip_prefix", "customer_city", "customer_state", *RUN)
     u = {"customer_key": unknown_key("CUSTOMER"), "customer_id": F.lit(UNKNOWN), "repeat_customer_key": unknown_key("CUSTOMER"), "geography_key": unknown_key("GEOGRAPHY"), "customer_zip_prefix": F.lit(UNKNOWN), "customer_city": F.lit("UNKNOWN"), "customer_state": F.lit("UNKNOWN")}
     return _with_unknown(c, u)
 
 
 def dim_product(s: Frames) -> DataFrame:
-    p = s["product"].select(gold_key("PRODUCT", F.col("product_id"), F.col("record_hash")).alias("product_key"), "product_id", "product_category_name", "product_category_name_english", "product_quality_status")
+    p = s["product"].select(gold_key("PRODUCT", F.col("product_id"), F.col("record_hash")).alias("product_key"), "product_id", "product_category_name", "product_category_name_english", "product_quality_status", *RUN)
     return _with_unknown(p, {"product_key": unknown_key("PRODUCT"), "product_id": F.lit(UNKNOWN), "product_category_name": F.lit("unknown"), "product_category_name_english": F.lit("UNKNOWN"), "product_quality_status": F.lit("UNKNOWN")})
 
 
 def dim_seller(s: Frames, geography: DataFrame) -> DataFrame:
     x = _placed(s["seller"], "seller_zip_prefix", geography)
-    x = x.select(gold_key("SELLER", F.col("seller_id"), F.col("record_hash")).alias("seller_key"), "seller_id", "geography_key", "seller_zip_prefix", "seller_city", "seller_state")
+    x = x.select(gold_key("SELLER", F.col("seller_id"), F.col("record_hash")).alias("seller_key"), "seller_id", "geography_key", "seller_zip_prefix", "seller_city", "seller_state", *RUN)
     return _with_unknown(x, {"seller_key": unknown_key("SELLER"), "seller_id": F.lit(UNKNOWN), "geography_key": unknown_key("GEOGRAPHY"), "seller_zip_prefix": F.lit(UNKNOWN), "seller_city": F.lit("UNKNOWN"), "seller_state": F.lit("UNKNOWN")})
 
 
@@ -73,7 +73,8 @@ def fact_order(s: Frames, customers: DataFrame) -> DataFrame:
     return o.select(
         gold_key("ORDER", F.col("order_id")).alias("order_key"), "order_id", "customer_key", date_key(F.col("order_purchase_timestamp")).alias("purchase_date_key"),
         date_key(F.col("order_delivered_customer_date")).alias("delivered_date_key"), date_key(F.col("order_estimated_delivery_date")).alias("estimated_delivery_date_key"),
-        "order_status", "analysis_scope_status", "analysis_scope_reason", "order_purchase_timestamp", "delivery_interval_valid", "delivery_lead_seconds", "delivery_delay_seconds", "is_on_time_delivery", "record_hash",
+        "order_status", "analysis_scope_status", "analysis_scope_reason", "order_purchase_timestamp", "order_delivered_customer_date", "order_estimated_delivery_date", "delivery_interval_valid", "delivery_lead_seconds", "delivery_delay_seconds", "is_on_time_delivery",
+        F.lit(1).cast("bigint").alias("order_count"), "record_hash", *RUN,
     )
 
 
@@ -82,20 +83,20 @@ def fact_order_item(s: Frames, orders: DataFrame, products: DataFrame, sellers:
     i = join_as_of(i, products, "product_id", "order_purchase_timestamp", "product_key", unknown_key("PRODUCT"))
     i = join_as_of(i, sellers, "seller_id", "order_purchase_timestamp", "seller_key", unknown_key("SELLER"))
     key = gold_key("ORDER_ITEM", F.concat_ws(":", "order_id", F.col("order_item_id").cast("string")))
-    return i.select(key.alias("order_item_key"), "order_key", "order_id", "order_item_id", "product_key", "seller_key", date_key(F.col("shipping_limit_date")).alias("shipping_limit_date_key"), "price", "freight_value", "item_total_value", F.lit(1).cast("bigint").alias("item_count"))
+    return i.select(key.alias("order_item_key"), "order_key", "order_id", "order_item_id", "product_key", "seller_key", date_key(F.col("shipping_limit_date")).alias("shipping_limit_date_key"), "price", "freight_value", "item_total_value", F.lit(1).cast("bigint").alias("item_count"), *RUN)
 
 
 def fact_payment(s: Frames, orders: DataFrame) -> DataFrame:
     p = s["order_payment"].where("order_parent_exists AND amount_quality_status = 'VALID'").join(orders.select("order_id", "order_key"), "order_id")
     key = gold_key("PAYMENT", F.concat_ws(":", "order_id", F.col("payment_sequential").cast("string")))
-    return p.select(key.alias("payment_key"), "order_key", "order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value", F.lit(1).cast("bigint").alias("payment_count"))
+    return p.select(key.alias("payment_key"), "order_key", "order_id", "payment_sequential", "payment_type", "payment_installments", "payment_value", F.lit(1).cast("bigint").alias("payment_count"), *RUN)
 
 
 def fact_review(s: Frames, orders: DataFrame) -> DataFrame:
     r = s["order_review"].where(F.col("order_parent_exists") & F.col("response_interval_valid") & F.col("review_score").between(1, 5))
     r = r.join(orders.select("order_id", "order_key", F.col("analysis_scope_status").alias("order_analysis_scope_status")), "order_id")
     key = gold_key("REVIEW", F.concat_ws(":", "review_id", "order_id"))
-    return r.select(key.alias("review_key"), "order_key", "review_id", "order_id", date_key(F.col("review_creation_date")).alias("review_date_key"), "review_score", "order_analysis_scope_status", "review_text_present", "response_latency_seconds", "ai_eligibility_status")
+    return r.select(key.alias("review_key"), "order_key", "review_id", "order_id", date_key(F.col("review_creation_date")).alias("review_date_key"), "review_score", "order_analysis_scope_status", "review_text_present", "response_latency_seconds", "ai_eligibility_status", *RUN)
 
 
 def bridge(reviews: DataFrame, items: DataFrame) -> DataFrame:
@@ -144,7 +145,7 @@ def _place_mart(rows: DataFrame, kind: str, key: str, *metrics: Column) -> DataF
     )
     own = gold_key(kind, F.concat_ws(":", F.date_format("period_month", "yyyy-MM-dd"), "geography_key"))
     delta = (F.col("payment_value") - F.col("gross_merchandise_value") - F.col("freight_value")).cast("decimal(38,2)")
-    return a.select(own.alias(key), "*", delta.alias("payment_reconciliation_delta"), F.lit(RELEASE).alias("data_release_id"))
+    return a.select(own.alias(key), "*", delta.alias("payment_reconciliation_delta"))
 
 
 def mart_order_delivery(g: Frames) -> DataFrame:
@@ -184,7 +185,7 @@ def _with_reviews(g: Frames, items: DataFrame, key: str, counts: list[str]) -> D
     return j.select(
         F.coalesce("period_month", "r_month").alias("period_month"), F.coalesce(key, "r_key").alias(key), *[zero(F.col(c)).cast("bigint").alias(c) for c in counts], *[c for c in items.columns if c in ("lead", "lead_n")],
         zero(F.col("gross_merchandise_value")).cast("decimal(38,2)").alias("gross_merchandise_value"), zero(F.col("freight_value")).cast("decimal(38,2)").alias("freight_value"),
-        zero(F.col("weights")).cast("decimal(38,18)").alias("allocated_review_count"), zero(F.col("scores")).cast("decimal(38,18)").alias("allocated_review_score"), average.alias("average_review_score"), F.lit(RELEASE).alias("data_release_id"),
+        zero(F.col("weights")).cast("decimal(38,18)").alias("allocated_review_count"), zero(F.col("scores")).cast("decimal(38,18)").alias("allocated_review_score"), average.alias("average_review_score"),
     )
 
 
@@ -232,11 +233,12 @@ def semantic(g: Frames, name: str) -> DataFrame:
     return g[mart].select(*[F.col(c).alias(RENAMED.get(c, c)) for c in columns])
 
 
-def build(s: Frames, keep=None) -> Lazy:
+def build(s: Frames, keep=None, release: str = RELEASE) -> Lazy:
+    """All models above the classified tables; marts and views name the release that they show."""
     makers = {
         "dim_date": lambda g: dim_date(s), "dim_geography": lambda g: dim_geography(s), "dim_product": lambda g: dim_product(s), "dim_customer": lambda g: dim_customer(s, g["dim_geography"]), "dim_seller": lambda g: dim_seller(s, g["dim_geography"]),
         "fact_order": lambda g: fact_order(s, g["dim_customer"]), "fact_order_item": lambda g: fact_order_item(s, g["fact_order"], g["dim_product"], g["dim_seller"]),
         "fact_payment": lambda g: fact_payment(s, g["fact_order"]), "fact_review_base": lambda g: fact_review(s, g["fact_order"]), "bridge_review_item": lambda g: bridge(g["fact_review_base"], g["fact_order_item"]),
     }
-    makers |= {f.__name__: f for f in (mart_order_delivery, mart_product_review, mart_seller_performance, mart_customer_overview)}
+    makers |= {f.__name__: lambda g, f=f: f(g).withColumn("data_release_id", F.lit(release)) for f in (mart_order_delivery, mart_product_review, mart_seller_performance, mart_customer_overview)}
     return Lazy(makers | {f"sem_{n}": lambda g, n=n: semantic(g, n) for n in SEMANTIC}, keep)

@@ -18,8 +18,9 @@ def unknown(kind: str) -> str:
 
 
 def _lineage(body: str, columns: list[str], row: str = "0", day: str = "0") -> str:
-    text = lambda c: f"coalesce(strftime({c[1:]}, '%Y-%m-%d %H:%M:%S'), '~')" if c[0] == "@" else f"coalesce({c}::VARCHAR, '~')"
-    return f"SELECT *, sha256(concat_ws('|', {', '.join(map(text, columns))})) AS record_hash, ({row})::BIGINT AS source_row_number, TIMESTAMP '{LOADED}' + to_days(({day})::INT) AS ingested_at FROM ({body})"
+    value = lambda c: f"strftime({c[1:]}, '%Y-%m-%d %H:%M:%S')" if c[0] == "@" else f"{c}::VARCHAR"
+    text = lambda c: f"coalesce(strlen({value(c)})::VARCHAR || ':' || {value(c)}, '-')"
+    return f"SELECT *, sha256({' || '.join(map(text, columns))}) AS record_hash, ({row})::BIGINT AS source_row_number, TIMESTAMP '{LOADED}' + to_days(({day})::INT) AS ingested_at FROM ({body})"
 
 
 def _latest(src: str, keys: str) -> str:
@@ -113,7 +114,7 @@ CTES: dict[str, str] = {
     "dim_seller": f"""SELECT *, {_history} FROM (SELECT {key('SELLER', 'seller_id', 'record_hash')} AS seller_key, seller_id, coalesce(geography_key, {unknown('GEOGRAPHY')}) AS geography_key, seller_zip_prefix, seller_city, seller_state
   FROM sil_seller LEFT JOIN dim_geography ON seller_zip_prefix = geolocation_zip_prefix AND is_current UNION ALL SELECT {unknown('SELLER')}, '{UNKNOWN}', {unknown('GEOGRAPHY')}, '{UNKNOWN}', 'UNKNOWN', 'UNKNOWN')""",
     "fact_order": f"""SELECT {key('ORDER', 'order_id')} AS order_key, order_id, coalesce(customer_key, {unknown('CUSTOMER')}) AS customer_key, {_dk('order_purchase_timestamp')} AS purchase_date_key, {_dk('order_delivered_customer_date')} AS delivered_date_key, {_dk('order_estimated_delivery_date')} AS estimated_delivery_date_key,
-  order_status, analysis_scope_status, analysis_scope_reason, order_purchase_timestamp, delivery_interval_valid, delivery_lead_seconds, delivery_delay_seconds, is_on_time_delivery, record_hash
+  order_status, analysis_scope_status, analysis_scope_reason, order_purchase_timestamp, order_delivered_customer_date, order_estimated_delivery_date, delivery_interval_valid, delivery_lead_seconds, delivery_delay_seconds, is_on_time_delivery, 1::BIGINT AS order_count, record_hash
   FROM sil_order o LEFT JOIN dim_customer c ON o.customer_id = c.customer_id AND order_purchase_timestamp >= effective_from AND order_purchase_timestamp < coalesce(effective_to, TIMESTAMP '9999-12-31') WHERE analysis_scope_status <> 'QUARANTINED'""",
     "fact_order_item": f"""SELECT {key('ORDER_ITEM', "concat_ws(':', order_id, order_item_id::VARCHAR)")} AS order_item_key, order_key, order_id, order_item_id, coalesce(product_key, {unknown('PRODUCT')}) AS product_key, coalesce(seller_key, {unknown('SELLER')}) AS seller_key, {_dk('shipping_limit_date')} AS shipping_limit_date_key,
   price, freight_value, item_total_value, 1::BIGINT AS item_count FROM sil_order_item i JOIN (SELECT order_id, order_key, order_purchase_timestamp AS bought FROM fact_order) USING (order_id)

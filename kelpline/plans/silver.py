@@ -11,7 +11,9 @@ from kelpline.operators.relational import latest_revision
 Frames = dict[str, DataFrame]
 OPEN = ("approved", "created", "invoiced", "processing", "shipped")
 CLOSED = ("canceled", "unavailable")
-LINEAGE = ["record_hash", "source_row_number", "ingested_at"]
+#: Where a row was read from: one release, batch and run.
+RUN = ["source_release_id", "ingestion_batch_id", "dataset_run_id"]
+LINEAGE = ["record_hash", "source_row_number", "ingested_at", *RUN]
 
 
 def category_translation(b: Frames) -> DataFrame:
@@ -32,11 +34,11 @@ def geolocation_zip(b: Frames) -> DataFrame:
     mean = lambda c: (F.sum(F.when(F.col("ok"), F.col(c))) / F.nullif(F.count_if("ok").cast("decimal(10,0)"), F.lit(0).cast("decimal(10,0)"))).cast("decimal(38,18)")
     a = b["geolocation"].select(
         zip5(F.col("geolocation_zip_code_prefix")).alias("geolocation_zip_prefix"), "geolocation_lat", "geolocation_lng", ok.alias("ok"),
-        upper_or_unknown(F.col("geolocation_city")).alias("city"), upper_or_unknown(F.col("geolocation_state")).alias("state"),
+        upper_or_unknown(F.col("geolocation_city")).alias("city"), upper_or_unknown(F.col("geolocation_state")).alias("state"), *RUN,
     ).groupBy("geolocation_zip_prefix").agg(
         mean("geolocation_lat").alias("centroid_latitude"), mean("geolocation_lng").alias("centroid_longitude"), F.count("*").alias("source_point_count"),
         F.count_if("ok").alias("valid_coordinate_count"), F.count_if(~F.col("ok")).alias("invalid_coordinate_count"), F.min("city").alias("representative_city"),
-        F.min("state").alias("representative_state"), F.count_distinct("city").alias("distinct_city_count"), F.count_distinct("state").alias("distinct_state_count"),
+        F.min("state").alias("representative_state"), F.count_distinct("city").alias("distinct_city_count"), F.count_distinct("state").alias("distinct_state_count"), *[F.min(c).alias(c) for c in RUN],
     )
     status = (
         F.when(F.col("valid_coordinate_count") == 0, "NO_VALID_COORDINATE")

@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kelpline.functions.columns import MAX_REVIEW_TEXT, REDACTIONS, UNIT, redact
-from kelpline.functions.identities import record_id
+from kelpline.functions.identities import PREFIXES, record_id
 from kelpline.operators import relational as R
 from kelpline.operators import text as X
 from kelpline.operators import validate as V
-from kelpline.plans import gold, silver
+from kelpline.plans import contracts, gold, silver
 from kelpline.plans.oracles import sql
 from kelpline.sinks.release import Releases, file_state, kept_in, shared_folder, write_quarantine, write_raw
-from kelpline.sources import files
-from kelpline.sources.commerce import SOURCES, bronze, table
+from kelpline.sources import files, landing
+from kelpline.sources.commerce import RELEASE, SOURCES, bronze, table
 
 #: Columns of each model as published; d: a number of 6 places, s: text of a date or time, i: a whole number.
 MODELS = {
@@ -36,7 +38,7 @@ MODELS = {
     "dim_customer": "customer_key customer_id repeat_customer_key geography_key customer_zip_prefix customer_city customer_state effective_from:s is_current",
     "dim_product": "product_key product_id product_category_name product_category_name_english product_quality_status effective_from:s is_current",
     "dim_seller": "seller_key seller_id geography_key seller_zip_prefix seller_city seller_state effective_from:s is_current",
-    "fact_order": "order_key order_id customer_key purchase_date_key:i delivered_date_key:i estimated_delivery_date_key:i order_status analysis_scope_status analysis_scope_reason order_purchase_timestamp:s delivery_interval_valid delivery_lead_seconds:i delivery_delay_seconds:i is_on_time_delivery",
+    "fact_order": "order_key order_id customer_key purchase_date_key:i delivered_date_key:i estimated_delivery_date_key:i order_status analysis_scope_status analysis_scope_reason order_purchase_timestamp:s delivery_interval_valid delivery_lead_seconds:i delivery_delay_seconds:i is_on_time_delivery order_delivered_customer_date:s order_estimated_delivery_date:s order_count:i",
     "fact_order_item": "order_item_key order_key order_id order_item_id:i product_key seller_key shipping_limit_date_key:i price:d freight_value:d item_total_value:d item_count:i",
     "fact_payment": "payment_key order_key order_id payment_sequential:i payment_type payment_installments:i payment_value:d payment_count:i",
     "fact_review_base": "review_key order_key review_id order_id review_date_key:i review_score:i order_analysis_scope_status review_text_present response_latency_seconds:i ai_eligibility_status",
@@ -53,6 +55,31 @@ MODELS = {
 _KINDS = {"d": (lambda c: F.round(F.col(c).cast("double"), 6), "round(({})::DOUBLE, 6)"), "s": (lambda c: F.col(c).cast("string"), "({})::VARCHAR"), "i": (lambda c: F.col(c).cast("bigint"), "({})::BIGINT"), "": (F.col, "{}")}
 
 
+#: The dataset from which each of these models has its rows, and so their lineage.
+ROWS_OF = {
+    "sil_category_translation": "category_translation", "sil_customer": "customers", "sil_geolocation_zip": "geolocation", "sil_order": "orders", "sil_order_item": "order_items", "sil_order_payment": "order_payments",
+    "sil_order_review": "order_reviews", "sil_product": "products", "sil_seller": "sellers", "fact_order": "orders", "fact_order_item": "order_items", "fact_payment": "order_payments", "fact_review_base": "order_reviews",
+}
+for _name in ROWS_OF:
+    MODELS[_name] += f" {' '.join(silver.RUN)} {contracts.VERSION}"
+
+
+def _content_id(kind: str, **fields: str) -> str:
+    """What identities.content_id makes of these texts."""
+    payload = json.dumps({"fields": fields, "kind": kind, "version": "ingestion-id-v1"}, sort_keys=True, separators=(",", ":"))
+    return f"{PREFIXES[kind]}_{hashlib.sha256(payload.encode()).hexdigest()}"
+
+
+def model_sql(name: str, release: str = RELEASE) -> str:
+    """A model's relation in SQL, with its lineage."""
+    if name not in ROWS_OF:
+        return name
+    batch = _content_id("ingestion_batch", source_release_id=release)
+    source = _content_id("source_object", file_name=ROWS_OF[name], source_object_sha256=release, source_release_id=release)
+    run = _content_id("dataset_run", contract_version=landing.CONTRACT_VERSION, dataset_name=ROWS_OF[name], ingestion_batch_id=batch, source_object_id=source)
+    return f"(SELECT *, '{release}' AS source_release_id, '{batch}' AS ingestion_batch_id, '{run}' AS dataset_run_id, '{contracts.Model.version(name)}' AS {contracts.VERSION} FROM {name})"
+
+
 def _columns(text: str) -> list[tuple[str, str]]:
     return [tuple(c.split(":")) if ":" in c else (c, "") for c in text.split()]
 
@@ -76,15 +103,32 @@ def models(spark: SparkSession, sf_dir: str) -> silver.Lazy:
     """
     state = (spark.sparkContext.applicationId, sf_dir, *[file_state(spark, f"{sf_dir}/{t}.parquet") for t in SOURCES])
     if state not in _BUILDS:
-        keep = kept_in(spark, shared_folder(spark, "models"))
-        s = silver.build(spark, bronze(spark, sf_dir), lambda name, df: keep(f"sil_{name}", df))
-        g = gold.build(s, keep)
-        g.makers |= {f"sil_{n}": lambda _, n=n: s[n] for n in s.names()}
-        g.keep = lambda name, df: df if name.startswith(("sil_", "sem_")) else keep(name, df)
-        _BUILDS[state] = g
+        folder, sources = shared_folder(spark, "models"), bronze(spark, sf_dir)
+        batch = landing.batch_of(spark, RELEASE)
+
+        def relation(name: str) -> DataFrame:
+            landing.land({name: sources[name]}, f"{folder}/bronze", RELEASE, batch)
+            return landing.landed(spark, f"{folder}/bronze", [name], RELEASE, batch)[name]
+
+        b = silver.Lazy({n: lambda _, n=n: relation(n) for n in sources})
+        _BUILDS[state] = release_models(spark, b, f"{folder}/models", RELEASE)
     return _BUILDS[state]
 
 
+def release_models(spark: SparkSession, b: dict[str, DataFrame], folder: str, release: str) -> silver.Lazy:
+    """All models over the source relations of one release and batch, each written below the folder if it keeps its contract."""
+    keep = kept_in(spark, folder)
+
+    def kept(name: str, df: DataFrame) -> DataFrame:
+        return contracts.enforced(name, df, {c: k for c, k in _columns(MODELS.get(name, "")) if c not in (contracts.VERSION, "data_release_id")}, lambda x: keep(name, x))
+
+    s = silver.build(spark, b, lambda name, df: kept(f"sil_{name}", df))
+    g = gold.build(s, release=release)
+    g.makers |= {f"sil_{n}": lambda _, n=n: s[n] for n in s.names()}
+    g.keep = lambda name, df: df if name.startswith(("sil_", "sem_")) else kept(name, df)
+    return g
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -95,7 +139,7 @@ def _model(name: str) -> None:
 
     query.__name__ = name
     QUERIES[name] = query
-    SQL[name] = published_sql(name, MODELS[name])
+    SQL[name] = published_sql(model_sql(name), MODELS[name])
 
 
 for _name in MODELS:

@@ -11,7 +11,7 @@ from kelpline.operators import annotations as A
 from kelpline.operators import relational as R
 from kelpline.operators import validate as V
 from kelpline.plans.oracles import sql
-from kelpline.registry import MODELS, _columns, models, published, published_sql, register
+from kelpline.registry import MODELS, _columns, model_sql, models, published, published_sql, register
 from kelpline.sinks.release import activation_eligibility
 from kelpline.sources.commerce import bronze, table
 from kelpline.sources.files import classify_releases
@@ -94,10 +94,11 @@ def relationships(spark, sf_dir):
 
 def _fingerprint_sql(name: str) -> str:
     kinds = dict(_columns(MODELS[name]))
-    text = lambda c: f"coalesce({f'{c}::DECIMAL(38,6)' if kinds[c] == 'd' else c}::VARCHAR, '~')"
+    value = lambda c: f"{f'{c}::DECIMAL(38,6)' if kinds[c] == 'd' else c}::VARCHAR"
+    text = lambda c: f"coalesce(strlen({value(c)})::VARCHAR || ':' || {value(c)}, '-')"
     half = lambda at: f"coalesce(sum(('0x' || substr(h, {at}, 13))::BIGINT), 0)::VARCHAR"
-    rows = published_sql(name, MODELS[name]).partition("\nSELECT ")[2]
-    body = f"SELECT md5(concat_ws(chr(31), {', '.join(map(text, sorted(kinds)))})) AS h FROM (SELECT {rows})"
+    rows = published_sql(model_sql(name), MODELS[name]).partition("\nSELECT ")[2]
+    body = f"SELECT md5({' || '.join(map(text, sorted(kinds)))}) AS h FROM (SELECT {rows})"
     return f"SELECT '{name}' AS relation, count(*) AS row_count, sha256(concat_ws(':', count(*)::VARCHAR, {half(1)}, {half(14)})) AS content_hash FROM ({body})"
 
 

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kelpline.functions.identities import source_object_id
 from kelpline.operators import ingest
 from kelpline.operators import validate as V
-from kelpline.registry import register
+from kelpline.plans import contracts
+from kelpline.plans.oracles import CTES, sql
+from kelpline.registry import MODELS, model_sql, models, published, published_sql, register, release_models
 from kelpline.sinks.release import kept_in, shared_folder
-from kelpline.sources import bounded_csv
-from kelpline.sources.commerce import RELEASE, table
+from kelpline.sources import bounded_csv, landing
+from kelpline.sources.commerce import RELEASE, bronze, table
 
 PAYMENTS = V.CONTRACTS["order_payments"]
 _HEAD = ",".join(f.name for f in PAYMENTS.fields)
@@ -78,3 +82,47 @@ def file_quarantine(spark, sf_dir):
     rows = _processed(spark, sf_dir)
     found = ingest.quarantine_rows(rows, PAYMENTS, source_object_id(F.lit(RELEASE), F.regexp_extract("source_file", "part=([0-9]+)", 1), F.lit("digest")))
     return found.select(_part(), "source_row_number", "byte_start", "byte_end", "error_code", F.array_join("error_columns", ",").alias("error_columns"), "raw_reference", "record_id", F.sha2(F.col("raw_payload").cast("binary"), 256).alias("payload_sha256"))
+
+
+# -- one release and batch of several
+
+LATER = "release-2"
+
+
+def _two_releases(spark: SparkSession, sf_dir: str):
+    """All models of a second release, which lacks a third of the orders with their items; the first lies in the same folders."""
+    folder, sources = shared_folder(spark, "two-releases"), bronze(spark, sf_dir)
+    kept = F.col("order_id").try_cast("bigint") % 3 != 1
+    later = sources | {n: sources[n].where(kept) for n in ("orders", "order_items")}
+    for release, frames in ((RELEASE, sources), (LATER, later)):
+        landing.land(frames, f"{folder}/bronze", release, landing.batch_of(spark, release))
+    b = landing.landed(spark, f"{folder}/bronze", list(sources), LATER, landing.batch_of(spark, LATER))
+    return release_models(spark, b, f"{folder}/models", LATER)
+
+
+def _of_later(name: str) -> str:
+    """The model's SQL over the second release."""
+    text = published_sql(model_sql(name, LATER), MODELS[name]).replace(f"'{RELEASE}'", f"'{LATER}'")
+    for relation in ("b_orders", "b_items"):
+        text = text.replace(f"{relation} AS ({CTES[relation]})", f"{relation} AS (SELECT * FROM ({CTES[relation]}) WHERE order_id::BIGINT % 3 <> 1)")
+    return text
+
+
+for _model_name in ("sil_order_item", "fact_order", "mart_seller_performance"):
+
+    def _query(spark, sf_dir, name=_model_name):
+        return published(_two_releases(spark, sf_dir)[name], MODELS[name])
+
+    _query.__name__ = f"release_{_model_name}"
+    register(_of_later(_model_name))(_query)
+
+
+@register(sql(" UNION ALL ".join(f"SELECT '{n}' AS model, count(*) AS n_rows, 0::BIGINT AS repeated, '{contracts.Model.version(n)}' AS model_contract_version FROM {n}" for n in contracts.MODELS if n in MODELS)))
+def model_contracts(spark, sf_dir):
+    """Every model with its contract's version, its rows and the grains that it repeats; nulls and conditions were checked as it was written."""
+    m, out = models(spark, sf_dir), []
+    for name in (n for n in contracts.MODELS if n in MODELS):
+        n = m[name].agg(F.count("*").alias("n_rows"), F.max(contracts.VERSION).alias("model_contract_version"))
+        repeated = contracts.repeated_grains(name, m[name]).agg(F.count("*").alias("repeated"))
+        out.append(n.crossJoin(repeated).select(F.lit(name).alias("model"), "n_rows", "repeated", "model_contract_version"))  # of one row each
+    return reduce(DataFrame.unionByName, out)

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kelpline.operators.relational import told_apart
+
 RELEASE = "release-1"
 LOADED = "2024-01-01 00:00:00"
 SOURCES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents")
@@ -24,12 +26,12 @@ def money(c: str) -> Column:
 
 def _text(c: str, kind: str) -> Column:
     c_ = F.date_format(c, "yyyy-MM-dd HH:mm:ss") if kind.startswith("timestamp") else F.col(c).cast("string")
-    return F.coalesce(c_, F.lit("~"))
+    return told_apart(c_)
 
 
 def with_lineage(df: DataFrame, row: Column, day: Column) -> DataFrame:
     """Adds record_hash over all columns, source_row_number and ingested_at."""
-    digest = F.sha2(F.concat_ws("|", *[_text(c, k) for c, k in df.dtypes]).cast("binary"), 256)
+    digest = F.sha2(F.concat(*[_text(c, k) for c, k in df.dtypes]).cast("binary"), 256)
     loaded = F.expr(f"timestamp_ntz '{LOADED}'") + F.make_dt_interval(days=day.cast("int"))
     return df.select("*", digest.alias("record_hash"), row.cast("bigint").alias("source_row_number"), loaded.alias("ingested_at"))
 
