@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kelpline.functions.columns import DIRECT_ID, MAX_REVIEW_TEXT, SECRET_LIKE, exact_average, redact
 from kelpline.operators.annotations import ranked, same
+from kelpline.operators.ranks import Keep, beside, nearest_ranks
 from kelpline.operators.relational import fingerprint
 
 
@@ -87,10 +88,10 @@ def macro_micro_f1(by_class: DataFrame) -> DataFrame:
     return by_class.agg(F.count("*").alias("n_classes"), F.avg("f1").alias("macro_f1"), micro.alias("micro_f1"))
 
 
-def telemetry(df: DataFrame, by: list[str], state: str, latency: str, cost: str) -> DataFrame:
-    """Requests, distinct states, the sum and nearest-rank 95th percentile of latencies, and costs."""
-    p95 = F.expr(f"percentile_disc(0.95) WITHIN GROUP (ORDER BY {latency})")
-    return df.groupBy(*by).agg(F.count("*").alias("requests"), F.count_distinct(state).alias("states"), F.sum(latency).alias("latency_total"), p95.alias("latency_p95"), F.sum(cost).alias("cost"), exact_average(F.sum(cost), F.count("*")).alias("mean_cost"))
+def telemetry(df: DataFrame, by: list[str], state: str, latency: str, cost: str, keep: Keep) -> DataFrame:
+    """Requests, distinct states, the sum and nearest-rank 95th percentile of latencies, and costs. keep(name, frame) writes a frame and reads it back."""
+    sums = df.groupBy(*by).agg(F.count("*").alias("requests"), F.count_distinct(state).alias("states"), F.sum(latency).alias("latency_total"), F.sum(cost).alias("cost"), exact_average(F.sum(cost), F.count("*")).alias("mean_cost"))
+    return beside(sums, nearest_ranks(df, by, latency, "0.95", keep, "latency_p95"), by, "left")
 
 
 def coverage(base: DataFrame, done: DataFrame, key: str, eligible: Column) -> DataFrame:

@@ -306,7 +306,7 @@ def coverage_projection(spark, sf_dir):
 @register("SELECT event_type, count(*) AS requests, count(DISTINCT user_id) AS states, round(sum(value::DECIMAL(18,2))::DOUBLE, 6) AS latency_total, quantile_disc(value::DECIMAL(18,2), 0.95)::DOUBLE AS latency_p95 FROM events GROUP BY 1")
 def telemetry_p95(spark, sf_dir):
     e = table(spark, sf_dir, "events").withColumn("v", F.col("value").cast("decimal(18,2)"))
-    t = X.telemetry(e, ["event_type"], "user_id", "v", "v")
+    t = X.telemetry(e, ["event_type"], "user_id", "v", "v", kept_in(spark, shared_folder(spark, "ranks")))
     return t.select("event_type", "requests", "states", F.round(F.col("latency_total").cast("double"), 6).alias("latency_total"), F.col("latency_p95").cast("double").alias("latency_p95"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kelpline.functions.identities import source_object_id
-from kelpline.operators import ingest
+from kelpline.operators import ingest, ranks
 from kelpline.operators import validate as V
 from kelpline.plans import contracts
 from kelpline.plans.oracles import CTES, sql
@@ -126,3 +126,32 @@ def model_contracts(spark, sf_dir):
         repeated = contracts.repeated_grains(name, m[name]).agg(F.count("*").alias("repeated"))
         out.append(n.crossJoin(repeated).select(F.lit(name).alias("model"), "n_rows", "repeated", "model_contract_version"))  # of one row each
     return reduce(DataFrame.unionByName, out)
+
+
+# -- roll-ups of invocations
+
+_STATE = "CASE WHEN event_id % 20 = 0 THEN 'FAILED' WHEN event_id % 21 = 0 THEN 'QUARANTINED' ELSE 'SUCCEEDED' END"
+_CODE = "CASE WHEN event_id % 20 = 0 THEN 'PROVIDER_TIMEOUT_' || user_id % 3 WHEN event_id % 21 = 0 THEN 'SCHEMA_INVALID' END"
+
+
+@register(f"""WITH c AS (SELECT event_type, {_STATE} AS state, {_CODE} AS code, user_id AS i, event_id % 1000 AS o, value::DECIMAL(18,2) AS v FROM events),
+e AS (SELECT event_type, string_agg(code || '=' || n, ',' ORDER BY code) AS errors FROM (SELECT event_type, code, count(*) AS n FROM c WHERE code IS NOT NULL GROUP BY ALL) GROUP BY 1)
+SELECT event_type, count(*) AS invocations, count(*) FILTER (state = 'SUCCEEDED') AS succeeded_invocations, count(*) FILTER (state = 'FAILED') AS failed_invocations, count(*) FILTER (state = 'QUARANTINED') AS quarantined_invocations,
+  sum(i)::BIGINT AS total_input_tokens, sum(o)::BIGINT AS total_output_tokens, sum(v)::DOUBLE AS total_cost, sum(v)::DOUBLE AS total_latency, quantile_disc(v, 0.95)::DOUBLE AS p95_latency, max(errors) AS errors FROM c JOIN e USING (event_type) GROUP BY 1""")
+def invocation_rollup(spark, sf_dir):
+    """Events as invocations: what became of them, their tokens, cost, latency and errors, reconciled with a ledger that is counted apart."""
+    v = F.col("value").cast("decimal(18,2)")
+    state, code = F.expr(_STATE), F.expr(_CODE)
+    e = table(spark, sf_dir, "events").select("event_type", F.col("event_id").alias("invocation_id"), state.alias("state"), F.col("user_id").alias("input_tokens"), (F.col("event_id") % 1000).alias("output_tokens"), v.alias("cost"), v.alias("latency"), code.alias("error_code"))
+    ledger = table(spark, sf_dir, "events").groupBy("event_type").agg(F.count_if((F.col("event_id") % 20 != 0) & (F.col("event_id") % 21 != 0)).alias("valid_count"), F.sum(v).alias("committed"))
+    r = ranks.reconciled(ranks.invocation_rollup(e, ["event_type"], kept_in(spark, shared_folder(spark, "rollup"))), ledger, ["event_type"])
+    errors = F.array_join(F.transform("errors", lambda x: F.concat(x["code"], F.lit("="), x["n"].cast("string"))), ",")
+    return r.select("event_type", "invocations", *[f"{s}_invocations" for s in ("succeeded", "failed", "quarantined")], "total_input_tokens", "total_output_tokens", *[F.col(c).cast("double").alias(c) for c in ("total_cost", "total_latency", "p95_latency")], errors.alias("errors"))
+
+
+@register("SELECT l_returnflag, l_linestatus, quantile_disc(l_extendedprice::DECIMAL(18,2), 0.5)::DOUBLE AS median_price FROM lineitem GROUP BY ALL")
+def exact_medians(spark, sf_dir):
+    """The exact median of very large groups, by ranges."""
+    rows = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", F.col("l_extendedprice").cast("decimal(18,2)").alias("v"))
+    found = ranks.nearest_ranks(rows, ["l_returnflag", "l_linestatus"], "v", "0.5", kept_in(spark, shared_folder(spark, "ranks")), "median_price")
+    return found.withColumn("median_price", F.col("median_price").cast("double"))
