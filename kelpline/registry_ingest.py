@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,7 +15,7 @@ from kelpline.plans import contracts
 from kelpline.plans.oracles import CTES, sql
 from kelpline.registry import MODELS, model_sql, models, published, published_sql, register, release_models
 from kelpline.sinks.release import kept_in, shared_folder
-from kelpline.sources import bounded_csv, landing
+from kelpline.sources import bounded_csv, landing, snapshots, stores
 from kelpline.sources.commerce import RELEASE, bronze, table
 
 PAYMENTS = V.CONTRACTS["order_payments"]
@@ -155,3 +156,49 @@ def exact_medians(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", F.col("l_extendedprice").cast("decimal(18,2)").alias("v"))
     found = ranks.nearest_ranks(rows, ["l_returnflag", "l_linestatus"], "v", "0.5", kept_in(spark, shared_folder(spark, "ranks")), "median_price")
     return found.withColumn("median_price", F.col("median_price").cast("double"))
+
+
+# -- snapshots of files
+
+_NAMED = "seller_id,seller_name"
+_SNAPSHOT = f"""WITH s AS (SELECT s_nationkey AS n, s_suppkey AS k, s_name AS v FROM supplier),
+f AS (SELECT n, 'nation_' || n || '.csv' AS file_name, CASE n % 8 WHEN 3 THEN 'other' WHEN 7 THEN repeat('x', 70000) ELSE '{_NAMED}' END || chr(10) || string_agg(k || ',' || v || chr(10), '' ORDER BY k) AS body FROM s GROUP BY n)
+"""
+
+
+def _seller_files(spark: SparkSession, sf_dir: str, at: str) -> DataFrame:
+    """A file of sellers for each nation, with what stores.identities says of it and its name in a snapshot."""
+    n = F.col("n")
+    s = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("n"), F.col("s_suppkey").alias("k"), F.concat(F.col("s_suppkey").cast("string"), F.lit(","), "s_name").alias("value"))
+    heads = s.select(n).distinct().select(n, F.lit(None).cast("bigint").alias("k"), F.when(n % 8 == 3, "other").when(n % 8 == 7, F.repeat(F.lit("x"), F.lit(70_000))).otherwise(_NAMED).alias("value"))
+    s.unionByName(heads).repartition("n").sortWithinPartitions("n", F.col("k").asc_nulls_first()).drop("k").write.partitionBy("n").text(f"{at}/written")
+    found = stores.identities(spark, f"{at}/written", "part-*")
+    nation = F.regexp_extract("path", "n=([0-9]+)", 1)
+    return found.select("path", F.concat(F.lit("nation_"), nation, F.lit(".csv")).alias("file_name"), "n_bytes", "sha256", nation.cast("int").alias("n"))
+
+
+@register(f"""{_SNAPSHOT} SELECT file_name, CASE WHEN n % 8 <> 5 THEN strlen(body) END AS n_bytes, CASE WHEN n % 8 <> 5 THEN sha256(body) END AS sha256,
+  [NULL, 'FILE_SIZE_MISMATCH', 'FILE_CHECKSUM_MISMATCH', 'HEADER_MISMATCH', 'MANIFEST_FILE_SET_MISMATCH', 'MISSING_REQUIRED_FILE', 'EXTRA_SOURCE_ENTRY', 'HEADER_INVALID'][n % 8 + 1] AS code FROM f""")
+def source_discovery(spark, sf_dir):
+    """Files against their manifest and contract, each with the first code that holds: one of each fault is planted, by nation."""
+    at = shared_folder(spark, "discovery")
+    files = kept_in(spark, at)("files", _seller_files(spark, sf_dir, at))
+    snapshots.commit(files.where("n % 8 <> 5"), at, "r1")
+    names = files.collect()  # a row a file
+    contract = snapshots.Contract({r.file_name: _NAMED.split(",") for r in names if r.n % 8 != 6})
+    said = [{"filename": r.file_name, "rows": 1, "bytes": r.n_bytes + (r.n % 8 == 1), "sha256": "0" * 64 if r.n % 8 == 2 else r.sha256} for r in names if r.n % 8 != 4]
+    texts = {"schema_version": "1", "manifest_version": contract.manifest_version, "contract_version": contract.contract_version, "data_class": "public", "source": "sellers", "source_contract": contract.source_contract}
+    snapshots.put(spark, f"{at}/source/r1/{snapshots.MANIFEST}", json.dumps(texts | {"files": said}).encode())
+    return snapshots.discovered(spark, f"{at}/source/r1", contract).select("file_name", "n_bytes", "sha256", "code")
+
+
+@register(f"{_SNAPSHOT} SELECT file_name, strlen(body) AS n_bytes, sha256(body) AS sha256, CASE WHEN n % 3 = 0 THEN 'UPLOADED' ELSE 'REPLAYED' END AS outcome FROM f")
+def source_commit(spark, sf_dir):
+    """A commit that was cut off before the files of every third nation goes on with these, and is then read back through its manifest."""
+    at = shared_folder(spark, "commit")
+    keep = kept_in(spark, at)
+    files = keep("files", _seller_files(spark, sf_dir, at))
+    keep("first", snapshots.copied(files.where("n % 3 <> 0"), f"{at}/source/r1"))
+    again = keep("again", snapshots.copied(files, f"{at}/source/r1"))
+    snapshots.commit(files, at, "r1")
+    return snapshots.committed(spark, at, "r1").join(again.select("file_name", "outcome"), "file_name").select("file_name", "n_bytes", "sha256", "outcome")
