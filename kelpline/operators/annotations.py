@@ -75,8 +75,10 @@ def stratified_sample(df: DataFrame, key: str, strata: list[str], count: int, se
     below its share (ties: the greater hash).
 
     A stratum's k-th row is wanted with its share less k - 1, which falls with k: so these turns are the first rows
-    in the order of that number, and no loop is needed.
+    in the order of that number, and no loop is needed. A count below 1 or beyond the rows is refused: the rows are counted at once.
     """
+    if count < 1:
+        raise ValueError("SELECTION_INVALID: count must be 1 or more")
     rows = ranked(df, strata, digest(seed, F.col(key)), key)
     sizes = df.groupBy(*strata).agg(F.count("*").alias("size_")).withColumn("name_", digest(seed, *[F.col(s) for s in strata]))
     totals = sizes.agg(F.sum("size_").alias("total_"), F.count("*").alias("strata_"))
@@ -86,8 +88,10 @@ def stratified_sample(df: DataFrame, key: str, strata: list[str], count: int, se
     cols = [rows[c] for c in df.columns]
     ones = x.where((F.col("stratum_rank") == 1) & (F.col("turn_") <= count)).select(*cols)
     wanted = (F.col("size_") * count).cast("double") / F.col("total_") - (F.col("stratum_rank") - 1)
-    left = sizes.select(F.greatest(F.lit(count) - F.col("strata_"), F.lit(0)).alias("n")).first()
-    more = x.where("stratum_rank > 1").orderBy(wanted.desc(), F.col("name_").desc()).limit(left["n"] if left else 0).select(*cols)
+    there = totals.first()
+    if count > (there["total_"] or 0):
+        raise ValueError(f"SELECTION_INVALID: {count} of {there['total_'] or 0} rows")
+    more = x.where("stratum_rank > 1").orderBy(wanted.desc(), F.col("name_").desc()).limit(max(count - there["strata_"], 0)).select(*cols)
     return ones.unionByName(more)
 
 

@@ -39,25 +39,36 @@ def join_as_of(facts: DataFrame, history: DataFrame, on: str, event_at: str, key
     return facts.join(h, holds, "left").withColumn(key, F.coalesce("h_key", unknown)).drop("h_on", "h_key", "h_from", "h_to")
 
 
-def join_as_of_sorted(facts: DataFrame, history: DataFrame, on: str, event_at: str, key: str, unknown: Column, part: str = "day") -> DataFrame:
+def join_as_of_sorted(facts: DataFrame, history: DataFrame, on: str, event_at: str, key: str, unknown: Column, part: str = "day", refuse: bool = False) -> DataFrame:
     """As join_as_of, for keys of many versions: events and versions are put in one order of time, and each event takes the last version before it.
 
     A key's rows are split by `part` of time, so that no key is one task; the last version of the parts before is carried over
-    by a window of one row for each key and part.
+    by a window of one row for each key and part. Events without a key get the unknown member without a shuffle; versions without one are left out.
+    refuse: a version that begins before another of its key ends, or that ends before it begins, fails the join as it is read (HISTORY_OVERLAPS); the
+    greatest end so far comes from the same windows.
     """
+    keyless = facts.where(F.col(on).isNull()).withColumn(key, unknown)
+    facts, history = facts.where(F.col(on).isNotNull()), history.where(F.col(on).isNotNull())
     version = F.struct(F.col(key).alias("key"), F.coalesce("effective_to", F.expr("timestamp_ntz '9999-12-31 00:00:00'")).alias("to"))
     fact = F.struct(*[F.col(c) for c in facts.columns])
     events = facts.select(F.col(on).alias("on"), F.col(event_at).cast("timestamp_ntz").alias("at"), F.lit(None).cast(history.select(version.alias("v")).schema[0].dataType).alias("v"), fact.alias("fact"))
     versions = history.select(F.col(on).alias("on"), F.col("effective_from").cast("timestamp_ntz").alias("at"), version.alias("v"), F.lit(None).cast(events.schema["fact"].dataType).alias("fact"))
     rows = events.unionByName(versions).withColumn("part", F.date_trunc(part, "at"))
     # versions that begin at one time: the last of them to end holds
-    lasts = rows.groupBy("on", "part").agg(F.max_by("v", F.when(F.col("v").isNotNull(), F.struct("at", "v.to"))).alias("last"))
-    before = F.last("last", ignorenulls=True).over(Window.partitionBy("on").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    lasts = lasts.select(F.col("on").alias("on_"), F.col("part").alias("part_"), before.alias("before"))
-    own = F.last("v", ignorenulls=True).over(Window.partitionBy("on", "part").orderBy("at", F.col("fact").isNotNull(), F.col("v.to")).rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    placed = rows.withColumn("own", own).where("fact is not null")
+    lasts = rows.groupBy("on", "part").agg(F.max_by("v", F.when(F.col("v").isNotNull(), F.struct("at", "v.to"))).alias("last"), F.max("v.to").alias("end"))
+    parts_before = Window.partitionBy("on").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    lasts = lasts.select(F.col("on").alias("on_"), F.col("part").alias("part_"), F.last("last", ignorenulls=True).over(parts_before).alias("before"), F.max("end").over(parts_before).alias("end_before"))
+    in_order = Window.partitionBy("on", "part").orderBy("at", F.col("fact").isNotNull(), F.col("v.to"))
+    own = F.last("v", ignorenulls=True).over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ended = F.max("v.to").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    placed = rows.withColumns({"own": own, "ended": ended}) if refuse else rows.withColumn("own", own).where("fact is not null")
     placed = placed.join(lasts, placed["on"].eqNullSafe(lasts["on_"]) & placed["part"].eqNullSafe(lasts["part_"]), "left").withColumn("own", F.coalesce("own", "before"))
-    return placed.select("fact.*", F.coalesce(F.when(F.col("at") < F.col("own.to"), F.col("own.key")), unknown).alias(key))
+    found = F.coalesce(F.when(F.col("at") < F.col("own.to"), F.col("own.key")), unknown)
+    if refuse:
+        bad = F.col("fact").isNull() & F.coalesce((F.greatest("ended", "end_before") > F.col("at")) | (F.col("v.to") <= F.col("at")) | F.col("at").isNull(), F.lit(False))
+        placed = placed.withColumn("bad", bad).where(F.col("fact").isNotNull() | F.col("bad"))
+        found = F.when(F.col("bad"), F.raise_error(F.lit("HISTORY_OVERLAPS")).cast(placed.schema["own"].dataType["key"].dataType)).otherwise(found)
+    return placed.select("fact.*", found.alias(key)).unionByName(keyless)
 
 
 def history_overlaps(history: DataFrame, on: str) -> DataFrame:

@@ -5,11 +5,11 @@ from __future__ import annotations
 import json
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kelpline.functions.identities import source_object_id
-from kelpline.operators import ingest, ranks
+from kelpline.operators import ingest, partitions, ranks, relational
 from kelpline.operators import validate as V
 from kelpline.plans import contracts
 from kelpline.plans.oracles import CTES, sql
@@ -202,3 +202,84 @@ def source_commit(spark, sf_dir):
     again = keep("again", snapshots.copied(files, f"{at}/source/r1"))
     snapshots.commit(files, at, "r1")
     return snapshots.committed(spark, at, "r1").join(again.select("file_name", "outcome"), "file_name").select("file_name", "n_bytes", "sha256", "outcome")
+
+
+# -- exact partitions, strict histories, two builds, files of different headers
+
+_PARTS = [("fact_order", "sil_order", ["order_id"]), ("fact_order_item", "sil_order_item", ["order_id", "order_item_id"]), ("fact_payment", "sil_order_payment", ["order_id", "payment_sequential"]), ("fact_review_base", "sil_order_review", ["review_id", "order_id"])]
+_LEFT_OUT = {
+    "fact_order": "analysis_scope_status = 'QUARANTINED'", "fact_order_item": "NOT order_parent_exists OR amount_quality_status <> 'VALID' OR order_id NOT IN (SELECT order_id FROM fact_order)",
+    "fact_payment": "NOT order_parent_exists OR amount_quality_status <> 'VALID' OR order_id NOT IN (SELECT order_id FROM fact_order)",
+    "fact_review_base": "NOT order_parent_exists OR NOT response_interval_valid OR review_score NOT BETWEEN 1 AND 5 OR order_id NOT IN (SELECT order_id FROM fact_order)",
+}
+
+
+@register(sql(" UNION ALL ".join(f"SELECT '{f}' AS fact, (SELECT count(*) FROM {s}) AS source_count, (SELECT count(*) FROM {f}) AS fact_count, (SELECT count(*) FROM {s} WHERE {_LEFT_OUT[f]}) AS excluded_count" for f, s, _ in _PARTS)))
+def fact_partitions(spark, sf_dir):
+    """Every classified row is in its fact table or explained as left out, once and in one of them; else the query fails."""
+    m, out = models(spark, sf_dir), []
+    orders = m["fact_order"].select("order_id", F.lit(True).alias("in_facts"))
+    for fact, source, key in _PARTS:
+        s = m[source]
+        if fact == "fact_order":
+            gone = s.where("analysis_scope_status = 'QUARANTINED'")
+        else:
+            ok = F.col("order_parent_exists") & F.col("in_facts").isNotNull()
+            ok = ok & (F.col("response_interval_valid") & F.col("review_score").between(1, 5) if fact == "fact_review_base" else F.col("amount_quality_status") == "VALID")
+            gone = s.join(orders, "order_id", "left").where(~ok)
+        out.append(partitions.partition_result(s, m[fact], gone, key).select(F.lit(fact).alias("fact"), "*"))
+    return reduce(DataFrame.unionByName, out)
+
+
+@register("""WITH s AS (SELECT l_orderkey AS k, l_linenumber AS n FROM lineitem), a AS (SELECT * FROM s WHERE n <= 3), b AS (SELECT k, CASE WHEN k % 50 = 0 THEN n + 100 ELSE n END AS n FROM s WHERE n >= 3 AND n <> 5 UNION ALL SELECT k, n FROM s WHERE n = 6),
+c AS (SELECT k, n, sum(x) AS x, sum(y) AS y, sum(z) AS z FROM (SELECT *, 1 AS x, 0 AS y, 0 AS z FROM s UNION ALL SELECT *, 0, 1, 0 FROM a UNION ALL SELECT *, 0, 0, 1 FROM b) GROUP BY ALL),
+i AS (SELECT concat_ws('+', CASE WHEN x > 0 AND y + z = 0 THEN 'GAP' END, CASE WHEN x = 0 THEN 'STRANGER' END, CASE WHEN y > 0 AND z > 0 THEN 'OVERLAP' END, CASE WHEN x > 1 OR y > 1 OR z > 1 THEN 'REPEATED' END) AS issues, k FROM c)
+SELECT issues, count(*) AS n, sum(k)::BIGINT AS ids FROM i WHERE issues <> '' GROUP BY 1""")
+def partition_faults(spark, sf_dir):
+    """Items in two parts that overlap, leave some out, repeat some and have strangers: one shuffle tells which."""
+    s = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").cast("bigint").alias("n"))
+    moved = s.where("n >= 3 and n <> 5").select("k", F.when(F.col("k") % 50 == 0, F.col("n") + 100).otherwise(F.col("n")).alias("n"))
+    found = partitions.partition_issues(s, {"a": s.where("n <= 3"), "b": moved.unionByName(s.where("n = 6"))}, ["k", "n"])
+    return found.groupBy(F.array_join("issues", "+").alias("issues")).agg(F.count("*").alias("n"), F.sum("k").alias("ids"))
+
+
+@register("""WITH v AS (SELECT user_id, ts AS effective_from, lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS effective_to, event_id FROM (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id) = 1)),
+o AS (SELECT o_orderkey, CASE WHEN o_custkey % 3 <> 0 THEN o_custkey % 150 END AS u, o_orderdate + INTERVAL 9000 DAY AS moment FROM orders)
+SELECT o_orderkey, coalesce(event_id, -1) AS version FROM o LEFT JOIN v ON user_id = u AND moment >= effective_from AND moment < coalesce(effective_to, TIMESTAMP '9999-12-31')""")
+def asof_strict(spark, sf_dir):
+    """As asof_versions, over a history that would fail if its ranges overlapped, with orders and versions that have no user."""
+    e = table(spark, sf_dir, "events").groupBy("user_id", "ts").agg(F.min("event_id").alias("version"))
+    h = e.select("user_id", "version", F.col("ts").alias("effective_from"), F.lead("ts").over(Window.partitionBy("user_id").orderBy("ts")).alias("effective_to"))
+    h = h.unionByName(h.where("version % 10 = 0").withColumn("user_id", F.lit(None).cast("bigint")))
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_custkey") % 3 != 0, F.col("o_custkey") % 150).alias("user_id"), (F.col("o_orderdate") + F.expr("interval 9000 days")).alias("at"))
+    return relational.join_as_of_sorted(o, h, "user_id", "at", "version", F.lit(-1).cast("bigint"), refuse=True).select("o_orderkey", "version")
+
+
+@register(sql(" UNION ALL ".join(f"SELECT '{n}' AS relation, count(*) AS row_count, NULL::VARCHAR AS issue FROM {n}" for n in contracts.MODELS if n in MODELS)))
+def build_equivalence(spark, sf_dir):
+    """A full refresh against a replay of the same release in other partitions: every relation with its rows and, if they differ, how."""
+    folder, sources = shared_folder(spark, "replay"), bronze(spark, sf_dir)
+    batch = landing.batch_of(spark, RELEASE)
+    landing.land({n: df.repartition(3, "record_hash") for n, df in sources.items()}, f"{folder}/bronze", RELEASE, batch)
+    replay = release_models(spark, landing.landed(spark, f"{folder}/bronze", list(sources), RELEASE, batch), f"{folder}/models", RELEASE)
+    names, first = [n for n in contracts.MODELS if n in MODELS], models(spark, sf_dir)
+    prints = lambda m: reduce(DataFrame.unionByName, [relational.fingerprint(m[n], n) for n in names])
+    keep = kept_in(spark, f"{folder}/prints")
+    a, b = keep("full", prints(first)), keep("replay", prints(replay))
+    return a.select("relation", "row_count").join(relational.compare_fingerprints(a, b), "relation", "left")
+
+
+@register("""WITH o AS (SELECT o_orderkey AS k, o_orderkey % 4 AS part, row_number() OVER (PARTITION BY o_orderkey % 4 ORDER BY o_orderkey) + 1 AS source_row_number FROM orders)
+SELECT part, source_row_number, k::VARCHAR AS order_id, CASE WHEN part <> 2 AND k % 3 = 0 THEN NULL WHEN part <> 2 AND k % 5 = 0 THEN NULL ELSE 'name, "' || k || '"' END AS label FROM o""")
+def header_subsets(spark, sf_dir):
+    """Files whose headers have the wanted columns in four orders, among others; '' and NA are null."""
+    at, k, part = shared_folder(spark, "subsets"), F.col("k"), F.col("part")
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), (F.col("o_orderkey") % 4).alias("part"))
+    key = k.cast("string")
+    label = F.concat(F.lit('"name, ""'), key, F.lit('"""'))
+    label = F.when((part != 2) & (k % 3 == 0), "NA").when((part != 2) & (k % 5 == 0), "").otherwise(label)
+    line = F.when(part == 0, F.concat_ws(",", key, label)).when(part == 1, F.concat_ws(",", F.lit("x"), label, key)).when(part == 2, F.concat_ws(",", label, F.lit(""), key, F.lit("y"))).otherwise(F.concat_ws(",", key, F.lit('"a\nb"'), label))
+    heads = o.select(part).distinct().select(F.lit(None).cast("bigint").alias("k"), part, F.element_at(F.array(*map(F.lit, ("order_id,label", "more,label,order_id", "label,a,order_id,b", "order_id,c,label"))), (part + 1).cast("int")).alias("value"))
+    lines = o.select(k, part, line.alias("value")).unionByName(heads)
+    lines.repartition("part").sortWithinPartitions("part", F.col("k").asc_nulls_first()).drop("k").write.partitionBy("part").text(f"{at}/source")
+    return bounded_csv.subset_records(spark, f"{at}/source", ["order_id", "label"], kept_in(spark, at), pattern="part-*").select(_part(), "source_row_number", "order_id", "label")

@@ -95,8 +95,11 @@ def _decoded(raw: bytes, row: int, start: int) -> str:
         raise Fault(ENCODING, row, start) from None
 
 
-def parsed(records: Iterator[tuple[int, int, int, bytes]], names: list[str]) -> Iterator[tuple[int, int, int, list[str]]]:
-    """The values of raw records; the header is checked and left out. A Fault ends it."""
+def parsed(records: Iterator[tuple[int, int, int, bytes]], names: list[str], lenient: bool = False) -> Iterator[tuple[int, int, int, list[str | None]]]:
+    """The values of raw records; the header is checked and left out. A Fault ends it.
+
+    lenient: empty records are passed over, missing fields are null, and what is beyond the names is left out.
+    """
     taken: list = []
     left = 0  # lines of the record that the reader hasn't asked for
 
@@ -122,8 +125,12 @@ def parsed(records: Iterator[tuple[int, int, int, bytes]], names: list[str]) ->
             raise Fault(MALFORMED, *taken[0][:2]) from None
         row, start, end, raw = taken[0]
         # an empty record, several rows in one, or one that opens a field without closing it, so that the reader went on to the next
-        if len(taken) > 1 or left or not raw:
+        if len(taken) > 1 or left or not raw and not lenient:
             raise Fault(MALFORMED, row, start)
+        if lenient and row > 1:
+            values = [*values, *[None] * (len(names) - len(values))][: len(names)] if values else None
+            if values is None:
+                continue
         if row == 1:
             if values != names:
                 raise Fault(HEADER, row, start)
@@ -150,6 +157,12 @@ def range_records(spark: SparkSession, folder: str, dataset: Dataset, pattern: s
     A row with an error_code is a fault, with no values and no byte_end, and maybe rows of later ranges follow it: see until_fault.
     """
     names = [f.name for f in dataset.fields]
+    found = _with_state(stores.ranges(spark, folder, pattern, range_bytes)).withColumn("header", F.array(*map(F.lit, names)))
+    return _records(found, names, most_bytes, chunk)
+
+
+def _records(found: DataFrame, names: list[str], most_bytes: int, chunk: int, lenient: bool = False) -> DataFrame:
+    """range_records of ranges with their state, and the header of their file, which has all names in any order among others."""
     own = T.StructType([T.StructField(n, T.StringType()) for n in names])
     place = T.StructType([T.StructField("source_file", T.StringType()), *[T.StructField(n, T.LongType()) for n in ("source_row_number", "byte_start", "byte_end")], T.StructField("error_code", T.StringType())])
     out = T.StructType([*own, *place])
@@ -166,8 +179,9 @@ def range_records(spark: SparkSession, folder: str, dataset: Dataset, pattern: s
                     if r["size"] == 0:
                         raise Fault(EMPTY, None)
                     raw = raw_records(r["path"], r["size"], r["start"], r["end"], r["inside"], r["row"], most_bytes, chunk)
-                    for row, start, end, values in parsed(raw, names):
-                        rows.append((*values, r["path"], row, start, end, None))
+                    place = [r["header"].index(n) for n in names]
+                    for row, start, end, values in parsed(raw, r["header"], lenient):
+                        rows.append((*[values[i] for i in place], r["path"], row, start, end, None))
                         held += end - start
                         if len(rows) >= BATCH_ROWS or held >= BATCH_BYTES:
                             yield batch(rows)
@@ -177,7 +191,7 @@ def range_records(spark: SparkSession, folder: str, dataset: Dataset, pattern: s
                 if rows:
                     yield batch(rows)
 
-    found = _with_state(stores.ranges(spark, folder, pattern, range_bytes)).select("path", "size", "start", "end", "inside", "row")
+    found = found.select("path", "size", "start", "end", "inside", "row", "header")
     # a file's ranges lie in one partition after the sums: deal them out again
     return found.repartition(F.col("path"), F.col("start")).mapInArrow(read, out)
 
@@ -192,3 +206,26 @@ def until_fault(records: DataFrame) -> DataFrame:
 def read(spark: SparkSession, folder: str, dataset: Dataset, keep, **options) -> DataFrame:
     """The records of all files of a folder, each up to its first fault. keep(name, frame) writes a frame and reads it back."""
     return until_fault(keep(f"records_{dataset.name}", range_records(spark, folder, dataset, **options)))
+
+
+class HeaderInvalid(RuntimeError):
+    """Files whose headers can't be read, or lack a required column, by name."""
+
+
+def subset_records(spark: SparkSession, folder: str, required: list[str], keep, nulls: tuple[str, ...] = ("", "NA"), pattern: str = "*.csv", most_bytes: int = MOST_BYTES, range_bytes: int = RANGE_BYTES, chunk: int = CHUNK) -> DataFrame:
+    """The required columns of CSV files whose headers have them in any order, among any others: text, null for `nulls` and missing fields; with source_file
+    and source_row_number. All files are read in one scan, each by its own header.
+
+    A header is read from a bounded prefix of its file. A file without all required columns fails the call with HeaderInvalid before
+    any row is read. A file with a structural fault ends there, as in `read`; a fault's row is left out.
+    """
+    heads = keep("headers", stores.identities(spark, folder, pattern).select(F.col("path").alias("path_"), "file_name", "header"))
+    lacks = F.col("header").isNull() | (F.size(F.array_except(F.array(*map(F.lit, required)), "header")) > 0)
+    bad = [r["file_name"] for r in heads.where(lacks).select("file_name").orderBy("file_name").limit(10).collect()]
+    if bad:
+        raise HeaderInvalid(", ".join(bad))
+    found = _with_state(stores.ranges(spark, folder, pattern, range_bytes))
+    found = found.join(heads.select("path_", "header"), found["path"] == F.col("path_"))
+    rows = until_fault(keep("subset", _records(found, required, most_bytes, chunk, lenient=True))).where("error_code is null")
+    values = [F.when(~F.col(c).isin(*nulls), F.col(c)).alias(c) for c in required] if nulls else [F.col(c) for c in required]
+    return rows.select(*values, "source_file", "source_row_number")
