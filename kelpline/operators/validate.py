@@ -206,3 +206,25 @@ def canonical_hash(dataset: Dataset, version: str = "record-hash-v1") -> Column:
     values = [F.concat(F.lit(f'["{f.name}",'), canonical_text(f, F.col(f.name)), F.lit("]")) for f in dataset.fields]
     text = F.concat(F.lit(f'{{"contract":"{version}","dataset_name":"{dataset.name}","values":['), F.concat_ws(",", *values), F.lit("]}"))
     return F.sha2(text.cast("binary"), 256)
+
+
+DQ_VERSION = "dq-gate-v1"
+
+
+def quality_gate(findings: DataFrame, rule: list[str]) -> DataFrame:
+    """One row for findings (severity, the rule's columns, n): status PASS, PASS_WITH_FINDINGS or BLOCKED, the failures of each severity, and a
+    fingerprint of the status and of all rules with their counts, in no order of rows.
+
+    findings has a row a rule, some dozens; a repeated rule fails with DQ_FINDING_REPEATED, and a severity of another name with DQ_FINDING_INVALID.
+    """
+    c = F.col
+    failures = lambda s: F.coalesce(F.sum(F.when(c("severity") == s, c("n"))), F.lit(0)).cast("bigint")
+    names = F.array_sort(F.collect_list(F.to_json(F.array(c("severity"), *[c(x).cast("string") for x in rule], c("n").cast("string")))))
+    keys = F.collect_set(F.struct("severity", *rule))
+    bad = F.count_if(~F.coalesce(c("severity").isin("CRITICAL", "QUARANTINE", "WARN") & (c("n") > 0), F.lit(False)))
+    one = findings.agg(F.count("*").alias("rules"), F.size(keys).alias("different"), bad.alias("bad"), names.alias("names"), *[failures(s).alias(f"{s.lower()}_failures") for s in ("CRITICAL", "WARN", "QUARANTINE")])
+    status = F.when(c("critical_failures") > 0, "BLOCKED").when(c("rules") > 0, "PASS_WITH_FINDINGS").otherwise("PASS")
+    checked = F.when(c("bad") > 0, F.raise_error(F.lit("DQ_FINDING_INVALID")).cast("string")).when(c("rules") != c("different"), F.raise_error(F.lit("DQ_FINDING_REPEATED")).cast("string")).otherwise(status)
+    text = F.concat(F.lit(f'{{"contract_version":"{DQ_VERSION}","findings":['), F.array_join("names", ","), F.lit('],"status":"'), c("status"), F.lit('"}'))
+    out = one.withColumn("status", checked)
+    return out.select("status", "critical_failures", "warn_failures", "quarantine_failures", F.sha2(text.cast("binary"), 256).alias("fingerprint"))

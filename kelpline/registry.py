@@ -291,7 +291,7 @@ def change_selection(spark, sf_dir):
     return _selected(spark, sf_dir).groupBy("selection").agg(F.count("*").alias("n"))
 
 
-@register(f"""WITH {_SELECTED}, m AS (SELECT *, md5(concat_ws(chr(31), doc_id::VARCHAR, coalesce(input_hash, '~'), selection, source_hash)) AS m FROM s)
+@register(f"""WITH {_SELECTED}, m AS (SELECT *, md5(coalesce(strlen(doc_id::VARCHAR)::VARCHAR || ':' || doc_id::VARCHAR, '-') || coalesce(strlen(input_hash::VARCHAR)::VARCHAR || ':' || input_hash::VARCHAR, '-') || coalesce(strlen(selection::VARCHAR)::VARCHAR || ':' || selection::VARCHAR, '-') || coalesce(strlen(source_hash::VARCHAR)::VARCHAR || ':' || source_hash::VARCHAR, '-')) AS m FROM s)
 SELECT count(*) FILTER (selection = 'NEW') AS n_new, count(*) FILTER (selection = 'CHANGED') AS n_changed, count(*) FILTER (selection = 'REUSED') AS n_reused, count(*) FILTER (selection = 'EXCLUDED_INELIGIBLE') AS n_excluded_ineligible, count(*) FILTER (selection = 'EXCLUDED_DLP') AS n_excluded_dlp,
 sha256(concat_ws(':', count(*)::VARCHAR, coalesce(sum(('0x' || substr(m, 1, 13))::BIGINT), 0)::VARCHAR, coalesce(sum(('0x' || substr(m, 14, 13))::BIGINT), 0)::VARCHAR)) AS selection_sha256 FROM m""")
 def selection_plan(spark, sf_dir):

@@ -9,11 +9,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kelpline.functions.identities import source_object_id
-from kelpline.operators import ingest, partitions, ranks, relational
+from kelpline.operators import ingest, partitions, ranks, relational, vectors
 from kelpline.operators import validate as V
 from kelpline.plans import contracts
 from kelpline.plans.oracles import CTES, sql
 from kelpline.registry import MODELS, model_sql, models, published, published_sql, register, release_models
+from kelpline.sinks import loads
 from kelpline.sinks.release import kept_in, shared_folder
 from kelpline.sources import bounded_csv, landing, snapshots, stores
 from kelpline.sources.commerce import RELEASE, bronze, table
@@ -283,3 +284,60 @@ def header_subsets(spark, sf_dir):
     lines = o.select(k, part, line.alias("value")).unionByName(heads)
     lines.repartition("part").sortWithinPartitions("part", F.col("k").asc_nulls_first()).drop("k").write.partitionBy("part").text(f"{at}/source")
     return bounded_csv.subset_records(spark, f"{at}/source", ["order_id", "label"], kept_in(spark, at), pattern="part-*").select(_part(), "source_row_number", "order_id", "label")
+
+
+# -- loads, gates and alerts of real runs, and a table of vectors
+
+
+@register("SELECT s_nationkey::VARCHAR AS object_key, CASE WHEN s_nationkey % 2 = 0 THEN 'REPLAY_SKIPPED' ELSE 'LOADED' END AS status, CASE WHEN s_nationkey % 2 = 0 THEN 0 ELSE count(*) END AS rows_parsed, CASE WHEN s_nationkey % 2 = 0 THEN 0 ELSE count(*) END AS rows_loaded, count(*) AS rows_there FROM supplier GROUP BY s_nationkey")
+def bulk_loads(spark, sf_dir):
+    """Objects of suppliers, half of them loaded before: these are skipped, and each row is in the table once."""
+    at = shared_folder(spark, "loads")
+    keep = kept_in(spark, at)
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", F.col("s_nationkey").cast("string").alias("object_key"), F.sha2(F.col("s_nationkey").cast("string").cast("binary"), 256).alias("object_sha256"))
+    loads.load_objects(rows.where("object_key % 2 = 0"), f"{at}/target", f"{at}/ledger")
+    report = keep("report", loads.load_objects(rows, f"{at}/target", f"{at}/ledger"))
+    there = loads.loaded_rows(spark, rows, f"{at}/target").groupBy("object_key").agg(F.count("*").alias("rows_there"))
+    return report.join(there, "object_key")
+
+
+_FINDINGS = "SELECT severity, model, code, count(*) AS n FROM sil_dq_quarantine GROUP BY ALL"
+
+
+@register(sql(f"""SELECT *, sha256('{{"contract_version":"{V.DQ_VERSION}","findings":[' || names || '],"status":"' || status || '"}}') AS fingerprint FROM (
+  SELECT CASE WHEN critical_failures > 0 THEN 'BLOCKED' WHEN rules > 0 THEN 'PASS_WITH_FINDINGS' ELSE 'PASS' END AS status, critical_failures, warn_failures, quarantine_failures, names FROM (
+  SELECT count(*) AS rules, coalesce(sum(n) FILTER (severity = 'CRITICAL'), 0)::BIGINT AS critical_failures, coalesce(sum(n) FILTER (severity = 'WARN'), 0)::BIGINT AS warn_failures, coalesce(sum(n) FILTER (severity = 'QUARANTINE'), 0)::BIGINT AS quarantine_failures,
+    coalesce(string_agg(name, ',' ORDER BY name), '') AS names FROM (SELECT *, '["' || severity || '","' || model || '","' || code || '","' || n || '"]' AS name FROM ({_FINDINGS}))))""").replace("SELECT *, sha256('{\"contract", "SELECT * EXCLUDE names, sha256('{\"contract"))
+def quality_gate(spark, sf_dir):
+    """The gate over all findings of the classified tables, with a fingerprint that a release can name."""
+    findings = models(spark, sf_dir)["sil_dq_quarantine"].groupBy("severity", "model", "code").agg(F.count("*").alias("n"))
+    return V.quality_gate(findings, ["model", "code"])
+
+
+@register(f"""{_FILES}, runs AS (SELECT part, count(*) FILTER (source_row_number >= 2) AS source_rows, count(*) FILTER (disposition = 'NEW') AS accepted_rows, count(*) FILTER (disposition IN ('DUPLICATE', 'REJECTED', 'PARSE_FAILED', 'FILE_FAILED')) AS quarantined_rows,
+  count(*) FILTER (disposition IN ('PARSE_FAILED', 'FILE_FAILED')) AS task_errors FROM x GROUP BY part)
+SELECT part, source_rows, accepted_rows, CASE WHEN part = 4 THEN 0 ELSE accepted_rows END AS bronze_rows, quarantined_rows, task_errors, concat_ws(',', CASE WHEN task_errors > 0 OR part = 4 AND accepted_rows > 0 THEN 'RECONCILIATION_FAILED' END,
+  CASE WHEN quarantined_rows > 0.05 * source_rows THEN 'QUARANTINE_RATE_HIGH' END, CASE WHEN task_errors > 0 THEN 'TASK_ERRORS_PRESENT' END) AS alerts FROM runs""")
+def file_alerts(spark, sf_dir):
+    """Alerts of a run over real files: counts of what was read, written and read back. The rows of file 4 were not written."""
+    at = shared_folder(spark, "alerts")
+    keep = kept_in(spark, at)
+    rows = keep("processed", _processed(spark, sf_dir))
+    raw = keep("raw", ingest.raw_rows(rows, PAYMENTS).where(~F.col("source_file").contains("part=4/")))
+    held = keep("quarantine", ingest.quarantine_rows(rows, PAYMENTS, F.lit("object")))
+    n = lambda df, name: df.groupBy("source_file").agg(F.count("*").alias(name))
+    r = ingest.reports(rows).select("source_file", F.col("observed_rows").alias("source_rows"), F.col("new_rows").alias("accepted_rows"), F.col("file_failures").alias("task_errors"))
+    r = r.join(n(raw, "bronze_rows"), "source_file", "left").join(n(held, "quarantined_rows"), "source_file", "left").na.fill(0)
+    runs = r.withColumns({"run_state": F.when(F.col("task_errors") > 0, "FAILED").otherwise("RECONCILED"), "suspended": F.lit(True)})
+    return V.alerts(runs).select(_part(), "source_rows", "accepted_rows", "bronze_rows", "quarantined_rows", "task_errors", F.array_join("alerts", ",").alias("alerts"))
+
+
+@register("""WITH n AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE * 2) AS e, 'R' || label % 2 AS r FROM embeddings WHERE vec_id % 5 = 0),
+v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e, 'R' || label % 2 AS r FROM embeddings WHERE vec_id % 5 <> 0 UNION ALL SELECT * FROM n)
+SELECT vec_id, round(list_sum(list_transform(range(1, 65), lambda i: (e[i] - 0.25) ** 2)), 6) AS distance FROM v WHERE r = 'R1' ORDER BY 2, vec_id LIMIT 20""")
+def vector_upsert_search(spark, sf_dir):
+    """A fifth of the vectors is replaced by an upsert; then the nearest of one release are found."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", F.transform("embedding", lambda x: x.cast("double")).alias("embedding"), F.concat(F.lit("R"), (F.col("label") % 2).cast("string")).alias("data_release_id"), F.lit("v1").alias("index_version"), F.lit("reviews").alias("source_table"))
+    batch = e.where("vec_id % 5 = 0").withColumn("embedding", F.transform("embedding", lambda x: x * 2))
+    found = vectors.search(vectors.upserted(e, batch, "v1"), [0.25] * 64, 20, {"data_release_id": "R1", "index_version": "v1", "source_table": "reviews"})
+    return found.select("vec_id", F.round("distance", 6).alias("distance"))
