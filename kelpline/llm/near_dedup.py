@@ -26,6 +26,7 @@ component's id is null only if all its ids are. Extra columns are ignored. An em
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Sequence
 
 import numpy as np
@@ -161,21 +162,35 @@ def _can_link(threshold: int) -> Column:
     return _near_size(threshold) & first & (F.least(F.col("na") - F.col("ata"), F.col("nb") - F.col("atb")) >= least) & (F.col("na") + F.col("nb") - differ >= least * 2)
 
 
+def _meetings(rows: DataFrame, group: int | None, threshold: int) -> DataFrame:
+    """What is compared: rows a that may stand for the smaller text of a pair, each with rows b of their token whose sizes may go with a's.
+
+    Only a row with at < q can be the first that its text has in common with a larger one. Of texts that share a template to less than the threshold no
+    row is such, so that none of them meet, however many they are. Sizes are dealt out by powers of the ratio that the threshold allows.
+    """
+    side = lambda x: [F.col(c).alias(f"{c}{x}") if c != "node" else F.col(c).alias(x) for c in ("node", "n", "at", "q", "bits", "label")]
+    step, slack = math.log(100 / threshold) or 1.0, 1e-9
+    power = F.log("n") / step
+    reach = F.explode(F.sequence(F.floor(power - slack), F.floor(power + 1 + slack))).alias("power")
+    part = F.pmod(F.hash("node"), F.ceil(F.col("size") / group)) if group else F.lit(0)
+    own = F.col("label") != F.col("top")
+    smaller, larger = (lambda x: x.where("at < q").select("token", part.alias("part"), reach, *side("a"))), (lambda x: x.select("token", part.alias("part"), F.floor(power).alias("power"), *side("b")))
+    on = ["token", "part", "power"]
+    if group:
+        return smaller(rows).join(larger(rows), on)
+    # two rows of the label that most have needn't meet
+    return smaller(rows.where(own)).join(larger(rows), on).unionByName(smaller(rows.where(~own)).join(larger(rows.where(own)), on))
+
+
 def _pairs(rows: DataFrame, group: int | None, threshold: int) -> DataFrame:
     """Pairs of different labels that may be linked, from rows of postings with `size` and `top` (the label of most rows) of their token.
 
     With a group: a token's rows are dealt out to parts of about so many, and compared within each. Without: all that don't have
     the token's top label are compared with all.
     """
-    side = lambda x: [F.col(c).alias(f"{c}{x}") if c != "node" else F.col(c).alias(x) for c in ("node", "n", "at", "q", "bits", "label")]
-    if group:
-        part = F.pmod(F.hash("node"), F.ceil(F.col("size") / group)).alias("part")
-        a, b = rows.select("token", part, *side("a")), rows.select("token", part, *side("b"))
-        on, once = ["token", "part"], F.col("a") < F.col("b")
-    else:
-        a, b = rows.where("label <> top").select("token", *side("a")), rows.select("token", "top", *side("b"))
-        on, once = ["token"], (F.col("labelb") == F.col("top")) | (F.col("a") < F.col("b"))
-    pairs = a.join(b, on).where((F.col("labela") != F.col("labelb")) & once & _can_link(threshold))
+    # of equal sizes both rows may have been the smaller one
+    once = (F.col("na") < F.col("nb")) | ((F.col("na") == F.col("nb")) & ((F.col("atb") >= F.col("qb")) | (F.col("a") < F.col("b"))))
+    pairs = _meetings(rows, group, threshold).where((F.col("labela") != F.col("labelb")) & once & _can_link(threshold))
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"), F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb"), F.least("labela", "labelb").alias("la"), F.greatest("labela", "labelb").alias("lb")).distinct()
 
 

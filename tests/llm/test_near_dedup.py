@@ -93,21 +93,22 @@ def test_drops_rows_and_not_ids(spark):
     assert left in ([0, 1, 4, 6, 8, 9, 10], [0, 1, 5, 8, 9, 10])
 
 
-@pytest.mark.parametrize("own", [20, 26])
-def test_pairs_of_a_template_grow_linearly(spark, monkeypatch, own):
-    """n texts of one template, each with words of its own: any two share 0.6 or 0.5, and none are linked."""
+@pytest.mark.parametrize(("own", "low", "high"), [(26, 0.5, 0.62), (20, 0.6, 0.7), (15, 0.66, 0.74), (14, 0.68, 0.75)])
+def test_rows_that_meet_for_a_template_grow_linearly(spark, monkeypatch, own, low, high):
+    """n texts of one template, each with words of its own, and none are linked: rows are counted as they come out of the join, before any filter."""
     template, seen = [f"t{i}" for i in range(84)], {}
-    verified = N._verified
+    verified, meetings = N._verified, N._meetings
     for n in (500, 1000, 2000):
-        counts = seen.setdefault(n, [])
-        monkeypatch.setattr(N, "_verified", lambda pairs, *a, counts=counts: (counts.append(pairs.count()), verified(pairs, *a))[1])
+        met, compared = seen.setdefault(n, ([], []))
+        monkeypatch.setattr(N, "_verified", lambda pairs, *a, compared=compared: (compared.append(pairs.count()), verified(pairs, *a))[1])
+        monkeypatch.setattr(N, "_meetings", lambda rows, *a, met=met: (met.append((x := meetings(rows, *a)).count()), x)[1])
         texts = [" ".join([*template, *(f"o{k}x{i}" for i in range(own))]) for k in range(n)]
-        assert 0.5 < len(shingles(texts[0]) & shingles(texts[1])) / len(shingles(texts[0]) | shingles(texts[1])) < 0.7
+        assert low < len(shingles(texts[0]) & shingles(texts[1])) / len(shingles(texts[0]) | shingles(texts[1])) < high
         docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
         assert N.near_dedup(docs).where("not kept").isEmpty()
-    print({n: sum(c) for n, c in seen.items()})
+    print({n: (sum(m), sum(c)) for n, (m, c) in seen.items()})
     # each text with the leader of its 32 buckets at most
-    assert all(sum(c) <= 33 * n for n, c in seen.items()) and sum(seen[2000]) <= 4.5 * sum(seen[500])
+    assert all(sum(m) <= n and sum(c) <= 33 * n for n, (m, c) in seen.items()) and sum(seen[2000][1]) <= 4.5 * sum(seen[500][1])
 
 
 def test_all_links_of_a_real_table_are_found(spark):
