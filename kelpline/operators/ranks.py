@@ -83,3 +83,19 @@ def reconciled(rollup: DataFrame, ledger: DataFrame, by: Sequence[str]) -> DataF
     n = _raised(differs("succeeded_invocations", "valid_count"), "AI_ENRICHMENT_OBSERVABILITY_COVERAGE_MISMATCH", F.col("invocations"), "bigint")
     n = _raised(differs("total_cost", "committed"), "AI_ENRICHMENT_OBSERVABILITY_BUDGET_MISMATCH", n, "bigint")
     return j.withColumn("invocations", n).select(*rollup.columns)
+
+
+def cohort(orders: DataFrame, identity: str, lifetime: str) -> DataFrame:
+    """One row for orders with the identity of their customer (null: unknown) and its orders over a lifetime: customers, those with several orders,
+    their share (null without customers) and the orders of unknown customers. An identity with two lifetimes, or none, fails with COHORT_CONFLICT.
+
+    Identities are brought down to a row each before they are counted, so no set of them is held in one task.
+    """
+    each = orders.groupBy(identity).agg(F.count("*").alias("n"), F.min(lifetime).alias("low"), F.max(lifetime).alias("high"), F.count_if(F.col(lifetime).isNull()).alias("unknown"))
+    known = F.col(identity).isNotNull()
+    conflict = F.count_if(known & (~F.col("low").eqNullSafe(F.col("high")) | (F.col("unknown") > 0)))
+    n = F.count_if(known)
+    customers = F.when(conflict > 0, F.raise_error(F.lit("COHORT_CONFLICT")).cast("bigint")).otherwise(n)
+    repeats = F.count_if(known & (F.col("low") > 1))
+    share = (repeats.cast("decimal(20,0)") / F.nullif(n, F.lit(0)).cast("decimal(20,0)")).cast("decimal(38,6)")
+    return each.agg(customers.alias("customer_count"), repeats.alias("repeat_customer_count"), share.alias("repeat_customer_rate"), F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("unknown_customer_order_count"))

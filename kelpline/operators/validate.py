@@ -57,6 +57,8 @@ CONTRACTS = {
 }
 del s, i, d, t
 _INTEGER, _DECIMAL, _TIME = r"^[+-]?[0-9]+$", r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$", r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"
+#: A time whose fields may lack their zero, or a day that has a space in its place, with any white space between day and hour.
+_LOOSE_TIME = r"^([0-9]{4})-(1[0-2]|0?[1-9])-(3[01]|[12][0-9]|0?[1-9]| [1-9])\s+(2[0-3]|[01]?[0-9]):([0-5]?[0-9]):([0-5]?[0-9])$"
 
 
 def typed(f: Field, c: Column) -> Column:
@@ -64,10 +66,13 @@ def typed(f: Field, c: Column) -> Column:
     if f.kind == "integer":
         return F.when(c.rlike(_INTEGER), c.try_cast("bigint"))
     if f.kind == "decimal":
-        # read with four places more, then rounded to the even neighbour
+        # white space around a number and underscores in it don't count; read with four places more, then rounded to the even neighbour
+        c = F.replace(F.regexp_replace(c, r"^\s+|\s+$", ""), F.lit("_"), F.lit(""))
         return F.when(c.rlike(_DECIMAL), F.bround(c.try_cast("decimal(38,22)"), 18).cast("decimal(38,18)"))
     if f.kind == "timestamp":
-        return F.when(c.rlike(_TIME), c.try_cast("timestamp_ntz"))
+        part = lambda i: F.lpad(F.trim(F.regexp_extract(c, _LOOSE_TIME, i)), 2, "0")
+        loose = F.concat(F.regexp_extract(c, _LOOSE_TIME, 1), F.lit("-"), part(2), F.lit("-"), part(3), F.lit(" "), part(4), F.lit(":"), part(5), F.lit(":"), part(6))
+        return F.when(c.startswith("0000"), None).when(c.rlike(_TIME), c.try_cast("timestamp_ntz")).when(c.rlike(_LOOSE_TIME), loose.try_cast("timestamp_ntz"))
     return c
 
 

@@ -341,3 +341,14 @@ def vector_upsert_search(spark, sf_dir):
     batch = e.where("vec_id % 5 = 0").withColumn("embedding", F.transform("embedding", lambda x: x * 2))
     found = vectors.search(vectors.upserted(e, batch, "v1"), [0.25] * 64, 20, {"data_release_id": "R1", "index_version": "v1", "source_table": "reviews"})
     return found.select("vec_id", F.round("distance", 6).alias("distance"))
+
+
+@register("""WITH l AS (SELECT o_custkey AS c, count(*) AS lifetime FROM orders GROUP BY 1), o AS (SELECT CASE WHEN c % 10 <> 0 THEN c END AS c, lifetime FROM orders JOIN l ON o_custkey = c WHERE month(o_orderdate) <= 3)
+SELECT count(DISTINCT c) AS customer_count, count(DISTINCT c) FILTER (lifetime > 1) AS repeat_customer_count, round(count(DISTINCT c) FILTER (lifetime > 1)::DOUBLE / count(DISTINCT c), 6) AS repeat_customer_rate, count(*) FILTER (c IS NULL) AS unknown_customer_order_count FROM o""")
+def customer_cohort(spark, sf_dir):
+    """Customers of the first months of years with their orders over all of them, a tenth of them unknown."""
+    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate")
+    lifetime = o.groupBy("o_custkey").agg(F.count("*").alias("lifetime"))
+    chosen = o.where("month(o_orderdate) <= 3").join(lifetime, "o_custkey").select(F.when(F.col("o_custkey") % 10 != 0, F.col("o_custkey")).alias("c"), "lifetime")
+    r = ranks.cohort(chosen, "c", "lifetime")
+    return r.withColumn("repeat_customer_rate", F.col("repeat_customer_rate").cast("double"))

@@ -69,3 +69,33 @@ def test_rollup(spark, keep):
 def test_what_a_rollup_refuses(spark, keep, row, code):
     with pytest.raises(Exception, match=code):
         ranks.invocation_rollup(spark.createDataFrame([*GOOD, row], CALLS), ["g"], keep).collect()
+
+
+def test_cohort(spark):
+    rows = [("a", 2), ("a", 2), ("b", 1), (None, 9), (None, 3), ("c", 5)]
+    frame = lambda r: spark.createDataFrame(r, "who string, lifetime bigint")
+    assert tuple(ranks.cohort(frame(rows), "who", "lifetime").first()) == (3, 2, Decimal("0.666667"), 2)
+    assert tuple(ranks.cohort(frame(rows).limit(0), "who", "lifetime").first()) == (0, 0, None, 0)
+    for bad in (("a", 3), ("a", None)):
+        with pytest.raises(Exception, match="COHORT_CONFLICT"):
+            ranks.cohort(frame([*rows, bad]), "who", "lifetime").collect()
+
+
+def test_fields_are_read_as_python_reads_them(spark):
+    from datetime import datetime
+    from decimal import InvalidOperation
+
+    from kelpline.operators import validate as V
+
+    times = ["2020-01-01 01:02:03", "2020-1-1 1:1:1", "2020-01- 5 01:02:03", "2020-01-01  01:02:03", "2020-02-30 00:00:00", "2019-2-29 0:0:0", "2020-13-01 00:00:00", "2020-01-01 24:00:00", "2020-01-01 00:60:00", "20-01-01 00:00:00", "2020-01-01T00:00:00", "2020-01-01 00:00", " 2020-01-01 00:00:00", "2020-01-01 00:00:00 ", "0000-01-01 00:00:00", "2020-00-01 00:00:00", "2020-01-00 00:00:00", "9999-12-31 23:59:59", "2020-10-1 10:1:59"]
+    numbers = ["1", "-1.5", "+.5", "5.", "1e3", "1E-2", " 7 ", "1_000.25", "1_0_", "", ".", "1e", "NaN", "Infinity", "0x1", "1,5", "\t2\n", "1 2", "--1"]
+    kinds = {"timestamp": (times, lambda x: datetime.strptime(x, "%Y-%m-%d %H:%M:%S")), "decimal": (numbers, Decimal)}
+    for kind, (values, read) in kinds.items():
+        found = {r[0]: r[1] for r in spark.createDataFrame([(x,) for x in values], "x string").select("x", V.typed(V.Field("x", kind), F.col("x"))).collect()}
+        for x in values:
+            try:
+                want = read(x)
+                want = None if kind == "decimal" and not want.is_finite() else want
+            except (ValueError, InvalidOperation):
+                want = None
+            assert found[x] == want, (kind, x)
