@@ -114,6 +114,13 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def free(df: DataFrame, name: str) -> str:
+    """`name`, if no column is called so, in any case of letters; else an error, as a result would hide or double what is there."""
+    if unused(df, name) != name:
+        raise ValueError(f"there is a column {name!r}: give the result another name")
+    return name
+
+
 def slices(column: pa.Array, most: int = 1 << 20) -> Iterator[pa.Array]:
     """Parts of a string column of about `most` bytes each; a longer text is a part of its own."""
     lengths = column.cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary())

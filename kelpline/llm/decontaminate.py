@@ -16,7 +16,8 @@ A document is contaminated if 5 in 100 of its words or more are hit.
 
 Defined cases: null or empty text, or one without words: no words, no hits, clean. Items without words
 (or null) match nothing; a null item_id takes part, but can't be listed. Ids may have any type that casts to a string. Items of equal words are found together. Rows that repeat are judged alike.
-Columns of the documents pass through `mark` and `clean` unchanged, whatever their names. No items: all clean.
+A text of any length is taken whole. Columns of the documents pass through `mark` and `clean` unchanged; `mark` refuses one with the name of its result. No items: all clean.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from kelpline.llm.common import Scratch, row_of, slices, unused
+from kelpline.llm.common import Scratch, free, row_of, slices, unused
 from kelpline.llm.wordhash import ALNUM, U64, Words, grams
 
 WINDOW, GRAM = 13, 8
@@ -227,6 +228,7 @@ def _joined(docs: DataFrame, items: DataFrame, column: str) -> DataFrame:
 
 def mark(docs: DataFrame, benchmark: DataFrame, column: str = "contamination") -> DataFrame:
     """docs with one more column, a struct: n_words, n_hit, items (found item_ids as sorted strings), contaminated."""
+    free(docs, column)
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
     hits = unused(docs, "hits_")
     if (items.agg(F.sum(F.length("text") + 100)).first()[0] or 0) <= BLOCK_CHARS:

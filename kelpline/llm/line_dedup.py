@@ -20,8 +20,8 @@ occurrence of a block may lose lines that are a later occurrence of another. Equ
 
 Defined cases: null text stays null, an empty one empty. Rows that repeat a doc_id and a text are one document: they
 are cleaned alike, and not against each other. A null doc_id sorts first. A line is what \\n separates, a word what
-ASCII white space does. A block that overlaps its first occurrence stays. Columns of the
-documents pass through `dedup`, whatever their names. An empty table gives an empty result.
+ASCII white space does. A block that overlaps its first occurrence stays. A text of any length is taken whole. Columns of the
+documents pass through `dedup`; one with the name of the result is refused. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from kelpline.llm.common import Scratch, row_of, slices, unused
+from kelpline.llm.common import Scratch, free, row_of, slices, unused
 from kelpline.llm.wordhash import BASE, U64, mix
 
 WIDTH, DIVISOR, LEAST_LINES = 2, 4, 2
@@ -128,6 +128,7 @@ def _without(text: pa.Array, spans: pa.Array) -> pa.Array:
 
 def dedup(docs: DataFrame, column: str = "line_dedup", over: int | None = None) -> DataFrame:
     """docs with text cleaned, and a struct: n_removed, the blocks that repeat an earlier one. Without `over`, only chunks are blocks."""
+    free(docs, column)
     scratch = Scratch(docs.sparkSession, "line_dedup")
     # a row is known by its id and a hash of its text
     mark = F.xxhash64("text")

@@ -13,8 +13,8 @@ by `SALTS`, as one source may hold much of all rows.
 
 Defined cases: null text has no characters; it is drawn like others. A null source is a source of its own (named by None).
 A null doc_id draws as an empty id. Rows that repeat a doc_id draw alike, and their copies follow each other
-by text. A source without characters gets no share and its documents a rate of 1. Extra columns pass
-through `mix`. An empty table gives an empty result.
+by text. A source without characters gets no share and its documents a rate of 1. A text of any length counts whole. Extra columns pass
+through `mix`; one with the name of `info` is refused. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kelpline.llm.common import BROADCAST_ROWS, Scratch, unused
+from kelpline.llm.common import BROADCAST_ROWS, Scratch, free, unused
 from kelpline.llm.spans import let
 
 SEED, ALPHA, SALTS = 20, 0.5, 16
@@ -75,6 +75,8 @@ def rates(docs: DataFrame, targets: dict[str | None, float] | None = None, alpha
 
 def mix(docs: DataFrame, targets: dict[str | None, float] | None = None, alpha: float = ALPHA, seed: int = SEED, info: str | None = None) -> DataFrame:
     """The copies, in shuffled order, with all columns of docs; info: the name of one more column, a struct of n_copies, copy and place."""
+    if info is not None:
+        free(docs, info)
     scratch = Scratch(docs.sparkSession, "mixing")
     table = scratch.save(with_steps(rates(docs, targets, alpha)))
     steps, least, n, copy, place = (unused(docs, x) for x in ("steps_", "least_", "n_", "copy_", "place_"))

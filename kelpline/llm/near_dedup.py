@@ -20,7 +20,7 @@ Defined cases: null text, empty text or one without words: no shingles, linked w
 Fewer words than a shingle: the whole sequence is the one shingle. Rows that repeat a
 doc_id and a text are one document; rows that repeat only the doc_id keep their own sets, and share
 the component's least id if linked. A null doc_id takes part like any other and sorts last, so that a
-component's id is null only if all its ids are. Extra columns are ignored. An empty table gives an empty result.
+component's id is null only if all its ids are. A text of any length is taken whole. Extra columns are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -5,8 +5,8 @@ Kinds of the base: email, ip (four parts of at most 255), card (16 to 19 digits
 (8 to 15 digits). Added: iban (ISO 13616, mod 97), if its score is at least `LEAST_SCORE`. A span's score
 is its kind's, raised by a word of its kind (English, German, French or Spanish) in the 40 characters before it and lowered by a word of other numbers.
 
-Defined cases: null text is an empty text, without spans. Rows that repeat get the same spans. Extra columns
-pass through `find`. An empty table gives an empty result.
+Defined cases: null text is an empty text, without spans. Rows that repeat get the same spans. A text of any length is searched whole. Extra columns
+pass through `find`; one with the name of the result is refused. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kelpline.llm.common import free
 from kelpline.llm.spans import found, let, listed
 
 # Fixed values. A look-behind and possessive quantifiers change no match; they keep long runs of digits or letters linear.
@@ -85,6 +86,7 @@ def _of(text: Column, kind: str) -> Column:
 
 def find(docs: DataFrame, column: str = "pii") -> DataFrame:
     """docs with an array of struct(kind, start, end, score), by kind and then start."""
+    free(docs, column)
     text = F.coalesce("text", F.lit(""))
     return docs.withColumn(column, F.concat(*[_of(text, kind) for kind in PATTERNS]))
 

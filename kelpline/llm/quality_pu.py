@@ -19,8 +19,8 @@ least text is taken, so that the fit doesn't depend on the order of rows. Scores
 
 Defined cases: null text is scored as an empty one; an empty text gets a score like any other. Rows that
 repeat are scored alike. A null doc_id is not held out, and not in any sample. Labels that are null, or whose doc_id is null or not in docs, are ignored. Without
-any positive in the labels every score is the prior parameter's default, 0.5. Columns of the documents
-pass through `score` unchanged. An empty table gives an empty result.
+any positive in the labels every score is the prior parameter's default, 0.5. A text of any length is read whole. Columns of the documents
+pass through `score` unchanged; one with the name of the result is refused. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from kelpline.llm.common import slices, unused
+from kelpline.llm.common import free, slices, unused
 from kelpline.llm.wordhash import SPACED, Words, text_buffer
 
 MOST_POSITIVE, MOST_UNLABELLED = 8_000, 16_000
@@ -167,6 +167,7 @@ def train(docs: DataFrame, labels: DataFrame, most_positive: int = MOST_POSITIVE
 
 def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
     """docs with the score of each whole text, between 0 and 1."""
+    free(docs, column)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @arrow_udf(T.DoubleType())

@@ -7,7 +7,8 @@ rejected if less than `LEAST_LEFT` per cent of its word characters are left, if
 more than half of its words lie in repeated 3-word windows.
 
 Defined cases: null text has no words and is rejected, as is an empty one. Rows that repeat are judged alike.
-Extra columns pass through `judge` and `clean`. An empty table gives an empty result.
+A text of any length is read whole. Extra columns pass through `judge` and `clean`;
+`judge` refuses one with the name of its result. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kelpline.llm.common import unused
+from kelpline.llm.common import free, unused
 from kelpline.llm.spans import let
 
 LEAST_WORDS, MOST_REPEATED, LEAST_LEFT = 50, 50, 30
@@ -109,6 +110,7 @@ def _line_ok(line: Column, by: Rules) -> Column:
 
 def judge(docs: DataFrame, column: str = "quality", by: Rules = RULES) -> DataFrame:
     """docs with a struct: the counts, base_failed, left_chars, kept and the text of the lines that stay."""
+    free(docs, column)
     lines = unused(docs, "lines_")
     t = F.coalesce("text", F.lit(""))
     with_word = F.filter(F.split(t, "\n", -1), lambda x: F.btrim(x, F.lit(WHITE)) != "")

@@ -7,7 +7,7 @@ So copies are scanned once, a second run over the same texts scans nothing, and
 of one rule scans with that rule only.
 
 Defined cases: null text is an empty text, without findings. Rows that repeat get the same findings.
-A null doc_id is a path like others. Extra columns are ignored. An empty table gives an empty result.
+A null doc_id is a path like others. A text of any length is scanned whole. Extra columns are ignored. An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -20,7 +20,7 @@ Files are read and written through pyarrow's file systems, so the folder may be
 object store; it must be one that executors share.
 
 Defined cases: null text is an empty text; an empty text has only the end id. Rows that repeat a doc_id are
-ordered by text, and equal rows are all written. Null ids come first. Extra columns are ignored.
+ordered by a hash of their texts and then by these, and equal rows are all written. A text of any length is one record. Null ids come first. Extra columns are ignored.
 An empty table gives no records.
 """
 

@@ -6,7 +6,8 @@ before or after it. One strict term blocks, and so do `LEAST_SOFT` different sof
 else the url is allowed. The terms below are a default; `vocabulary` takes a list of any language from a table.
 
 Defined cases: a null page_id is passed on; a null url, or one without ://, has an empty host and path; no rule fits it; its text is
-searched all the same (null: allowed). Rows that repeat are judged alike. Extra columns pass through `judge`.
+searched all the same (null: allowed). Rows that repeat are judged alike. A url of any length is searched whole. Extra columns pass through `judge`;
+one with the name of the result is refused. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from kelpline.llm.common import row_of, unused
+from kelpline.llm.common import free, row_of, unused
 
 # Fixed values.
 RULES = (("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/"))
@@ -101,6 +102,7 @@ def split_url(url: Column) -> tuple[Column, Column]:
 
 def judge(pages: DataFrame, column: str = "url_verdict", rules=RULES, terms: Vocabulary = VOCABULARY, least_soft: int = LEAST_SOFT, least_weight: float = LEAST_WEIGHT) -> DataFrame:
     """pages with a struct: host, path, rule (null if none fits), n_strict, soft (distinct soft terms), weight (theirs) and verdict."""
+    free(pages, column)
     host, path, hits = (unused(pages, n) for n in ("host_", "path_", "hits_"))
     h, p = split_url(F.col("url"))
     out = pages.withColumn(host, h).withColumn(path, p).withColumn(hits, _counter(pages.sparkSession.sparkContext.broadcast(terms))("url"))

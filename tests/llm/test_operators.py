@@ -11,6 +11,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from kelpline.llm import decontaminate, line_dedup, mixing, pii, quality_pu, quality_rules, queries, secrets, token_records, url_filter
 from kelpline.llm.common import Scratch
@@ -356,3 +357,16 @@ def test_filters_keep_all_columns(spark, odd):
         assert out.columns == docs.columns and out.count() >= 0
     pages = spark.read.parquet(f"{odd}/pages.parquet")
     assert url_filter.keep_allowed(pages).columns == pages.columns
+
+
+def test_a_column_with_the_name_of_a_result_is_refused(spark):
+    """In any case of letters; it would be overwritten, or be there twice."""
+    docs = spark.createDataFrame([(1, "a text", "s", 1)], "doc_id bigint, text string, source string, OUT int")
+    bench = spark.createDataFrame([("i", "a b")], "item_id string, text string")
+    pages = docs.select("doc_id", F.lit("http://a.b/").alias("url"), "OUT")
+    for call in (
+        lambda: decontaminate.mark(docs, bench, "out"), lambda: line_dedup.dedup(docs, "out"), lambda: mixing.mix(docs, info="out"), lambda: pii.find(docs, "out"),
+        lambda: quality_pu.score(docs, None, "out"), lambda: quality_rules.judge(docs, "out"), lambda: url_filter.judge(pages, "out"),
+    ):
+        with pytest.raises(ValueError, match="there is a column 'out'"):
+            call()
