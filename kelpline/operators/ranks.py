@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from decimal import Decimal
 from functools import reduce
@@ -31,7 +32,7 @@ def nearest_ranks(df: DataFrame, by: Sequence[str], value: str, fraction: str, k
         raise ValueError("the fraction lies above 0, and at 1 at most")
     numerator, denominator = part.as_integer_ratio()
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("value_")).agg(F.count("*").alias("n_"))
-    counts = keep(name, counts.repartitionByRange(*by, "value_").withColumn("range_", F.spark_partition_id()))
+    counts = keep(f"{name}-{uuid.uuid4().hex}", counts.repartitionByRange(*by, "value_").withColumn("range_", F.spark_partition_id()))
     ranges = counts.groupBy(*by, "range_").agg(F.sum("n_").alias("n_"))
     of = Window.partitionBy(*by)
     upto = F.sum("n_").over(of.orderBy("range_").rowsBetween(Window.unboundedPreceding, Window.currentRow))

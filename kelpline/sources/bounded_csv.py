@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import csv
 import io
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -205,7 +206,7 @@ def until_fault(records: DataFrame) -> DataFrame:
 
 def read(spark: SparkSession, folder: str, dataset: Dataset, keep, **options) -> DataFrame:
     """The records of all files of a folder, each up to its first fault. keep(name, frame) writes a frame and reads it back."""
-    return until_fault(keep(f"records_{dataset.name}", range_records(spark, folder, dataset, **options)))
+    return until_fault(keep(f"records-{uuid.uuid4().hex}", range_records(spark, folder, dataset, **options)))
 
 
 class HeaderInvalid(RuntimeError):
@@ -219,13 +220,13 @@ def subset_records(spark: SparkSession, folder: str, required: list[str], keep,
     A header is read from a bounded prefix of its file. A file without all required columns fails the call with HeaderInvalid before
     any row is read. A file with a structural fault ends there, as in `read`; a fault's row is left out.
     """
-    heads = keep("headers", stores.identities(spark, folder, pattern).select(F.col("path").alias("path_"), "file_name", "header"))
+    heads = keep(f"headers-{uuid.uuid4().hex}", stores.identities(spark, folder, pattern).select(F.col("path").alias("path_"), "file_name", "header"))
     lacks = F.col("header").isNull() | (F.size(F.array_except(F.array(*map(F.lit, required)), "header")) > 0)
     bad = [r["file_name"] for r in heads.where(lacks).select("file_name").orderBy("file_name").limit(10).collect()]
     if bad:
         raise HeaderInvalid(", ".join(bad))
     found = _with_state(stores.ranges(spark, folder, pattern, range_bytes))
     found = found.join(heads.select("path_", "header"), found["path"] == F.col("path_"))
-    rows = until_fault(keep("subset", _records(found, required, most_bytes, chunk, lenient=True))).where("error_code is null")
+    rows = until_fault(keep(f"subset-{uuid.uuid4().hex}", _records(found, required, most_bytes, chunk, lenient=True))).where("error_code is null")
     values = [F.when(~F.col(c).isin(*nulls), F.col(c)).alias(c) for c in required] if nulls else [F.col(c) for c in required]
     return rows.select(*values, "source_file", "source_row_number")
