@@ -15,8 +15,8 @@ from kelpline.plans import contracts
 from kelpline.plans.oracles import CTES, sql
 from kelpline.registry import MODELS, model_sql, models, published, published_sql, register, release_models
 from kelpline.sinks import loads
-from kelpline.sinks.release import kept_in, shared_folder
-from kelpline.sources import bounded_csv, landing, snapshots, stores
+from kelpline.sinks.release import Releases, append_ledger, kept_in, shared_folder
+from kelpline.sources import bounded_csv, files, landing, snapshots, stores
 from kelpline.sources.commerce import RELEASE, bronze, table
 
 PAYMENTS = V.CONTRACTS["order_payments"]
@@ -352,3 +352,48 @@ def customer_cohort(spark, sf_dir):
     chosen = o.where("month(o_orderdate) <= 3").join(lifetime, "o_custkey").select(F.when(F.col("o_custkey") % 10 != 0, F.col("o_custkey")).alias("c"), "lifetime")
     r = ranks.cohort(chosen, "c", "lifetime")
     return r.withColumn("repeat_customer_rate", F.col("repeat_customer_rate").cast("double"))
+
+
+# -- sinks: upserts, ledgers, versions of releases, lines of JSON
+
+
+@register("SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 = 0 THEN 'new' ELSE 'old' END AS v FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 = 0")
+def upsert_rows(spark, sf_dir):
+    """Rows replaced or added by key."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"))
+    side = lambda where, v: o.where(where).withColumn("v", F.lit(v))
+    return relational.upsert(side("k % 2 = 0", "old"), side("k % 3 = 0", "new"), "k")
+
+
+@register("SELECT c_custkey AS id, CASE WHEN c_custkey % 2 = 0 THEN 'first' ELSE 'second' END AS run FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 5 < 4")
+def ledger_appends(spark, sf_dir):
+    """A ledger after two runs, the second of which brings some keys again, and some of its own twice: each key stays as it came first."""
+    at = f"{shared_folder(spark, 'ledger')}/ledger"
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"))
+    append_ledger(c.where("id % 2 = 0").withColumn("run", F.lit("first")), at, "id")
+    again = c.where("id % 5 < 4").withColumn("run", F.lit("second"))
+    append_ledger(again.unionByName(again.where("id % 3 = 0")), at, "id")
+    return spark.read.parquet(at)
+
+
+@register("SELECT 3 AS version, 'customers' AS relation, count(*) AS n_rows, sum(c_custkey)::BIGINT AS ids FROM customer WHERE c_custkey % 2 = 1 UNION ALL SELECT 3, 'suppliers', count(*), sum(s_suppkey)::BIGINT FROM supplier WHERE s_suppkey % 2 = 1")
+def release_rollback(spark, sf_dir):
+    """Two candidates of two relations, each activated, and the second rolled back: what is read then is all of the first."""
+    releases = Releases(spark, shared_folder(spark, "pointer"))
+    key = {"customers": table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k")), "suppliers": table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"))}
+    for i, candidate in enumerate(("c1", "c2")):
+        releases.build(candidate, {n: df.where(f"k % 2 = {1 - i}") for n, df in key.items()})
+        releases.activate(candidate, i)
+    version = releases.rollback(2)
+    found = releases.resolve(*key)
+    return reduce(DataFrame.unionByName, [df.agg(F.lit(version).alias("version"), F.lit(n).alias("relation"), F.count("*").alias("n_rows"), F.sum("k").alias("ids")) for n, df in found.items()])
+
+
+@register("SELECT p_partkey::VARCHAR AS product_category_name, CASE WHEN p_partkey % 4 <> 0 THEN p_name || chr(10) || '\"é' END AS product_category_name_english FROM part")
+def jsonl_lines(spark, sf_dir):
+    """Objects written as lines of JSON, some without a value, and read back by their contract."""
+    at = f"{shared_folder(spark, 'jsonl')}/lines"
+    key = F.col("p_partkey")
+    english = F.when(key % 4 != 0, F.concat("p_name", F.lit('\n"é')))
+    table(spark, sf_dir, "part").select(key.cast("string").alias("product_category_name"), english.alias("product_category_name_english")).write.json(at)
+    return files.read_jsonl(spark, at, V.CONTRACTS["category_translation"])
