@@ -34,7 +34,7 @@ links AS (SELECT a.rid AS a, b.rid AS b FROM ok a JOIN ok b ON a.rid <> b.rid AN
 r(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, links.b FROM r JOIN links ON r.b = links.a),
 c AS (SELECT a, min(vec_id) AS least FROM r JOIN v ON v.rid = r.b GROUP BY a),
 n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
-SELECT vec_id, coalesce(n.n, 0) AS n_links, coalesce(least(least, vec_id), vec_id) AS component_id, coalesce(least(least, vec_id), vec_id) = vec_id AS kept
+SELECT vec_id, coalesce(n.n, 0) AS n_links, coalesce(least(least, vec_id), vec_id) AS component_id, coalesce(least(least, vec_id), vec_id) IS NOT DISTINCT FROM vec_id AS kept
 FROM v LEFT JOIN n ON n.a = v.rid LEFT JOIN c ON c.a = v.rid"""
 
 _NAME = "coalesce({0}::VARCHAR, ' ')"

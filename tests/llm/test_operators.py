@@ -45,6 +45,13 @@ def odd(spark, tmp_path_factory):
     spark.createDataFrame(pages, "page_id bigint, url string, html string, verdict string").toPandas().astype({"page_id": "Int64"}).to_parquet(f"{at}/pages.parquet")
     spark.createDataFrame([(1, PASSAGE), (2, "quick brown"), (10, PASSAGE), (3, None), (4, "!!")], "item_id bigint, text string").toPandas().to_parquet(f"{at}/benchmark.parquet")
     spark.createDataFrame([(8, 1, 0), (9, 1, None), (19, 0, 0), (None, 1, 1), (99, None, 0)], "doc_id bigint, quality int, toxic int").toPandas().astype("Int64").to_parquet(f"{at}/labels.parquet")
+    roles, texts = ["user", "assistant", "system", "tool", "", None], ["One.", "cut", " \t", "", None, "Two!\n", "x" * 3000 + "?"]
+    turns = [(c, None if (c or 0) + i == 5 else i // 2, roles[(i * 5 + (c or 0)) % 6], texts[(i * 3 + (c or 1)) % 7], "x") for c in (None, *range(30)) for i in range(7)]
+    turns += [*turns[:4], (99, None, None, None, None), (100, 9, "user", "Alone", None)]
+    spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string, text string, cost string").toPandas().astype({"conv_id": "Int64", "turn": "Int64"}).to_parquet(f"{at}/conversations.parquet")
+    vectors = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (3, [1.0, 0.3]), (4, [1.0, 0.6]), (5, None), (6, []), (7, [0.0, 0.0]), (8, [float("nan"), 1.0]), (9, [1.0, 0.0, 0.0]), (None, [0.0, 1.0]), (None, [0.0, -1.0]), (3, [-1.0, 0.0]), (10, [0.0, 1.0]), (11, [float("inf"), 1.0]), (1, [1.0, 0.0])]
+    spark.createDataFrame([(*v, 0, "x") for v in vectors], "vec_id bigint, embedding array<float>, label int, seg string").coalesce(1).write.parquet(f"{at}/embeddings")
+    next(Path(f"{at}/embeddings").glob("*.parquet")).rename(f"{at}/embeddings.parquet")
     return at
 
 
