@@ -353,7 +353,7 @@ def test_context_words_change_the_score(spark):
 
 @pytest.mark.parametrize("name", sorted(queries.queries()))
 def test_empty_tables(spark, odd, name, tmp_path):
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "conversations", "embeddings"):
         spark.read.parquet(f"{odd}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
     assert queries.queries()[name](spark, str(tmp_path)).count() == 0
 
