@@ -122,7 +122,10 @@ def free(df: DataFrame, name: str) -> str:
 
 
 def slices(column: pa.Array, most: int = 1 << 20) -> Iterator[pa.Array]:
-    """Parts of a string column of about `most` bytes each; a longer text is a part of its own."""
+    """Parts of a string column of about `most` bytes each; a longer text is a part of its own.
+
+    After the last, what Arrow's pool holds of earlier batches goes back to the system, as idle workers would keep it.
+    """
     lengths = column.cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary())
     sizes = pc.fill_null(pc.binary_length(lengths), 0).to_numpy(zero_copy_only=False)
     start, size = 0, 0
@@ -133,3 +136,4 @@ def slices(column: pa.Array, most: int = 1 << 20) -> Iterator[pa.Array]:
         size += int(x)
     if start < len(column):
         yield column.slice(start)
+    pa.default_memory_pool().release_unused()

@@ -80,7 +80,7 @@ _S = "\t-\r \u0085 "
 _KNOWN = re.compile(r"[\t-\r -~\u0085 -ɏ]*")
 _PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
 #: pieces that a worker remembers, twice at most, and characters of one; about 150 bytes each
-_REMEMBERED, _LONGEST = 300_000, 64
+_REMEMBERED, _LONGEST = 100_000, 64
 
 
 class Encoder:

@@ -72,3 +72,20 @@ def test_shuffles_carry_no_constants_and_no_long_product_keys(spark, tmp_path):
     for name in ("fact_order_item", "bridge_review_item"):
         plan = g[name]._jdf.queryExecution().optimizedPlan().toString()
         assert "unhex(" in plan, name  # of product_key, which is made in the same projection here
+
+
+def test_idle_workers_give_back_the_memory_of_batches(monkeypatch):
+    """pipeline: workers kept what Arrow's pool had held for batches of earlier stages."""
+    import pyarrow as pa
+
+    from kelpline.llm import common
+
+    class Pool:
+        released = 0
+
+        def release_unused(self):
+            self.released += 1
+
+    pool = Pool()
+    monkeypatch.setattr(common.pa, "default_memory_pool", lambda: pool)
+    assert [x.to_pylist() for x in common.slices(pa.array(["ab", None, "cd"]), 3)] == [["ab", None], ["cd"]] and pool.released == 1
