@@ -37,7 +37,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The records of all documents, in the order of the mix (op1): doc_id, start, n_tokens and ids_crc32."""
-    return written_and_read(docs, tokenizer_path(), by_id=False)  # in the order of the mix
+    return written_and_read(docs, tokenizer_path(), by_id=False, remembered=100_000)  # in the order of the mix; workers hold what earlier stages loaded
 
 
 STAGES = [("quality", quality), ("near_copies", near_copies), ("decontaminated", decontaminated), ("mixed", mixed), ("tokens", tokens)]

@@ -80,19 +80,20 @@ _S = "\t-\r \u0085 "
 _KNOWN = re.compile(r"[\t-\r -~\u0085 -ɏ]*")
 _PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
 #: pieces that a worker remembers, twice at most, and characters of one; about 150 bytes each
-_REMEMBERED, _LONGEST = 100_000, 64
+_REMEMBERED, _LONGEST = 300_000, 64
 
 
 class Encoder:
     """Whole texts to ids. Pieces that byte-level BPE keeps apart are encoded once and remembered."""
 
-    def __init__(self, path: str, end_id: int):
+    def __init__(self, path: str, end_id: int, remembered: int | None = None):
         from tokenizers import Tokenizer
 
         self.tokenizer = t = Tokenizer.from_file(path)
         size = max(t.get_vocab_size(), end_id + 1)
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.end = np.array([end_id], self.dtype).tobytes()
+        self.remembered = remembered
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         model = json.loads(t.to_str())
@@ -136,7 +137,7 @@ class Encoder:
                 pieces[i] = _PIECES.findall(text)
             else:
                 whole.append(i)
-        if len(self.known) > _REMEMBERED:  # what wasn't used since the last time goes
+        if len(self.known) > (_REMEMBERED if self.remembered is None else self.remembered):  # what wasn't used since the last time goes
             self.known, self.older = {}, self.known
         new = set().union(*pieces.values()).difference(self.known)
         for p in [p for p in new if p in self.older]:
@@ -154,12 +155,12 @@ class Encoder:
 
 
 @functools.lru_cache(maxsize=1)
-def _encoder(tokenizer: str, end_id: int) -> Encoder:
+def _encoder(tokenizer: str, end_id: int, remembered: int | None = None) -> Encoder:
     """A worker process keeps its encoder, and what that has learned, for its next tasks."""
-    return Encoder(tokenizer, end_id)
+    return Encoder(tokenizer, end_id, remembered)
 
 
-def _writer(folder: str, tokenizer: str, end_id: int):
+def _writer(folder: str, tokenizer: str, end_id: int, remembered: int | None = None):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
@@ -169,7 +170,7 @@ def _writer(folder: str, tokenizer: str, end_id: int):
         shard = TaskContext.get().partitionId()
         store, at = fs.FileSystem.from_uri(folder)
         path, out, offset, ordinal = f"shard-{shard:06d}-{uuid.uuid4().hex}.rec", None, 0, 0
-        encode = _encoder(tokenizer, end_id)
+        encode = _encoder(tokenizer, end_id, remembered)
         wide = encode.dtype.itemsize == 4
         for batch in batches:
             ids, column = batch.column("doc_id"), batch.column("text")
@@ -202,7 +203,7 @@ def _writer(folder: str, tokenizer: str, end_id: int):
     return write
 
 
-def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0, by_id: bool = True) -> DataFrame:
+def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0, by_id: bool = True, remembered: int | None = None) -> DataFrame:
     """Tokenise docs (doc_id, text), write shards and index below `folder` (a URI), and return the index.
 
     The texts are dealt by ranges of doc_id into as many shards as Spark has shuffle partitions. With by_id=False every partition
@@ -215,7 +216,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 0,
         # rows with one id have the same place in the order of ids; their texts' hashes spread them
         ordered = ordered.withColumn("part", F.xxhash64("text")).repartitionByRange(n, "doc_id", "part").sortWithinPartitions("doc_id", "part", "text").drop("part")
     raw = f"{folder}/index-local"
-    ordered.mapInArrow(_writer(f"{folder}/shards", tokenizer, end_id), _INDEX).write.parquet(raw)
+    ordered.mapInArrow(_writer(f"{folder}/shards", tokenizer, end_id, remembered), _INDEX).write.parquet(raw)
     rows = spark.read.schema(_INDEX).parquet(raw)
     # one row for each shard: as many as there are files, however many documents
     before = rows.groupBy("shard").agg(F.sum("n_tokens").alias("n")).select("shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("before"))
@@ -277,7 +278,10 @@ def read_records(index: DataFrame, folder: str, digest: bool = False) -> DataFra
     return index.select("path", "offset", "length", "start").mapInArrow(_reader(f"{folder}/shards", digest), f"doc_id bigint, start bigint, n_tokens bigint, {kind}")
 
 
-def written_and_read(docs: DataFrame, tokenizer: str, end_id: int = 0, by_id: bool = True) -> DataFrame:
-    """Write docs as records in the shared folder and read them back: doc_id, start, n_tokens, ids_crc32."""
+def written_and_read(docs: DataFrame, tokenizer: str, end_id: int = 0, by_id: bool = True, remembered: int | None = None) -> DataFrame:
+    """Write docs as records in the shared folder and read them back: doc_id, start, n_tokens, ids_crc32.
+
+    remembered: pieces that a worker remembers, for jobs whose workers hold other things too; ids don't depend on it.
+    """
     folder = Scratch(docs.sparkSession, "token_records").path
-    return read_records(write_records(docs, folder, tokenizer, end_id, by_id), folder, digest=True)
+    return read_records(write_records(docs, folder, tokenizer, end_id, by_id, remembered), folder, digest=True)
