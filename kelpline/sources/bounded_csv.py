@@ -27,7 +27,7 @@ from kelpline.sources import stores
 #: A record may have so many bytes, without its line end.
 MOST_BYTES = 8 << 20
 CHUNK = 1 << 18
-RANGE_BYTES = 128 << 20
+RANGE_BYTES = 16 << 20
 BATCH_ROWS, BATCH_BYTES = 10_000, 8 << 20
 
 # Codes of faults that end a file.
@@ -159,10 +159,10 @@ def range_records(spark: SparkSession, folder: str, dataset: Dataset, pattern: s
     """
     names = [f.name for f in dataset.fields]
     found = _with_state(stores.ranges(spark, folder, pattern, range_bytes)).withColumn("header", F.array(*map(F.lit, names)))
-    return _records(found, names, most_bytes, chunk)
+    return _records(found, names, most_bytes, chunk, stores.count_ranges(folder, pattern, range_bytes))
 
 
-def _records(found: DataFrame, names: list[str], most_bytes: int, chunk: int, lenient: bool = False) -> DataFrame:
+def _records(found: DataFrame, names: list[str], most_bytes: int, chunk: int, n_ranges: int, lenient: bool = False) -> DataFrame:
     """range_records of ranges with their state, and the header of their file, which has all names in any order among others."""
     own = T.StructType([T.StructField(n, T.StringType()) for n in names])
     place = T.StructType([T.StructField("source_file", T.StringType()), *[T.StructField(n, T.LongType()) for n in ("source_row_number", "byte_start", "byte_end")], T.StructField("error_code", T.StringType())])
@@ -193,8 +193,10 @@ def _records(found: DataFrame, names: list[str], most_bytes: int, chunk: int, le
                     yield batch(rows)
 
     found = found.select("path", "size", "start", "end", "inside", "row", "header")
-    # a file's ranges lie in one partition after the sums: deal them out again
-    return found.repartition(F.col("path"), F.col("start")).mapInArrow(read, out)
+    # a file's ranges lie in one partition after the sums: deal them out again. Without a number Spark joins the partitions, as the rows of ranges are few, and
+    # one task reads all files; with twice as many partitions as ranges, up to some for each core, few have several
+    parts = min(2 * n_ranges, 8 * found.sparkSession.sparkContext.defaultParallelism)
+    return found.repartition(parts, F.col("path"), F.col("start")).mapInArrow(read, out)
 
 
 def until_fault(records: DataFrame) -> DataFrame:
@@ -227,6 +229,6 @@ def subset_records(spark: SparkSession, folder: str, required: list[str], keep,
         raise HeaderInvalid(", ".join(bad))
     found = _with_state(stores.ranges(spark, folder, pattern, range_bytes))
     found = found.join(heads.select("path_", "header"), found["path"] == F.col("path_"))
-    rows = until_fault(keep(f"subset-{uuid.uuid4().hex}", _records(found, required, most_bytes, chunk, lenient=True))).where("error_code is null")
+    rows = until_fault(keep(f"subset-{uuid.uuid4().hex}", _records(found, required, most_bytes, chunk, stores.count_ranges(folder, pattern, range_bytes), lenient=True))).where("error_code is null")
     values = [F.when(~F.col(c).isin(*nulls), F.col(c)).alias(c) for c in required] if nulls else [F.col(c) for c in required]
     return rows.select(*values, "source_file", "source_row_number")

@@ -113,6 +113,11 @@ class FileIdentities(DataSource):
         return _Identities(self.options)
 
 
+def count_ranges(folder: str, pattern: str = "*", range_bytes: int = 128 << 20) -> int:
+    """Number of ranges that `ranges` gives, by the listing alone; 1 at least."""
+    return max(sum(-(-max(n, 1) // range_bytes) for _, n in entries(folder, pattern)), 1)
+
+
 class _Range(InputPartition):
     def __init__(self, path: str, size: int, start: int, end: int):
         self.path, self.size, self.start, self.end = path, size, start, end
