@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kelpline.functions.columns import DIRECT_ID, MAX_REVIEW_TEXT, SECRET_LIKE, exact_average, redact
+from kelpline.functions.columns import DIRECT_ID, MAX_REVIEW_TEXT, SECRET_LIKE, as_in_sql, exact_average, redact
 from kelpline.operators.annotations import ranked, same
 from kelpline.operators.ranks import Keep, beside, nearest_ranks
 from kelpline.operators.relational import fingerprint
@@ -21,7 +21,7 @@ def dlp_project(df: DataFrame, title: Column, comment: Column, policy: str, sour
     raw = review_text(title, comment)
     x = df.withColumn("raw_text", raw)
     t = F.col("raw_text")
-    reason = F.when(t == "", "EMPTY_TEXT").when(F.length(t) > MAX_REVIEW_TEXT, "TEXT_TOO_LONG").when(t.rlike(DIRECT_ID), "DIRECT_IDENTIFIER").when(t.rlike(SECRET_LIKE), "SECRET_LIKE")
+    reason = F.when(t == "", "EMPTY_TEXT").when(F.length(t) > MAX_REVIEW_TEXT, "TEXT_TOO_LONG").when(t.rlike(as_in_sql(DIRECT_ID)), "DIRECT_IDENTIFIER").when(t.rlike(as_in_sql(SECRET_LIKE)), "SECRET_LIKE")
     text, count = redact(t)
     x = x.withColumn("reason", reason).withColumn("opaque_reference", F.sha2(F.concat(F.lit(f"{policy}:"), source_hash).cast("binary"), 256))
     x = x.withColumn("approved_text", F.when(F.col("reason").isNull(), text)).withColumn("redaction_count", F.when(F.col("reason").isNull(), count).otherwise(F.lit(0).cast("bigint")))
